@@ -46,7 +46,7 @@ def short_name(first: Column, last: Column) -> Column:
 def match_key(name: Column, fold: bool = True) -> Column:
     """Comparable form: accents folded, lower case, tokens sorted."""
     text = F.lower(fold_accents(name) if fold else name)
-    return F.array_join(F.array_sort(F.split(text, " ")), " ")
+    return F.array_join(F.sort_array(F.split(text, " ")), " ")
 
 
 def similarity(a: Column, b: Column) -> Column:

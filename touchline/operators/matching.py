@@ -24,6 +24,7 @@ from touchline.functions.names import (
     token,
 )
 from touchline.operators.ranking import first_rows, keep_first
+from touchline.session import cut_lineage
 
 # Least score of a match, length of a ranked candidate list.
 MATCH_THRESHOLD = 95
@@ -156,11 +157,13 @@ def fuzzy_best(
 
     Equal scores go to the choice that sorts first.
     """
-    names = left.select(name).where(F.col(name).isNotNull()).distinct().withColumn("left_key", match_key(F.col(name), fold))
+    names = left.select(name).where(F.col(name).isNotNull()).distinct()
     choices = right.select(F.col(choice).alias("fuzzy_match")).where(F.col(choice).isNotNull()).distinct()
     choices = choices.withColumn("right_key", match_key(F.col("fuzzy_match"), fold))
-    # One choice stands for all that compare equal.
-    choices = choices.groupBy("right_key").agg(F.min("fuzzy_match").alias("fuzzy_match"))
+    # One choice stands for all that compare equal. Both lists are used several
+    # times below, so their accents are folded once and written.
+    choices = cut_lineage(choices.groupBy("right_key").agg(F.min("fuzzy_match").alias("fuzzy_match")))
+    names = cut_lineage(names.withColumn("left_key", match_key(F.col(name), fold)))
     pairs = candidate_pairs(
         names.withColumnRenamed("left_key", "_key"), choices.withColumnRenamed("right_key", "_key"), "_key", threshold
     )

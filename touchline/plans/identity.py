@@ -20,6 +20,7 @@ from touchline.operators.matching import (
     with_split_name,
 )
 from touchline.operators.ranking import keep_first
+from touchline.session import cut_lineage
 from touchline.sources.pages import ids_from_links, page_links
 
 PLAYER_LINK = "/en/players/"
@@ -56,7 +57,8 @@ def match_people(
     matched, unmatched = merged.where("id_fbref IS NOT NULL"), merged.where("id_fbref IS NULL")
 
     fuzzy = fuzzy_best(unmatched, ids, "full_name_abbr", "name", threshold).drop("score")
-    unmatched = id_for_match(unmatched.join(fuzzy, "full_name_abbr", "left"), ids)
+    # Queues, result and missing list all start here; the matching must not run once for each.
+    unmatched = cut_lineage(id_for_match(unmatched.join(fuzzy, "full_name_abbr", "left"), ids))
     open_people = unmatched.where("fuzzy_match IS NULL")
     taken = unmatched.where("fuzzy_match IS NOT NULL")
     by_last = review_queue(open_people, ids, taken, "last", ranked=True)
