@@ -6,6 +6,7 @@ are formed, so copies of a name never multiply.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -48,6 +49,11 @@ def _longest_partner(length: Column, threshold: int) -> Column:
     return F.floor(length / F.lit(keep) + ROUNDING).cast("int")
 
 
+def _longest_by_deletions(threshold: int) -> int:
+    """Greatest length at which no more than ``MAX_DELETIONS`` edits are allowed."""
+    return math.ceil((MAX_DELETIONS + 1) / ((100 - threshold + 0.5) / 100) - ROUNDING) - 1
+
+
 def _with_deletions(text: Column, edits: Column) -> Column:
     """The text with up to ``edits`` characters left out, each form once."""
 
@@ -81,25 +87,29 @@ def _segment_blocks(text: Column, other: Column, edits: Column) -> Column:
 
 
 def _substring_blocks(text: Column, other: Column, edits: Column) -> Column:
-    """The blocks of a partner of length ``other`` that this text can share: substrings near each segment."""
+    """The blocks of a partner of length ``other`` that this text can share.
+
+    With the first unharmed segment being number i, at most i edits lie before it
+    and at most edits - i after it, which bounds how far it can have moved.
+    """
     own = F.length(text)
     pieces = edits + 1
+    longer_by = own - other
 
     def near(i: Column) -> Column:
         start = F.floor(other * i / pieces).cast("int")
         stop = F.floor(other * (i + 1) / pieces).cast("int")
         size = stop - start
+        low = F.greatest(-i, longer_by - edits + i, -start)
+        high = F.least(i, longer_by + edits - i, own - size - start)
         return F.transform(
-            F.sequence(-edits, edits),
-            lambda shift: F.when(
-                (start + shift >= 0) & (start + shift + size <= own),
-                F.concat_ws(
-                    ":",
-                    other.cast("string"),
-                    own.cast("string"),
-                    i.cast("string"),
-                    F.substring(text, start + shift + 1, size),
-                ),
+            F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>")),
+            lambda shift: F.concat_ws(
+                ":",
+                other.cast("string"),
+                own.cast("string"),
+                i.cast("string"),
+                F.substring(text, start + shift + 1, size),
             ),
         )
 
@@ -130,22 +140,29 @@ def candidate_pairs(left: DataFrame, right: DataFrame, key: str, threshold: int)
             F.col(key).alias(name), F.explode(_with_deletions(F.col(key), edits)).alias("_block")
         )
 
-    def by_segments(df: DataFrame, name: str, blocks) -> DataFrame:
+    def by_segments(df: DataFrame, name: str, blocks, others: list[int]) -> DataFrame:
         shortest = F.ceil(length * F.lit((threshold - 0.5) / 100) - ROUNDING).cast("int")
         other = df.where(_edits(F.col("_longest"), threshold) > MAX_DELETIONS).withColumn(
             "_other", F.explode(F.sequence(shortest, F.col("_longest")))
         )
         edits = _edits(F.greatest(length, F.col("_other")), threshold)
         return (
-            other.withColumn("_edits", edits)
+            other.where(F.col("_other").isin(others))
+            .withColumn("_edits", edits)
             .where(F.col("_edits") > MAX_DELETIONS)
             .select(F.col(key).alias(name), F.explode(blocks(F.col(key), F.col("_other"), F.col("_edits"))).alias("_block"))
-            .where(F.col("_block").isNotNull())
         )
 
+    def lengths(df: DataFrame) -> list[int]:
+        """Text lengths that occur; one row per length is read."""
+        return [row[0] for row in df.select(length).distinct().collect()]
+
     near = by_deletions(left, "left_key").join(by_deletions(right, "right_key"), "_block")
-    far = by_segments(left, "left_key", _segment_blocks).join(
-        by_segments(right, "right_key", _substring_blocks), "_block"
+    left_lengths, right_lengths = lengths(left), lengths(right)
+    if max([*left_lengths, *right_lengths], default=0) <= _longest_by_deletions(threshold):
+        return near.select("left_key", "right_key").distinct()
+    far = by_segments(left, "left_key", _segment_blocks, right_lengths).join(
+        by_segments(right, "right_key", _substring_blocks, left_lengths), "_block"
     )
     return near.unionByName(far).select("left_key", "right_key").distinct()
 
