@@ -163,16 +163,18 @@ def player_next_match(
     team_season_info: DataFrame,
     season: str,
     latest_row: bool = False,
+    literal_frames: bool = False,
     compat: bool = False,
 ) -> DataFrame:
     """Each outfield player's form before the next fixture, 125 columns.
 
     Players need a row in the last finished week; with ``latest_row`` their latest
-    row up to that week counts. ``compat`` keeps frames one row longer than named.
+    row up to that week counts. ``literal_frames`` keeps frames one row longer than
+    named; ``compat`` finds the opponent's strength by surrogate key.
     """
     this_season = fixtures.where(F.col("season") == season)
     rows = _outfield(real_performance, players, this_season, plays)
-    rolled = roll_stats(rows, ["player_id", "season"], ["game_week", "fix_id", "team_id"], True, compat)
+    rolled = roll_stats(rows, ["player_id", "season"], ["game_week", "fix_id", "team_id"], True, literal_frames)
     if latest_row:
         week = last_finished_week(fixtures, season)
         rolled = keep_first(

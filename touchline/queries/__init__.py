@@ -1,6 +1,6 @@
 """All queries; importing the modules registers them."""
 
-from touchline.queries import columns, people, relations, reports, rolling, sources
+from touchline.queries import columns, models, people, relations, reports, rolling, seasons, sources
 from touchline.queries.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "columns", "people", "relations", "reports", "rolling", "sources"]
+__all__ = ["ORACLES", "QUERIES", "columns", "models", "people", "relations", "reports", "rolling", "seasons", "sources"]
