@@ -25,7 +25,7 @@ from touchline.functions.names import (
     token,
 )
 from touchline.operators.ranking import first_rows, keep_first
-from touchline.session import cut_lineage
+from touchline.session import written
 
 # Least score of a match, length of a ranked candidate list.
 MATCH_THRESHOLD = 95
@@ -179,8 +179,8 @@ def fuzzy_best(
     choices = choices.withColumn("right_key", match_key(F.col("fuzzy_match"), fold))
     # One choice stands for all that compare equal. Both lists are used several
     # times below, so their accents are folded once and written.
-    choices = cut_lineage(choices.groupBy("right_key").agg(F.min("fuzzy_match").alias("fuzzy_match")))
-    names = cut_lineage(names.withColumn("left_key", match_key(F.col(name), fold)))
+    choices = written(choices.groupBy("right_key").agg(F.min("fuzzy_match").alias("fuzzy_match")), "choices")
+    names = written(names.withColumn("left_key", match_key(F.col(name), fold)), "names")
     pairs = candidate_pairs(
         names.withColumnRenamed("left_key", "_key"), choices.withColumnRenamed("right_key", "_key"), "_key", threshold
     )

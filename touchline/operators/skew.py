@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.session import cut_lineage
+from touchline.session import cut_lineage, written
 
 HOT_ROWS_SETTING = "touchline.hotGroupRows"
 DEFAULT_HOT_ROWS = 2_000_000
@@ -46,18 +46,22 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
 def hot_groups(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame | None:
     """The keys whose groups hold more than ``limit`` rows, or None if there are none.
 
-    At most rows / limit keys can qualify, so the result stays small.
+    At most rows / limit keys can qualify. Up to ``BROADCAST_ROWS`` of them are
+    read back and joined as a small local table; more stay a written table.
     """
     limit = hot_group_rows(df.sparkSession) if limit is None else limit
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
-    hot = cut_lineage(counted.drop("_rows"))
-    return None if hot.isEmpty() else hot
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit).drop("_rows")
+    found = counted.limit(BROADCAST_ROWS + 1).collect()
+    if not found:
+        return None
+    if len(found) > BROADCAST_ROWS:
+        return written(counted, "hot-groups")
+    return F.broadcast(df.sparkSession.createDataFrame(found, counted.schema))
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``df`` without the hot groups, and the hot groups alone."""
-    small = bounded_broadcast(hot)
-    return join_same_keys(df, small, keys, "left_anti"), join_same_keys(df, small, keys, "left_semi")
+    return join_same_keys(df, hot, keys, "left_anti"), join_same_keys(df, hot, keys, "left_semi")
 
 
 def numbered_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
@@ -82,7 +86,8 @@ def numbered_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column
         .withColumn("_shift", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1)
         .drop("_first", "_rows")
     )
-    starts = bounded_broadcast(cut_lineage(starts))
+    # Without keys there is one row per partition.
+    starts = bounded_broadcast(written(starts, "starts")) if keys else F.broadcast(starts)
     joined = join_same_keys(placed, starts, [*keys, "_part"])
     return joined.select(*df.columns, (F.col("_row") + F.col("_shift")).alias(name))
 

@@ -17,7 +17,7 @@ from touchline.operators.skew import (
     numbered_by_range,
     split_hot,
 )
-from touchline.session import cut_lineage
+from touchline.session import written
 
 
 @dataclass(frozen=True)
@@ -106,7 +106,7 @@ def _trailing_by_stretch(
             *[F.sum(f"_s{i}").over(earlier).alias(f"_before_sum{i}") for i in range(len(inputs))],
             *[F.sum(f"_c{i}").over(earlier).alias(f"_before_cnt{i}") for i in range(len(inputs))],
         )
-        rows = join_same_keys(rows, bounded_broadcast(cut_lineage(before)), [*keys, "_stretch"])
+        rows = join_same_keys(rows, bounded_broadcast(written(before, "before")), [*keys, "_stretch"])
         final = {}
         for s in unbounded:
             i = inputs.index(s.column)

@@ -20,7 +20,7 @@ from touchline.operators.matching import (
     with_split_name,
 )
 from touchline.operators.ranking import keep_first
-from touchline.session import cut_lineage
+from touchline.session import written
 from touchline.sources.pages import ids_from_links, page_links
 
 PLAYER_LINK = "/en/players/"
@@ -58,7 +58,7 @@ def match_people(
 
     fuzzy = fuzzy_best(unmatched, ids, "full_name_abbr", "name", threshold).drop("score")
     # Queues, result and missing list all start here; the matching must not run once for each.
-    unmatched = cut_lineage(id_for_match(unmatched.join(fuzzy, "full_name_abbr", "left"), ids))
+    unmatched = written(id_for_match(unmatched.join(fuzzy, "full_name_abbr", "left"), ids), "unmatched")
     open_people = unmatched.where("fuzzy_match IS NULL")
     taken = unmatched.where("fuzzy_match IS NOT NULL")
     by_last = review_queue(open_people, ids, taken, "last", ranked=True)

@@ -28,6 +28,7 @@ from touchline.plans.features import (
     team_names,
 )
 from touchline.queries.registry import query, table
+from touchline.session import written
 
 SEASON = "2000-01"
 
@@ -66,7 +67,8 @@ RAW_SQL = {
     "week_lines": f"""
         SELECT s_suppkey, s_nationkey, s_name, yr, week, CAST(SUM(l_quantity) AS INTEGER) AS q, CAST(COUNT(*) AS INTEGER) AS c,
                CAST(SUM(l_linenumber) AS INTEGER) AS n, CAST(FLOOR(SUM(CAST(l_extendedprice AS DECIMAL(18,2)))) AS INTEGER) AS p,
-               CAST(SUM(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) AS d, CAST(SUM(CAST(l_tax AS DECIMAL(18,2))) AS DOUBLE) AS t
+               FLOOR(CAST(SUM(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) * 64) / 64 AS d,
+               FLOOR(CAST(SUM(CAST(l_tax AS DECIMAL(18,2))) AS DOUBLE) * 64) / 64 AS t
         FROM (SELECT s.*, l.*, {WEEK} FROM {{lineitem}} l JOIN {{orders}} o ON l.l_orderkey = o.o_orderkey
               JOIN {{supplier}} s ON l.l_suppkey = s.s_suppkey) x
         GROUP BY s_suppkey, s_nationkey, s_name, yr, week""",
@@ -99,7 +101,10 @@ BASE_TABLES = ["orders", "customer", "nation", "supplier", "lineitem"]
 
 
 class Season:
-    """Raw tables and entities of one scale factor, built when asked for."""
+    """Raw tables and entities of one scale factor, built when asked for.
+
+    Entities several steps start from are written once, as staging tables are.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -113,27 +118,27 @@ class Season:
 
     @cached_property
     def teams(self) -> DataFrame:
-        return staging.teams(self.raw("raw_team_data"))
+        return written(staging.teams(self.raw("raw_team_data")))
 
     @cached_property
     def players(self) -> DataFrame:
-        return staging.players(self.raw("raw_compiled_ids"))
+        return written(staging.players(self.raw("raw_compiled_ids")))
 
     @cached_property
     def fixtures(self) -> DataFrame:
-        return staging.fixtures(self.raw("raw_fixtures"))
+        return written(staging.fixtures(self.raw("raw_fixtures")))
 
     @cached_property
     def team_season_info(self) -> DataFrame:
-        return staging.team_season_info(self.teams, self.raw("raw_team_data"))
+        return written(staging.team_season_info(self.teams, self.raw("raw_team_data")))
 
     @cached_property
     def fpl_player(self) -> DataFrame:
-        return staging.fpl_player(self.players, self.raw("raw_players_clean"))
+        return written(staging.fpl_player(self.players, self.raw("raw_players_clean")))
 
     @cached_property
     def plays(self) -> DataFrame:
-        return staging.plays(self.raw("raw_players_clean"), self.team_season_info, self.fixtures, self.players)
+        return written(staging.plays(self.raw("raw_players_clean"), self.team_season_info, self.fixtures, self.players))
 
     @cached_property
     def fpl_performance(self) -> DataFrame:
@@ -143,8 +148,10 @@ class Season:
 
     @cached_property
     def real_performance(self) -> DataFrame:
-        return staging.real_performance(
-            self.raw("raw_real_perf"), self.raw("raw_compiled_ids"), self.players, self.plays, self.team_season_info, self.fixtures
+        return written(
+            staging.real_performance(
+                self.raw("raw_real_perf"), self.raw("raw_compiled_ids"), self.players, self.plays, self.team_season_info, self.fixtures
+            )
         )
 
     @cached_property
@@ -248,7 +255,8 @@ def with_entities(sql: str) -> str:
 
 
 def rounded(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c).cast("double"), 5) for c in names})
+    """Six digits, by the same arithmetic as in the oracle."""
+    return df.withColumns({c: F.floor(F.col(c).cast("double") * 1e6 + 0.5) / 1e6 for c in names})
 
 
 def _frame_sql(rows: int | None, current: bool = False) -> str:
@@ -283,13 +291,13 @@ def _formula_sql() -> tuple[str, str]:
         for name, label in RATES.items():
             source = f"{label}_{suffix}" if label in CONTRIBUTIONS else at + label
             second.append(
-                f"CASE WHEN COALESCE({at}minutes, 0) > 0 THEN COALESCE({source}, 0) * 90 / CAST({at}minutes AS DOUBLE) ELSE 0 END AS {name}_per_90_{suffix}"
+                f"CASE WHEN COALESCE({at}minutes, 0) > 0 THEN COALESCE({source}, 0) / (CAST({at}minutes AS DOUBLE) / 90) ELSE 0 END AS {name}_per_90_{suffix}"
             )
     return ", ".join(first), ", ".join(second)
 
 
 def _round_sql(names: list[str]) -> str:
-    return ", ".join(f"ROUND(CAST({c} AS DOUBLE), 5) AS {c}" for c in names)
+    return ", ".join(f"FLOOR(CAST({c} AS DOUBLE) * 1e6 + 0.5) / 1e6 AS {c}" for c in names)
 
 
 FEATURE_NAMES = [*rolled_names(), *formula_names()]

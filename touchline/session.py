@@ -53,3 +53,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` out once, so that later steps see the same rows in the same partitions."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """A Parquet table under the shared folder with the rows of ``df``.
+
+    Unlike a checkpoint it is columnar, prunes columns and row groups, and has a
+    size, so that small tables are broadcast without a hint.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
