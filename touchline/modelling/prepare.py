@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.columns import columns_of
 from touchline.operators.aggregates import most_frequent, quantiles
+from touchline.session import written
 
 # Skewness beyond which a column is transformed; columns that are never features.
 SKEW_THRESHOLD = 1.0
@@ -116,39 +117,48 @@ def fit_powers(df: DataFrame, columns: Sequence[str], points: int = 9, passes: i
     """The power of greatest likelihood for each column.
 
     The likelihood has one peak, so every pass tries ``points`` powers around the
-    best so far and narrows in. A pass reads the data once for all columns; one row
-    per column comes back.
+    best so far and narrows in. A pass reads the distinct values once for all
+    columns; one row per column and power comes back.
     """
     if not columns:
         return {}
-    values = df.select(*columns).unpivot([], list(columns), "column", "x").where(F.col("x").isNotNull())
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    values = doubles.unpivot([], list(columns), "column", "x").where(F.col("x").isNotNull())
+    # Equal values are counted once and for all passes.
+    counted = written(values.groupBy("column", "x").agg(F.count(F.lit(1)).alias("n")), "values")
+    centres = {
+        r["column"]: r["centre"]
+        for r in counted.groupBy("column").agg((F.sum(F.col("n") * F.col("x")) / F.sum("n")).alias("centre")).collect()
+    }
     best = dict.fromkeys(columns, 0.0)
     step = 1.0
     half = points // 2
     spark = df.sparkSession
     for _ in range(passes):
-        tried = {c: [best[c] + (i - half) * step for i in range(points)] for c in columns}
-        grid = spark.createDataFrame(list(tried.items()), "column string, powers array<double>")
-        gain = F.sum(F.signum("x") * F.log1p(F.abs("x")))
+        tried = [(c, centres[c], best[c] + (i - half) * step) for c in centres for i in range(points)]
+        grid = F.broadcast(spark.createDataFrame(tried, "column string, centre double, power double"))
+        # Measured from the centre's image, sums of squares lose no digits.
+        y = yeo_johnson(F.col("x"), F.col("power")) - yeo_johnson(F.col("centre"), F.col("power"))
         rows = (
-            values.join(F.broadcast(grid), "column")
-            .groupBy("column")
+            counted.join(grid, "column")
+            .withColumn("y", y)
+            .groupBy("column", "power")
             .agg(
-                F.count("x").alias("n"),
-                gain.alias("gain"),
-                *[F.var_pop(yeo_johnson(F.col("x"), F.get("powers", F.lit(i)))).alias(f"v{i}") for i in range(points)],
+                F.sum("n").alias("n"),
+                F.sum(F.col("n") * F.signum("x") * F.log1p(F.abs("x"))).alias("gain"),
+                F.sum(F.col("n") * F.col("y")).alias("first"),
+                F.sum(F.col("n") * F.col("y") * F.col("y")).alias("second"),
             )
+            .withColumn("spread", F.col("second") / F.col("n") - F.pow(F.col("first") / F.col("n"), F.lit(2)))
             .collect()
         )
+        likelihood: dict[str, list[tuple[float, float]]] = {c: [] for c in columns}
         for row in rows:
-            powers = tried[row["column"]]
-            likelihood = [
-                -row["n"] / 2 * math.log(row[f"v{i}"]) + (p - 1) * row["gain"]
-                if row[f"v{i}"] and 0 < row[f"v{i}"] < math.inf
-                else -math.inf
-                for i, p in enumerate(powers)
-            ]
-            best[row["column"]] = powers[max(range(points), key=likelihood.__getitem__)]
+            spread = row["spread"]
+            if spread and 0 < spread < math.inf:
+                value = -row["n"] / 2 * math.log(spread) + (row["power"] - 1) * row["gain"]
+                likelihood[row["column"]].append((value, row["power"]))
+        best = {c: max(found)[1] if found else best[c] for c, found in likelihood.items()}
         step /= half
     return best
 

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.ranking import dense_id
+from touchline.session import written
 
 
 def ordered_keys(df: DataFrame, key: str) -> DataFrame:
     """(key, key_rank) of the distinct keys in order."""
-    return dense_id(df.select(key).distinct(), [key], "key_rank")
+    return written(dense_id(df.select(key).distinct(), [key], "key_rank"), "keys")
 
 
 def expanding_folds(df: DataFrame, key: str, folds: int = 4) -> DataFrame:

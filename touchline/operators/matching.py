@@ -240,11 +240,13 @@ def review_queue(
     holders = free.select("candidate", F.explode(held).alias("token")).join(tokens, "token", "left_semi")
     if not ranked:
         return holders.select("token", "candidate")
-    scored = people.join(holders, "token").withColumn(
-        "score", similarity(match_key(whole), match_key(F.col("candidate")))
+    # The score depends on the compared text alone, so people who share it are ranked once.
+    texts = people.select(whole.alias("_text"), "token").distinct()
+    scored = texts.join(holders, "token").withColumn(
+        "score", similarity(match_key(F.col("_text")), match_key(F.col("candidate")))
     )
-    best = first_rows(scored, [first, last], [F.desc("score"), F.asc("candidate")], limit, "choice")
-    return best.select(first, last, "candidate", "score", "choice")
+    best = first_rows(scored, ["_text"], [F.desc("score"), F.asc("candidate")], limit, "choice")
+    return people.withColumn("_text", whole).join(best, "_text").select(first, last, "candidate", "score", "choice")
 
 
 def apply_overrides(df: DataFrame, overrides: DataFrame, person: str = "full_name_full", link: str = "link") -> DataFrame:

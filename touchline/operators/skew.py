@@ -69,11 +69,14 @@ def numbered_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column
 
     One range exchange sorts all rows; each partition then knows its rows' places,
     and a table of (group, partition) starts, one row per group and partition,
-    shifts them. The sorted rows are checkpointed because range bounds are sampled
-    and must not move between the two passes. ``order`` has to be total in a group.
+    shifts them. The rows are written first with a random last sort column: copies
+    of one row, however many, then spread over partitions, and sampling the bounds
+    does not run the input twice. The sorted rows are checkpointed because bounds
+    must not move between the two passes.
     """
-    sort = [F.col(k) for k in keys] + list(order)
-    placed = cut_lineage(df.repartitionByRange(*sort).sortWithinPartitions(*sort))
+    rows = written(df.withColumn("_tie", F.rand(0)), "to-number")
+    sort = [*[F.col(k) for k in keys], *order, F.col("_tie")]
+    placed = cut_lineage(rows.repartitionByRange(*sort).sortWithinPartitions(*sort))
     place = F.monotonically_increasing_id()
     placed = placed.withColumn("_part", F.shiftright(place, ROW_BITS)).withColumn(
         "_row", place.bitwiseAND(F.lit((1 << ROW_BITS) - 1))

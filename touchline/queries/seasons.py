@@ -113,7 +113,9 @@ class Season:
     def raw(self, name: str) -> DataFrame:
         if name not in self.sources:
             used = {part: self.raw(part) for part in [*BASE_TABLES, *RAW_SQL] if f"{{{part}}}" in RAW_SQL[name]}
-            self.sources[name] = self.spark.sql(RAW_SQL[name], **used)
+            df = self.spark.sql(RAW_SQL[name], **used)
+            # The weekly totals feed several raw tables.
+            self.sources[name] = written(df, name) if name.startswith("week_") else df
         return self.sources[name]
 
     @cached_property

@@ -93,7 +93,8 @@ def page_tables_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     week = F.concat(F.lit("Matchweek "), F.month("o_orderdate"))
     price = F.floor("o_totalprice").cast("string")
-    orders = table(spark, sf_dir, "orders")
+    # Spread the narrow rows before they become pages: parsing is the costly part.
+    orders = table(spark, sf_dir, "orders").repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
     html = F.concat(
         F.lit("<html><body><table id='other'><tr><th>Comp</th></tr><tr><td>none</td></tr></table>"),
         F.lit("<table class='stats' id='matchlogs_all'><thead><tr><th></th><th></th><th>Performance</th><th>Expected</th></tr>"),

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from touchline.functions.names import link_id, link_name
 
-HREF = r"""<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+ANCHOR = r"(?i)<a\s[^>]*>"
+HREF = r"""(?i)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 # Character references that occur in links.
 REFERENCES = {"&quot;": '"', "&#39;": "'", "&lt;": "<", "&gt;": ">", "&amp;": "&"}
 
@@ -24,11 +25,9 @@ def _unescape(text: Column) -> Column:
 
 def page_links(pages: DataFrame, marker: str | None = None, html: str = "html", keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Every anchor's target in page order as (.., position, href), those holding ``marker`` if given."""
-    double = F.regexp_extract_all(html, F.lit(HREF), 1)
-    single = F.regexp_extract_all(html, F.lit(HREF), 2)
-    targets = F.zip_with(double, single, lambda a, b: F.when(a == "", b).otherwise(a))
-    links = pages.select(*keep, F.posexplode(targets).alias("position", "_raw"))
-    links = links.withColumn("href", _unescape(F.col("_raw"))).drop("_raw")
+    anchors = pages.select(*keep, F.posexplode(F.regexp_extract_all(html, F.lit(ANCHOR), 0)).alias("position", "_tag"))
+    quoted = [F.regexp_extract("_tag", HREF, group) for group in (1, 2, 3)]
+    links = anchors.where(F.col("_tag").rlike(HREF)).withColumn("href", _unescape(F.concat(*quoted))).drop("_tag")
     return links if marker is None else links.where(F.contains("href", F.lit(marker)))
 
 
