@@ -22,17 +22,17 @@ HEADLINE = [
     "point_in_time_join",
     "either_side_join",
     "conditional_lookup",
-    "value_scores_by_part",
+    "value_scores",
     "ranked_accuracy",
     "capped_topk",
     "selection_vs_best",
     "combined_error_by_supplier",
-    "numeric_profile",
-    "expanding_fold_blocks",
+    "numeric_summary",
+    "expanding_folds",
     "fuzzy_top1",
     "identity_cascade",
     "page_hrefs",
-    "page_tables_parsed",
+    "page_tables",
     "folded_texts",
     "team_form",
     "player_form",

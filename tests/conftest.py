@@ -10,7 +10,8 @@ from touchline.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", 8)
+    # Rows are few here, so compiling code would take most of the time; run_checks.py and the bench compile.
+    session = local_session("tests", 8, **{"spark.sql.shuffle.partitions": "4", "spark.sql.codegen.wholeStage": "false"})
     yield session
     session.stop()
 

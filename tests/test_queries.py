@@ -7,7 +7,7 @@ from touchline.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 # Fits of whole models are covered in test_modelling.
-SLOW = {"outlier_scores", "model_search", "batch_score", "model_drift", "plain_validation"}
+SLOW = {"outlier_filter", "model_search", "batch_score", "drift_check", "plain_validation"}
 # No row of the smallest tables reaches the next fixtures or keys.
 EMPTY = {"player_next_form", "player_next_form_literal", "next_matrix"}
 
@@ -33,7 +33,9 @@ def test_plans(spark):
     assert "NestedLoop" not in pit and "Cartesian" not in pit
     capped = plan_of(spark, "capped_topk")
     assert "WindowGroupLimit" in capped.split("Exchange")[-1], "groups are cut before the exchange"
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     dims = plan_of(spark, "dim_join")
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(o_totalprice,1000.0)" in dims, "filters reach the scan"
     sums = plan_of(spark, "rolling_sum_prior")
     assert sums.count("Exchange hashpartitioning") == 1 and "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in sums

@@ -18,7 +18,7 @@ from touchline.modelling.lifecycle import (
     score_to_table,
     select_features,
 )
-from touchline.modelling.outliers import fit_isolation_forest
+from touchline.modelling.outliers import drop_outliers
 from touchline.modelling.prepare import (
     MedianFill,
     ModeFill,
@@ -45,7 +45,7 @@ from touchline.session import scratch_path
     SELECT o_orderkey, months.month, CAST((r - 1) // GREATEST(1, n // 5) AS INTEGER) AS block FROM months JOIN keys ON months.month = keys.month
     """
 )
-def expanding_fold_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def expanding_folds_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", month_index("o_orderdate").alias("month"))
     return expanding_folds(orders, "month", 4).select("o_orderkey", "month", "block")
 
@@ -67,7 +67,7 @@ def _holdout(spark: SparkSession, sf_dir: str, compat: bool) -> DataFrame:
 
 
 @query(_holdout_sql("SELECT month FROM (SELECT month, ROW_NUMBER() OVER (ORDER BY month DESC) AS r FROM (SELECT DISTINCT month FROM months)) WHERE r <= (SELECT n FROM n)"))
-def holdout_last_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+def holdout_last_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _holdout(spark, sf_dir, compat=False)
 
 
@@ -258,11 +258,11 @@ def feature_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query()
-def outlier_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def outlier_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     matrix = feature_matrix(spark, sf_dir)
     prepared = preprocessor(matrix, labels=list(LABELS)).fit(matrix).transform(matrix)
-    forest = fit_isolation_forest(prepared)
-    return prepared.select("fix_id", forest.score(F.col("features")).alias("score")).withColumn("outlier", F.col("score") > 0.5)
+    kept = drop_outliers(prepared.select("fix_id", *LABELS, "features"))
+    return kept.groupBy("fix_id").agg(F.count(F.lit(1)).alias("kept"), F.round(F.avg("label_goals"), 4).alias("mean_goals"))
 
 
 @query()
@@ -287,7 +287,7 @@ def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query()
-def model_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+def drift_check_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     matrix, path = _trained(spark, sf_dir)
     return drift_check(PipelineModel.load(path), matrix, "2000")
 

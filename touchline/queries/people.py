@@ -129,7 +129,7 @@ REVIEW_SQL = f"""
     FROM scored QUALIFY choice <= 5
     """
 )
-def review_queue_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+def review_queue_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review_queue(*_reviewed(spark, sf_dir), use="last", ranked=True)
 
 

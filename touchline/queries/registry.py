@@ -14,12 +14,17 @@ ORACLES: dict[str, str] = {}
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function's name, with the SQL it has to agree with."""
+    """Register a query with the SQL it has to agree with.
+
+    Its name is the function's without a trailing ``_query``, which functions
+    named like the operator they run carry.
+    """
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        name = function.__name__.removesuffix("_query")
+        QUERIES[name] = function
         if sql is not None:
-            ORACLES[function.__name__] = sql
+            ORACLES[name] = sql
         return function
 
     return register

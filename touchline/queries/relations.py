@@ -59,7 +59,7 @@ def dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION SELECT s_nationkey, 'SUPPLIER' FROM supplier
     """
 )
-def union_distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def union_distinct_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("label"))
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"), F.lit("SUPPLIER").alias("label"))
     return union_distinct(customers, suppliers)

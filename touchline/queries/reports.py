@@ -119,7 +119,7 @@ def _overlap_sql(overall: bool) -> str:
 
 
 @query(_overlap_sql(False))
-def topk_overlap_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+def topk_overlap_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     overlap = topk_overlap(ranked_events(spark, sf_dir), "player_name", ["position"])
     return overlap.withColumn("accuracy", F.round("accuracy", 6))
 
@@ -136,7 +136,7 @@ def topk_overlap_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM ({RANKED_SQL}) WHERE actual_rank <= 10
     """
 )
-def rank_weighted_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weighted_accuracy_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     accuracy = weighted_accuracy(ranked_events(spark, sf_dir))
     return accuracy.withColumn("weighted_accuracy", F.round("weighted_accuracy", 6))
 
@@ -161,7 +161,7 @@ def _errors(spark: SparkSession, sf_dir: str, by: list[str]) -> DataFrame:
 
 
 @query(_errors_sql())
-def combined_error_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+def combined_error_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _errors(spark, sf_dir, [])
 
 
@@ -231,7 +231,7 @@ def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM sums JOIN part ON l_partkey = p_partkey
     """
 )
-def value_scores_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+def value_scores_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("p_partkey"),
         exact("l_quantity").alias("minutes"),
@@ -294,7 +294,7 @@ SUMMARY_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
         for c in SUMMARY_COLUMNS
     )
 )
-def numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+def numeric_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = numeric_summary(table(spark, sf_dir, "lineitem").select(*SUMMARY_COLUMNS))
     rounded = {c: F.round(F.col(f"`{c}`"), 4) for c in ("mean", "std", "25%", "50%", "75%")}
     return summary.withColumns(rounded)

@@ -33,7 +33,7 @@ def page_hrefs(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE contains(href, '/th')
     """
 )
-def page_links_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_links_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_links(table(spark, sf_dir, "pages"), "/th").select("page_id", "href")
 
 
@@ -82,7 +82,7 @@ def page_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM orders
     """
 )
-def page_tables_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_tables_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a stored page with a two-level table of a league row and a cup row."""
 
     def cells(tag: str, *values) -> list:
