@@ -35,7 +35,7 @@ from touchline.operators.aggregates import most_frequent, quantiles
 from touchline.operators.ranking import dense_id
 from touchline.operators.windows import Trailing, trailing
 from touchline.queries.registry import exact, month_index, plain, query, table
-from touchline.session import scratch_path
+from touchline.session import scratch_path, written
 
 
 @query(
@@ -199,9 +199,10 @@ def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(exact("l_extendedprice")).alias("price"),
         F.count(F.lit(1)).alias("lines"),
     )
+    months = written(months, "months")
     specs = [Trailing(c, f"rolling_{f}_{c}", n) for f, n in (("ub", None), ("bound_last3", 3)) for c in FEATURES]
     form = trailing(months, specs, ["player_id", "year"], ["game_week"]).where("rolling_ub_minutes >= 90")
-    return form.select(
+    matrix = form.select(
         "player_id",
         (F.col("year") * 12 + F.col("game_week")).alias("fix_id"),
         "game_week",
@@ -209,6 +210,8 @@ def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[plain(source).alias(label) for label, source in LABELS.items()],
         *[plain(s.name).alias(s.name) for s in specs],
     )
+    # Preparation, splits and fits all read the matrix.
+    return written(matrix, "matrix")
 
 
 def quick_families() -> list[Family]:

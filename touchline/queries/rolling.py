@@ -10,6 +10,7 @@ from touchline.operators.aggregates import max_where
 from touchline.operators.joins import unpivot_sides
 from touchline.operators.windows import Trailing, carry_to_next_period, rolling_mean, trailing
 from touchline.queries.registry import exact, plain, query, table
+from touchline.session import written
 
 FRAMES = {"ub": None, "last3": 3, "last6": 6}
 
@@ -100,7 +101,8 @@ def _rates_sql() -> str:
 @query(_rates_sql())
 def rolling_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = [Trailing(c, f"{c}_{frame}", rows) for frame, rows in FRAMES.items() for c in MONTHLY]
-    months = _supplier_months(spark, sf_dir)
+    # The groups are counted before they are rolled; the totals are cheaper to write than to add up twice.
+    months = written(_supplier_months(spark, sf_dir), "months")
     rolled = trailing(months, specs, ["l_suppkey", "season"], ["game_week"])
     rolled = rolled.select("l_suppkey", "season", "game_week", *[plain(s.name).alias(s.name) for s in specs])
     formulas = {}
@@ -164,7 +166,7 @@ def _two_sided_sql() -> str:
 @query(_two_sided_sql())
 def two_sided_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     sides = unpivot_sides(
-        trade_matches(spark, sf_dir),
+        written(trade_matches(spark, sf_dir), "matches"),
         ["season", "game_week", "home_id", "away_id"],
         {
             "home": {"team": "home_id", "team_scored": "home_goals", "team_conceded": "away_goals"},
@@ -206,7 +208,7 @@ def next_period_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     finished = F.col("o_orderdate") < F.lit("2000-07-01").cast("timestamp")
     week = max_where(orders, finished, "game_week") + 1
 
-    months = _supplier_months(spark, sf_dir).where(F.col("season") == 2000)
+    months = written(_supplier_months(spark, sf_dir).where(F.col("season") == 2000), "months")
     specs = [
         Trailing("minutes", "minutes_ub", None, True),
         Trailing("minutes", "minutes_last3", 2, True),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -37,6 +38,9 @@ def ids_from_links(links: DataFrame, href: str = "href") -> DataFrame:
     return found.where(F.col("id").isNotNull()).distinct()
 
 
+TABLE = re.compile(r"<table\b", re.IGNORECASE)
+
+
 class _Table(HTMLParser):
     """Cells of the first table with a given id, spans written out."""
 
@@ -53,9 +57,8 @@ class _Table(HTMLParser):
         self.span = 1
 
     def handle_starttag(self, tag, attrs):
-        values = dict(attrs)
         if tag == "table":
-            if self.depth or (not self.done and values.get("id") == self.table_id):
+            if self.depth or (not self.done and dict(attrs).get("id") == self.table_id):
                 self.depth += 1
             return
         if self.depth != 1:
@@ -67,7 +70,7 @@ class _Table(HTMLParser):
             self.row, self.header_row = [], True
         elif tag in ("td", "th") and self.row is not None:
             self._end_cell()
-            self.cell, self.span = [], int(values.get("colspan") or 1)
+            self.cell, self.span = [], int(dict(attrs).get("colspan") or 1)
             self.header_row = self.header_row and tag == "th"
 
     def handle_endtag(self, tag):
@@ -117,8 +120,11 @@ def column_name(header: str) -> str:
 
 def read_table(html: str, table_id: str) -> list[dict[str, str]]:
     """Rows of one page's table as ``{column: text}``; no rows when the page lacks it."""
+    start = TABLE.search(html)
+    if start is None or table_id not in html:
+        return []
     parser = _Table(table_id)
-    parser.feed(html)
+    parser.feed(html[start.start() :])
     parser.close()
     header = [cells for is_header, cells in parser.rows if is_header]
     if not header:
