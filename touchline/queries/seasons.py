@@ -180,6 +180,10 @@ class Season:
         )
 
 
+def _renamed_sql(names: dict[str, str]) -> str:
+    return ", ".join(f"r.{source} AS {label}" for source, label in names.items())
+
+
 # The oracle's own statement of the entities, from the raw tables on.
 ENTITY_SQL = {
     "teams": """
@@ -188,13 +192,10 @@ ENTITY_SQL = {
     "players": """
         SELECT ROW_NUMBER() OVER (ORDER BY player_f_name, player_l_name) AS player_id, * FROM (
             SELECT DISTINCT fpl_f_name AS player_f_name, fpl_l_name AS player_l_name, id_fbref AS fbref_id FROM raw_compiled_ids)""",
-    "fixtures": """
-        SELECT ROW_NUMBER() OVER (ORDER BY season, event, team_h, team_a) AS fix_id, season, event AS game_week, finished,
-               team_h_score AS home_goals, team_a_score AS away_goals, kickoff_time AS game_date, team_h AS home_id, team_a AS away_id,
-               team_h_difficulty AS home_team_difficulty, team_a_difficulty AS away_team_difficulty FROM raw_fixtures""",
-    "team_season_info": """
-        SELECT team_id, season, id AS fpl_season_id, strength_attack_home AS home_attack_score, strength_defence_home AS home_defence_score,
-               strength_attack_away AS away_attack_score, strength_defence_away AS away_defence_score
+    "fixtures": f"""
+        SELECT ROW_NUMBER() OVER (ORDER BY season, event, team_h, team_a) AS fix_id, {_renamed_sql(staging.FIXTURE_COLUMNS)} FROM raw_fixtures r""",
+    "team_season_info": f"""
+        SELECT team_id, {_renamed_sql({k: v for k, v in staging.SEASON_COLUMNS.items() if k != "name"})}
         FROM teams, raw_team_data r WHERE r.name = team_name""",
     "fpl_player": """
         SELECT ROW_NUMBER() OVER (ORDER BY player_id, position, season) AS fpl_player_id, * FROM (
@@ -209,24 +210,15 @@ ENTITY_SQL = {
         FROM raw_players_clean r JOIN players ON player_f_name = first_name AND player_l_name = second_name
         JOIN team_season_info i ON i.season = r.season AND i.fpl_season_id = r.team
         JOIN sides s ON s.season = r.season AND s.own_id = r.team GROUP BY player_id, team_id""",
-    "fpl_performance": """
-        SELECT DISTINCT fpl_player_id, fix_id, r.value / 10 AS price, total_points AS points, transfers_in, transfers_out, bps AS bonus_point_system,
-               minutes, goals_scored, assists, clean_sheets, goals_conceded, own_goals, penalties_saved, penalties_missed, yellow_cards,
-               red_cards, saves, influence AS influence_score, creativity AS creativity_score, threat AS threat_score, ict_index
+    "fpl_performance": f"""
+        SELECT DISTINCT fpl_player_id, fix_id, r.value / 10 AS price, {_renamed_sql(staging.GAME_SIDE_COLUMNS)}
         FROM raw_fpl_performance r JOIN teams ON team_name = r.team JOIN team_season_info i ON i.team_id = teams.team_id AND i.season = r.season
         JOIN sides s ON CAST(s.game_date AS DATE) = CAST(r.kickoff_time AS DATE) AND s.own_id = i.fpl_season_id
         JOIN players ON player_f_name = split_part(r.name, ' ', 1) AND player_l_name = split_part(r.name, ' ', 2)
         JOIN fpl_player fp ON fp.player_id = players.player_id AND fp.season = r.season""",
-    "real_performance": """
-        SELECT DISTINCT players.player_id, fix_id, Starter AS starter, Pos AS position, Min AS minutes, Performance_Gls AS goals, Performance_Ast AS assists,
-               Performance_PK AS pk_made, Performance_PKatt AS pk_attempt, Performance_Sh AS shots, Performance_SoT AS shots_on_target,
-               Performance_CrdY AS yellow_card, Performance_CrdR AS red_card, Performance_Touches AS touches, Performance_Tkl AS tackles,
-               Performance_Int AS interceptions, Performance_Blocks AS blocks, Expected_xG AS expected_goals, Expected_npxG AS non_pen_expected_goals,
-               Expected_xAG AS expected_assists, SCA_SCA AS shot_creating_actions, SCA_GCA AS goal_creating_actions, Passes_Cmp AS pass_completed,
-               Passes_Att AS pass_attempted, Passes_PrgP AS pass_progressive, Carries_Carries AS carries, Carries_PrgC AS carries_progressive,
-               Take_Ons_Att AS take_ons_attempted, Take_Ons_Succ AS take_ons_success, Performance_SoTA AS shot_on_target_against,
-               Performance_GA AS goals_against, Performance_Saves AS saves, CASE WHEN Performance_CS = 1 THEN 1 ELSE 0 END AS clean_sheets,
-               Performance_PSxG AS post_shot_expected_goals, Captain AS captain
+    "real_performance": f"""
+        SELECT DISTINCT players.player_id, fix_id, {_renamed_sql(staging.EVENT_SIDE_COLUMNS)},
+               CASE WHEN Performance_CS = 1 THEN 1 ELSE 0 END AS clean_sheets
         FROM raw_real_perf r JOIN raw_compiled_ids c ON c.fbref_name = r.Name
         JOIN players ON player_f_name = c.fpl_f_name AND player_l_name = c.fpl_l_name
         JOIN plays ON plays.player_id = players.player_id AND CAST(r.Date AS TIMESTAMP) >= start_date
