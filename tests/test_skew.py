@@ -89,3 +89,17 @@ def test_queries_agree_with_sql_when_all_groups_are_hot(spark, small_groups, nam
     small_groups(5)
     problems, rows = check(spark, name, SF)
     assert not problems and rows
+
+
+def test_copies_of_one_row_are_spread_and_numbered(spark):
+    """A third of the rows are one and the same row; ids stay dense."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("int").alias("x"))
+        numbered = dense_id(df, ["x"], "n")
+        ids = [r.n for r in numbered.orderBy("n").collect()]
+        assert ids == list(range(1, 3001))
+        copies = [r.n for r in numbered.where("x = 7").collect()]
+        assert max(copies) - min(copies) + 1 == len(copies) == 1001
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
