@@ -1,6 +1,16 @@
 """All queries of this subpackage; importing the modules registers them."""
 
-from touchline.llm import mixing, secret_scan, simhash, substring_dedup, token_records, url_filter
+from touchline.llm import mixing, secret_scan, simhash, substring_dedup, token_records, toxicity, url_filter
 from touchline.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "mixing", "secret_scan", "simhash", "substring_dedup", "token_records", "url_filter"]
+__all__ = [
+    "ORACLES",
+    "QUERIES",
+    "mixing",
+    "secret_scan",
+    "simhash",
+    "substring_dedup",
+    "token_records",
+    "toxicity",
+    "url_filter",
+]
