@@ -1,11 +1,21 @@
 """All queries of this subpackage; importing the modules registers them."""
 
-from touchline.llm import mixing, secret_scan, simhash, substring_dedup, token_records, toxicity, url_filter
+from touchline.llm import (
+    language_id,
+    mixing,
+    secret_scan,
+    simhash,
+    substring_dedup,
+    token_records,
+    toxicity,
+    url_filter,
+)
 from touchline.llm.registry import ORACLES, QUERIES
 
 __all__ = [
     "ORACLES",
     "QUERIES",
+    "language_id",
     "mixing",
     "secret_scan",
     "simhash",
