@@ -1,6 +1,7 @@
 """All queries of this subpackage; importing the modules registers them."""
 
 from touchline.llm import (
+    decontamination,
     language_id,
     mixing,
     secret_scan,
@@ -15,6 +16,7 @@ from touchline.llm.registry import ORACLES, QUERIES
 __all__ = [
     "ORACLES",
     "QUERIES",
+    "decontamination",
     "language_id",
     "mixing",
     "secret_scan",
