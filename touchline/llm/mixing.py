@@ -66,8 +66,8 @@ def power_targets(cells: DataFrame, margin: str, power: float) -> DataFrame:
     """(margin, target): shares of tokens raised to ``power``, summing to 1; one row per value."""
     sums = cells.groupBy(margin).agg(F.sum("tokens").cast("double").alias("_sum"))
     raised = sums.select(margin, F.pow("_sum", F.lit(power)).alias("_raised"))
-    total = raised.agg(F.sum("_raised").alias("_total"))
-    return raised.join(F.broadcast(total)).select(margin, (F.col("_raised") / F.col("_total")).alias("target"))
+    total = raised.agg(F.sum("_raised")).first()[0]
+    return raised.select(margin, (F.col("_raised") / F.lit(total)).alias("target"))
 
 
 def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
