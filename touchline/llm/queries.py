@@ -10,6 +10,7 @@ from touchline.llm import (
     token_records,
     toxicity,
     url_filter,
+    weighted_fingerprint,
 )
 from touchline.llm.registry import ORACLES, QUERIES
 
@@ -25,4 +26,5 @@ __all__ = [
     "token_records",
     "toxicity",
     "url_filter",
+    "weighted_fingerprint",
 ]
