@@ -253,10 +253,11 @@ def near_links(nodes: DataFrame, budget: int = BUDGET, limit: int = NODE_LIMIT)
     if largest is None:
         return join(rows, depth, False)
     further = min(max((largest // limit).bit_length(), 1), 12)
-    masks = F.array(*[F.lit(m) for m in range(1 << further) if m.bit_count() <= budget])
+    masks = F.array(*[F.lit(m).cast("long") for m in range(1 << further) if m.bit_count() <= budget])
     hot = rows.join(counted.select("key"), "key", "left_semi")
     below = F.shiftrightunsigned("value", BITS - depth - further).bitwiseAND(F.lit((1 << further) - 1))
-    hot = hot.withColumn("below", below).withColumn("other", F.explode(masks).bitwiseXOR(F.col("below")))
+    hot = hot.withColumn("below", below).withColumn("mask", F.explode(masks))
+    hot = hot.withColumn("other", F.col("below").bitwiseXOR(F.col("mask")))
     pair = F.xxhash64("key", F.least("below", "other"), F.greatest("below", "other"))
     hot = hot.select("node", "value", pair.alias("key"), (F.col("below") == F.col("other")).alias("itself"))
     cold = rows.join(counted.select("key"), "key", "left_anti")
