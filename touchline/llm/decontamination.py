@@ -10,7 +10,7 @@ distance between both places are one occurrence. In an occurrence every value in
 a slot of the item has to stand for one value of the document and the other way
 round, else the occurrence is another question of the same shape and does not count.
 A document holds an item if the occurrences that count cover at least ``share``
-of the item's distinct windows.
+of the item's distinct windows of enough plain words.
 
 Defined cases: NULL and empty texts hold nothing and are held by nothing; items
 with fewer words than a window are one shorter window and so are never found in
@@ -29,7 +29,9 @@ from touchline.operators.skew import bounded_broadcast
 from touchline.session import written
 
 WINDOW = 5
+# Plain words that a window needs to count, and to tell what stands in its slots.
 LITERALS = 4
+SLOT_LITERALS = 2
 SHARE = 0.5
 # Index rows that are broadcast, of some 40 bytes each; a larger index is joined by a shuffle.
 BROADCAST_WINDOWS = 500_000
@@ -109,16 +111,20 @@ def find_items(
     """
     index = windows(items, item_col, item_text_col, window)
     plain = F.lit(window) - F.coalesce(F.size("values"), F.lit(0))
-    index = index.where(plain >= literals).select(
-        F.col("id").alias("item_id"), F.col("place").alias("item_place"), "window", F.col("values").alias("item_values")
+    index = index.where(plain >= min(literals, SLOT_LITERALS)).select(
+        F.col("id").alias("item_id"),
+        F.col("place").alias("item_place"),
+        "window",
+        F.when(plain >= literals, F.col("window")).alias("counted"),
+        F.col("values").alias("item_values"),
     )
     index = written(index, "item-windows")
-    totals = index.groupBy("item_id").agg(F.count_distinct("window").alias("windows"))
+    totals = index.groupBy("item_id").agg(F.count_distinct("counted").alias("windows"))
     matched = windows(docs, id_col, text_col, window).join(bounded_broadcast(index, BROADCAST_WINDOWS), "window")
     pairs = F.arrays_zip(F.col("item_values").alias("a"), F.col("values").alias("b"))
     occurrences = (
         matched.groupBy(F.col("id").alias("doc_id"), "item_id", (F.col("place") - F.col("item_place")).alias("distance"))
-        .agg(F.collect_set("window").alias("found"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
+        .agg(F.collect_set("counted").alias("found"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
         .where(
             (F.size("pairs") == F.size(F.array_distinct("pairs.a")))
             & (F.size("pairs") == F.size(F.array_distinct("pairs.b")))
@@ -128,9 +134,8 @@ def find_items(
         F.size(F.array_distinct(F.flatten(F.collect_set("found")))).cast("long").alias("matched")
     )
     covered = F.col("matched") / F.col("windows")
-    return held.join(totals, "item_id").select("doc_id", "item_id", "matched", "windows", covered.alias("share")).where(
-        F.col("share") >= share
-    )
+    result = held.where("matched > 0").join(totals, "item_id")
+    return result.select("doc_id", "item_id", "matched", "windows", covered.alias("share")).where(F.col("share") >= share)
 
 
 @query("op6_decontamination")

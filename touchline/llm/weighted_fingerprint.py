@@ -147,7 +147,7 @@ def neighbours(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     tasks = max(1, rows.rdd.getNumPartitions())
     shares = [i / (tasks * RANGES) for i in range(1, tasks * RANGES)]
     bounds = sorted(set(rows.approxQuantile("doc_id", shares, 0.1 / (tasks * RANGES)))) if shares else []
-    inner = [float("-inf"), *bounds, float("inf")]
+    inner = [float("-inf"), *(bounds or [0.0]), float("inf")]
     rows = rows.withColumn("_number", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))
     rows = Bucketizer(splits=inner, inputCol="_number", outputCol="bucket").transform(rows).drop("_number")
     rows = rows.withColumn("bucket", F.col("bucket").cast("int"))
