@@ -14,15 +14,3 @@ def spark():
     session = local_session("tests", 8, **{"spark.sql.shuffle.partitions": "4", "spark.sql.codegen.wholeStage": "false"})
     yield session
     session.stop()
-
-
-@pytest.fixture
-def small_groups(spark):
-    """Every group beyond a few rows counts as hot."""
-    from touchline.operators.skew import HOT_ROWS_SETTING
-
-    def use(rows: int):
-        spark.conf.set(HOT_ROWS_SETTING, str(rows))
-
-    yield use
-    spark.conf.unset(HOT_ROWS_SETTING)

@@ -37,5 +37,6 @@ def test_plans(spark):
     dims = plan_of(spark, "dim_join")
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(o_totalprice,1000.0)" in dims, "filters reach the scan"
-    sums = plan_of(spark, "rolling_sum_prior")
-    assert sums.count("Exchange hashpartitioning") == 1 and "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in sums
+    rates = plan_of(spark, "rolling_rates")
+    assert rates.count("Exchange hashpartitioning") == 2, "one exchange for the sums and one for all windows"
+    assert "ReadSchema: struct<l_suppkey:bigint,l_linenumber:" in rates

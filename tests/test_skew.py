@@ -1,19 +1,15 @@
-"""Hot groups have to give what the plain windows give."""
+"""Groups of any size have to give what plain windows give."""
 
 import random
 
 import pytest
-from oracle import check
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from touchline.operators.ranking import dense_id, ranked
-from touchline.operators.skew import hot_groups, numbered_by_range
+from touchline.operators.skew import numbered_by_range
 from touchline.operators.windows import Trailing, trailing
 
-SF = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="module")
 def skewed(spark):
     """One group with a third of all rows, one NULL key, NULL values."""
@@ -22,17 +18,19 @@ def skewed(spark):
     for i in range(3000):
         key = "hot" if i % 3 == 0 else None if i % 50 == 1 else f"k{rng.randrange(60)}"
         rows.append((key, rng.randrange(500), i, None if rng.random() < 0.1 else rng.randrange(100)))
-    return spark.createDataFrame(rows, "key string, at int, id int, value int").repartition(5).cache()
+    frame = spark.createDataFrame(rows, "key string, at int, id int, value int").repartition(5)
+    amount = (F.col("value") / 7).cast("decimal(18,4)")
+    # Halves add up without rounding in any order.
+    return frame.withColumns({"amount": amount, "half": F.col("value") / 2}).cache()
 
 
+AGGREGATES = ["sum", "avg", "count", "min", "max"]
+FRAMES = {"ub": (None, False), "ub_now": (None, True), "last3": (3, False), "last6_now": (6, True)}
 SPECS = [
-    Trailing("value", "ub", None),
-    Trailing("value", "ub_now", None, True),
-    Trailing("value", "last3", 3),
-    Trailing("value", "last6_now", 6, True),
-    Trailing("value", "mean3", 2, True, "avg"),
-    Trailing("value", "mean_all", None, True, "avg"),
-    Trailing("value", "n_all", None, False, "count"),
+    Trailing(column, f"{column}_{agg}_{name}", rows, current, agg)
+    for column in ("value", "amount", "half")
+    for agg in AGGREGATES
+    for name, (rows, current) in FRAMES.items()
 ]
 
 
@@ -40,20 +38,23 @@ def rows_of(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("limit", [1, 10, 999])
-def test_trailing_over_hot_groups(spark, skewed, small_groups, limit):
-    plain = rows_of(trailing(skewed, SPECS, ["key"], ["at", "id"]))
-    small_groups(limit)
-    assert hot_groups(skewed, ["key"]) is not None
-    assert rows_of(trailing(skewed, SPECS, ["key"], ["at", "id"])) == plain
+@pytest.mark.parametrize("stretch", [1, 10, 999, 100_000])
+def test_trailing_over_groups_of_any_size(skewed, stretch):
+    plain = trailing(skewed, SPECS, ["key"], ["at", "id"])
+    cut = trailing(skewed, SPECS, ["key"], ["at", "id"], any_size=True, stretch=stretch)
+    assert [(f.name, f.dataType) for f in cut.schema] == [(f.name, f.dataType) for f in plain.schema]
+    assert rows_of(cut) == rows_of(plain)
+
+
+def test_unknown_aggregates_are_refused_at_once():
+    with pytest.raises(ValueError, match="none of"):
+        Trailing("value", "x", agg="median")
 
 
-@pytest.mark.parametrize("limit", [1, 30])
-def test_ranks_over_hot_groups(skewed, small_groups, limit):
+def test_ranks_over_groups_of_any_size(skewed):
     orders = {"up": [F.asc_nulls_last("value"), F.asc("id")], "down": [F.desc_nulls_last("value"), F.asc("id")]}
-    plain = rows_of(ranked(skewed, ["key"], orders))
-    small_groups(limit)
-    assert rows_of(ranked(skewed, ["key"], orders)) == plain
+    small = skewed.select("key", "id", "value")
+    assert rows_of(ranked(small, ["key"], orders, any_size=True)) == rows_of(ranked(small, ["key"], orders))
 
 
 def test_numbers_by_range_match_row_numbers(skewed):
@@ -78,19 +79,6 @@ def test_dense_id_puts_null_last(spark):
     assert sorted(map(tuple, dense_id(df, ["x"], "n").collect())) == [(1, 1, "c"), (2, 2, "b"), (3, None, "a")]
 
 
-def test_a_plain_session_finds_no_hot_group(skewed):
-    assert hot_groups(skewed, ["key"]) is None
-
-
-@pytest.mark.parametrize(
-    "name", ["rolling_sum_prior", "rolling_sum_inclusive", "rolling_mean_min1", "rolling_rates", "ranked_accuracy", "exact_quantiles"]
-)
-def test_queries_agree_with_sql_when_all_groups_are_hot(spark, small_groups, name):
-    small_groups(5)
-    problems, rows = check(spark, name, SF)
-    assert not problems and rows
-
-
 def test_copies_of_one_row_are_spread_and_numbered(spark):
     """A third of the rows are one and the same row; ids stay dense."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

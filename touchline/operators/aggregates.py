@@ -88,6 +88,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) ->
         [Trailing("rows", "through", None, True)],
         ["column"],
         ["value"],
+        any_size=True,
     ).withColumn("before", F.col("through") - F.col("rows"))
     totals = long.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
     wanted = totals.select(

@@ -22,15 +22,21 @@ def dense_id(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     return numbered.select(name, *df.columns)
 
 
-def ranked(df: DataFrame, keys: Sequence[str], orders: Mapping[str, Sequence[Column]]) -> DataFrame:
-    """Ranks 1..n inside each group, one per ``{name: order}``; orders have to be total."""
-    return row_numbers(df, keys, orders)
+def ranked(
+    df: DataFrame, keys: Sequence[str], orders: Mapping[str, Sequence[Column]], any_size: bool = False
+) -> DataFrame:
+    """Ranks 1..n inside each group, one per ``{name: order}``; orders have to be total.
+
+    ``any_size`` says that no grain bounds a group.
+    """
+    return row_numbers(df, keys, orders, any_size)
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, name: str = "_rank") -> DataFrame:
     """The first ``n`` rows of each group, with their rank.
 
-    The literal bound lets Spark cut every map task's groups to ``n`` rows before the exchange.
+    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000) the literal bound lets Spark cut every
+    map task's groups to ``n`` rows before the exchange; beyond it whole groups are exchanged.
     """
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn(name, number).where(F.col(name) <= n)

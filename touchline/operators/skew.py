@@ -1,10 +1,9 @@
-"""Groups too large for one task.
+"""Groups of any size.
 
-A window over a group runs in a single task. Groups with more rows than
-``touchline.hotGroupRows`` are found with one map-side combined count and
-handled by position instead: a range sort numbers their rows, and fixed-size
-stretches of them become window groups of their own. All other groups take the
-plain window.
+A window over a group runs in a single task. Where the grain of a table bounds
+its groups, such as the weeks of a player's season, that is the plan to have.
+Where nothing bounds them, the caller says so and rows are numbered by a range
+sort instead. The choice is the caller's and never depends on the rows.
 """
 
 from __future__ import annotations
@@ -12,13 +11,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.session import cut_lineage, written
 
-HOT_ROWS_SETTING = "touchline.hotGroupRows"
-DEFAULT_HOT_ROWS = 2_000_000
+# Rows of a few numbers each that may be broadcast once they are counted.
 BROADCAST_ROWS = 100_000
 
 # monotonically_increasing_id() keeps the partition in the upper bits and the
@@ -26,10 +24,6 @@ BROADCAST_ROWS = 100_000
 ROW_BITS = 33
 
 
-def hot_group_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(HOT_ROWS_SETTING, str(DEFAULT_HOT_ROWS)))
-
-
 def join_same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on equal keys where NULL equals NULL; the keys appear once."""
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
@@ -43,27 +37,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if small else df
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame | None:
-    """The keys whose groups hold more than ``limit`` rows, or None if there are none.
-
-    At most rows / limit keys can qualify. Up to ``BROADCAST_ROWS`` of them are
-    read back and joined as a small local table; more stay a written table.
-    """
-    limit = hot_group_rows(df.sparkSession) if limit is None else limit
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit).drop("_rows")
-    found = counted.limit(BROADCAST_ROWS + 1).collect()
-    if not found:
-        return None
-    if len(found) > BROADCAST_ROWS:
-        return written(counted, "hot-groups")
-    return F.broadcast(df.sparkSession.createDataFrame(found, counted.schema))
-
-
-def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``df`` without the hot groups, and the hot groups alone."""
-    return join_same_keys(df, hot, keys, "left_anti"), join_same_keys(df, hot, keys, "left_semi")
-
-
 def numbered_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
     """Number the rows of every group from 1 in ``order`` without a window over the group.
 
@@ -95,21 +68,14 @@ def numbered_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     return joined.select(*df.columns, (F.col("_row") + F.col("_shift")).alias(name))
 
 
-def row_numbers(df: DataFrame, keys: Sequence[str], orders: Mapping[str, Sequence[Column]]) -> DataFrame:
-    """``row_number`` over every group for each ``{name: order}``, with hot groups numbered by range."""
-
-    def plain(rows: DataFrame) -> DataFrame:
-        return rows.withColumns(
-            {
-                name: F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
-                for name, order in orders.items()
-            }
-        )
-
-    hot = hot_groups(df, keys)
-    if hot is None:
-        return plain(df)
-    cold_rows, hot_rows = split_hot(df, keys, hot)
-    for name, order in orders.items():
-        hot_rows = numbered_by_range(hot_rows, keys, order, name)
-    return plain(cold_rows).unionByName(hot_rows)
+def row_numbers(
+    df: DataFrame, keys: Sequence[str], orders: Mapping[str, Sequence[Column]], any_size: bool = False
+) -> DataFrame:
+    """``row_number`` over every group for each ``{name: order}``; ``any_size`` if nothing bounds a group."""
+    if any_size:
+        for name, order in orders.items():
+            df = numbered_by_range(df, keys, order, name)
+        return df
+    return df.withColumns(
+        {name: F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long") for name, order in orders.items()}
+    )

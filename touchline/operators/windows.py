@@ -9,16 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from touchline.operators.skew import (
-    bounded_broadcast,
-    hot_group_rows,
-    hot_groups,
-    join_same_keys,
-    numbered_by_range,
-    split_hot,
-)
+from touchline.operators.skew import bounded_broadcast, join_same_keys, numbered_by_range
 from touchline.session import written
 
+AGGREGATES = ("sum", "avg", "count", "min", "max")
+# Rows of a group that one task orders when nothing bounds the group.
+STRETCH = 100_000
+
 
 @dataclass(frozen=True)
 class Trailing:
@@ -34,42 +31,54 @@ class Trailing:
     current: bool = False
     agg: str = "sum"
 
+    def __post_init__(self) -> None:
+        if self.agg not in AGGREGATES:
+            raise ValueError(f"{self.agg} is none of {', '.join(AGGREGATES)}")
+
     def over(self, window: WindowSpec) -> Column:
         start = Window.unboundedPreceding if self.rows is None else -self.rows
         return getattr(F, self.agg)(self.column).over(window.rowsBetween(start, 0 if self.current else -1))
 
 
 def trailing(
-    df: DataFrame, specs: Sequence[Trailing], partition_by: Sequence[str], order_by: Sequence[str]
+    df: DataFrame,
+    specs: Sequence[Trailing],
+    partition_by: Sequence[str],
+    order_by: Sequence[str],
+    any_size: bool = False,
+    stretch: int = STRETCH,
 ) -> DataFrame:
-    """Add all trailing aggregates over one partitioning and order: one exchange, one sort.
+    """Add all trailing aggregates over one partitioning and order.
 
-    ``order_by`` has to be a total order inside a group.
+    ``order_by`` has to be a total order inside a group. Groups that their grain
+    bounds take one exchange and one sort. With ``any_size`` every group is cut into
+    stretches of ``stretch`` rows, so a key that holds most rows is many tasks; the
+    types are the same, and so are the values but for the order in which doubles
+    add up.
     """
     order = [F.col(c).asc_nulls_last() for c in order_by]
+    if any_size:
+        return _trailing_by_stretch(df, specs, partition_by, order, stretch)
+    return _with_windows(df, specs, partition_by, order)
 
-    def plain(rows: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*partition_by).orderBy(*order)
-        return rows.withColumns({s.name: s.over(window) for s in specs})
 
-    hot = hot_groups(df, partition_by)
-    if hot is None:
-        return plain(df)
-    cold_rows, hot_rows = split_hot(df, partition_by, hot)
-    return plain(cold_rows).unionByName(_trailing_by_stretch(hot_rows, specs, partition_by, order))
+def _with_windows(df: DataFrame, specs: Sequence[Trailing], keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumns({s.name: s.over(window) for s in specs})
 
 
 def _trailing_by_stretch(
-    df: DataFrame, specs: Sequence[Trailing], keys: Sequence[str], order: Sequence[Column]
+    df: DataFrame, specs: Sequence[Trailing], keys: Sequence[str], order: Sequence[Column], length: int
 ) -> DataFrame:
     """The same aggregates for groups cut into stretches of equal length.
 
-    A bounded frame reaches at most into the stretch before, so the last rows of
-    each stretch are copied to the next one. An unbounded frame is the running
-    total inside the stretch plus the total of all earlier stretches.
+    A bounded frame reaches at most some stretches back, so the last rows of each
+    are copied to the next one, which has to be as long as the frame. An unbounded
+    frame is the aggregate inside the stretch joined with that of all earlier ones.
     """
     reach = max([s.rows for s in specs if s.rows is not None], default=0)
-    length = max(hot_group_rows(df.sparkSession), reach, 1)
+    length = max(length, reach, 1)
+    types = {f.name: f.dataType for f in _with_windows(df, specs, keys, order).schema.fields}
     stretch = F.floor((F.col("_pos") - 1) / length)
     numbered = numbered_by_range(df, keys, order, "_pos").withColumn("_stretch", stretch)
 
@@ -85,43 +94,56 @@ def _trailing_by_stretch(
 
     window = Window.partitionBy(*keys, "_stretch").orderBy("_pos")
     unbounded = [s for s in specs if s.rows is None]
-    inputs = sorted({s.column for s in unbounded})
+    # An average joins as a sum and a count.
+    needed = sorted({(s.column, agg, s.current) for s in unbounded for agg in _parts(s.agg)})
+    place = {part: i for i, part in enumerate(needed)}
     running: dict[str, Column] = {s.name: s.over(window) for s in specs if s.rows is not None}
-    for i, column in enumerate(inputs):
-        for current in sorted({s.current for s in unbounded if s.column == column}):
-            frame = window.rowsBetween(Window.unboundedPreceding, 0 if current else -1)
-            mine = F.when(~F.col("_copied"), F.col(column))
-            running[f"_sum{i}_{current}"] = F.sum(mine).over(frame)
-            running[f"_cnt{i}_{current}"] = F.count(mine).over(frame)
+    for (column, agg, current), i in place.items():
+        frame = window.rowsBetween(Window.unboundedPreceding, 0 if current else -1)
+        running[f"_in{i}"] = getattr(F, agg)(F.when(~F.col("_copied"), F.col(column))).over(frame)
     rows = rows.withColumns(running).where(~F.col("_copied"))
 
     if unbounded:
-        sums = [F.sum(c).alias(f"_s{i}") for i, c in enumerate(inputs)]
-        counts = [F.count(c).alias(f"_c{i}") for i, c in enumerate(inputs)]
         earlier = Window.partitionBy(*keys).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
-        before = numbered.groupBy(*keys, "_stretch").agg(*sums, *counts)
+        whole = [getattr(F, agg)(column).alias(f"_all{i}") for (column, agg, _), i in place.items()]
+        # One row per stretch.
+        before = numbered.groupBy(*keys, "_stretch").agg(*whole)
         before = before.select(
-            *keys,
-            "_stretch",
-            *[F.sum(f"_s{i}").over(earlier).alias(f"_before_sum{i}") for i in range(len(inputs))],
-            *[F.sum(f"_c{i}").over(earlier).alias(f"_before_cnt{i}") for i in range(len(inputs))],
+            *keys, "_stretch", *[_over_parts(agg, f"_all{i}").over(earlier).alias(f"_ago{i}") for (_, agg, _), i in place.items()]
         )
         rows = join_same_keys(rows, bounded_broadcast(written(before, "before")), [*keys, "_stretch"])
         final = {}
         for s in unbounded:
-            i = inputs.index(s.column)
-            total = _add(F.col(f"_sum{i}_{s.current}"), F.col(f"_before_sum{i}"))
-            count = _add(F.col(f"_cnt{i}_{s.current}"), F.col(f"_before_cnt{i}"))
-            final[s.name] = {"sum": total, "count": F.coalesce(count, F.lit(0)), "avg": F.try_divide(total, count)}[
-                s.agg
-            ]
+            joined = {}
+            for agg in _parts(s.agg):
+                i = place[s.column, agg, s.current]
+                joined[agg] = _joined(agg, F.col(f"_in{i}"), F.col(f"_ago{i}"))
+            if s.agg == "avg":
+                # Sums in the type of a plain sum leave the quotient enough digits.
+                plain_sum = df.select(F.sum(s.column).alias("s")).schema[0].dataType
+                final[s.name] = F.try_divide(joined["sum"].cast(plain_sum), joined["count"])
+            else:
+                final[s.name] = joined[s.agg]
         rows = rows.withColumns(final)
-    return rows.select(*df.columns, *[s.name for s in specs])
+    return rows.select(*df.columns, *[F.col(s.name).cast(types[s.name]).alias(s.name) for s in specs])
+
 
+def _parts(agg: str) -> tuple[str, ...]:
+    return ("sum", "count") if agg == "avg" else (agg,)
 
-def _add(a: Column, b: Column) -> Column:
-    """Sum of two partial sums; NULL only if both are."""
-    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
+
+def _over_parts(agg: str, column: str) -> Column:
+    """Joins the aggregates of several stretches."""
+    return {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[agg](column)
+
+
+def _joined(agg: str, inside: Column, ago: Column) -> Column:
+    """An aggregate of a stretch's rows and that of the earlier stretches; NULL only if both are."""
+    if agg == "count":
+        return inside + F.coalesce(ago, F.lit(0))
+    if agg == "sum":
+        return F.when(inside.isNull(), ago).when(ago.isNull(), inside).otherwise(inside + ago)
+    return F.least(inside, ago) if agg == "min" else F.greatest(inside, ago)
 
 
 def rolling(
@@ -133,18 +155,25 @@ def rolling(
     include_current: bool = False,
     agg: str = "sum",
     name: str = "rolling_{}",
+    any_size: bool = False,
 ) -> DataFrame:
     """One trailing frame over several columns; ``cols`` may map a column to its label."""
     labels = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
     specs = [Trailing(c, name.format(label), n, include_current, agg) for c, label in labels.items()]
-    return trailing(df, specs, partition_by, order_by)
+    return trailing(df, specs, partition_by, order_by, any_size)
 
 
 def rolling_mean(
-    df: DataFrame, cols: Sequence[str], partition_by: Sequence[str], order_by: Sequence[str], window: int, name: str
+    df: DataFrame,
+    cols: Sequence[str],
+    partition_by: Sequence[str],
+    order_by: Sequence[str],
+    window: int,
+    name: str,
+    any_size: bool = False,
 ) -> DataFrame:
     """Mean of the last ``window`` rows with the current one; shorter histories count too."""
-    return rolling(df, cols, partition_by, order_by, window - 1, True, "avg", name)
+    return rolling(df, cols, partition_by, order_by, window - 1, True, "avg", name, any_size)
 
 
 def carry_to_next_period(df: DataFrame, period: str) -> DataFrame:

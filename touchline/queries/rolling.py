@@ -18,7 +18,7 @@ FRAMES = {"ub": None, "last3": 3, "last6": 6}
 def _event_sums(spark: SparkSession, sf_dir: str, current: bool) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", exact("value").alias("value"))
     specs = [Trailing("value", f"sum_{name}", rows, current) for name, rows in FRAMES.items()]
-    rolled = trailing(events, specs, ["user_id"], ["ts", "event_id"])
+    rolled = trailing(events, specs, ["user_id"], ["ts", "event_id"], any_size=True)
     return rolled.select("event_id", "user_id", *[plain(s.name).alias(s.name) for s in specs])
 
 
@@ -51,10 +51,39 @@ def rolling_sum_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rolling_mean_min1(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
-    means = rolling_mean(events, ["value"], ["user_id"], ["ts", "event_id"], 3, "{}_avg_3")
+    means = rolling_mean(events, ["value"], ["user_id"], ["ts", "event_id"], 3, "{}_avg_3", any_size=True)
     return means.select("event_id", "user_id", F.round("value_avg_3", 6).alias("value_avg_3"))
 
 
+@query(
+    """
+    SELECT event_id, CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS user_id,
+           SUM(CAST(value AS DECIMAL(18,4))) OVER prior AS sum_ub, COUNT(value) OVER prior AS n_ub,
+           MIN(value) OVER prior AS min_ub, MAX(value) OVER prior AS max_ub,
+           ROUND(AVG(value) OVER (PARTITION BY CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END
+               ORDER BY ts, event_id ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING), 6) AS avg_last6
+    FROM events
+    WINDOW prior AS (PARTITION BY CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END
+        ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    """
+)
+def rolling_one_large_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All aggregates over a key that holds a third of the rows."""
+    events = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(F.col("event_id") % 3 == 0, -1).otherwise(F.col("user_id")).alias("user_id"),
+        "ts",
+        "value",
+        exact("value").alias("amount"),
+    )
+    specs = [Trailing("amount", "sum_ub"), *[Trailing("value", f"{n}_ub", agg=a) for n, a in (("n", "count"), ("min", "min"), ("max", "max"))]]
+    specs.append(Trailing("value", "avg_last6", 6, agg="avg"))
+    rolled = trailing(events, specs, ["user_id"], ["ts", "event_id"], any_size=True)
+    return rolled.select(
+        "event_id", "user_id", "sum_ub", "n_ub", "min_ub", "max_ub", F.round("avg_last6", 6).alias("avg_last6")
+    )
+
+
 # Monthly supplier statistics stand in for a player's statistics per game week.
 MONTHLY = {"minutes": "l_quantity", "goals": "l_tax", "expected_goals": "l_discount", "assists": "l_linenumber"}
 
@@ -101,9 +130,7 @@ def _rates_sql() -> str:
 @query(_rates_sql())
 def rolling_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = [Trailing(c, f"{c}_{frame}", rows) for frame, rows in FRAMES.items() for c in MONTHLY]
-    # The groups are counted before they are rolled; the totals are cheaper to write than to add up twice.
-    months = written(_supplier_months(spark, sf_dir), "months")
-    rolled = trailing(months, specs, ["l_suppkey", "season"], ["game_week"])
+    rolled = trailing(_supplier_months(spark, sf_dir), specs, ["l_suppkey", "season"], ["game_week"])
     rolled = rolled.select("l_suppkey", "season", "game_week", *[plain(s.name).alias(s.name) for s in specs])
     formulas = {}
     for frame, coalesce in {"ub": False, "last3": True}.items():
@@ -166,7 +193,7 @@ def _two_sided_sql() -> str:
 @query(_two_sided_sql())
 def two_sided_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     sides = unpivot_sides(
-        written(trade_matches(spark, sf_dir), "matches"),
+        trade_matches(spark, sf_dir),
         ["season", "game_week", "home_id", "away_id"],
         {
             "home": {"team": "home_id", "team_scored": "home_goals", "team_conceded": "away_goals"},
@@ -208,7 +235,7 @@ def next_period_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     finished = F.col("o_orderdate") < F.lit("2000-07-01").cast("timestamp")
     week = max_where(orders, finished, "game_week") + 1
 
-    months = written(_supplier_months(spark, sf_dir).where(F.col("season") == 2000), "months")
+    months = _supplier_months(spark, sf_dir).where(F.col("season") == 2000)
     specs = [
         Trailing("minutes", "minutes_ub", None, True),
         Trailing("minutes", "minutes_last3", 2, True),
