@@ -121,6 +121,8 @@ def test_seasons(spark):
         )
     )
     assert row == ("2023-24", 2024, 2025, "2024-2025", True, False)
+    old = one(spark.range(1).select(*[f(F.lit(x)) for x in ("1998-99", "1999-00") for f in (s.season_end, s.long_season)]))
+    assert old == (1999, "1998-1999", 2000, "1999-2000")
 
 
 def test_clean_events(spark):

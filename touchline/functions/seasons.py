@@ -24,7 +24,9 @@ def season_start(season: Column) -> Column:
 
 
 def season_end(season: Column) -> Column:
-    return F.substring(season, 6, 2).cast("int") + 2000
+    """The first year after the start that ends in the label's last two digits."""
+    start = season_start(season)
+    return start + F.pmod(F.substring(season, 6, 2).cast("int") - start, F.lit(100))
 
 
 def previous_season(season: Column) -> Column:
@@ -35,7 +37,7 @@ def previous_season(season: Column) -> Column:
 
 def long_season(season: Column) -> Column:
     """2024-25 -> 2024-2025."""
-    return F.concat(F.substring(season, 1, 5), F.lit("20"), F.substring(season, 6, 2))
+    return F.concat(F.substring(season, 1, 5), season_end(season))
 
 
 def is_season(text: Column) -> Column:

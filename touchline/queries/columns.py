@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.columns import (
+    POSITIONS,
     clip_at_zero,
     columns_of,
     contains_text,
@@ -26,14 +27,14 @@ from touchline.queries.registry import query, table
 
 @query(
     """
-    SELECT o_orderkey, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'GK' WHEN '2' THEN 'DEF' WHEN '3' THEN 'MID' ELSE 'FWD' END AS position
-    FROM orders WHERE substr(o_orderpriority, 1, 1) <= '4'
+    SELECT o_orderkey, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'GK' WHEN '2' THEN 'DEF' WHEN '3' THEN 'MID' WHEN '4' THEN 'FWD' ELSE 'MNG' END AS position
+    FROM orders
     """
 )
 def enum_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    code = F.substring("o_orderpriority", 1, 1)
-    orders = table(spark, sf_dir, "orders").where(code <= "4")
-    return orders.select("o_orderkey", decode(code).alias("position"))
+    names = {**POSITIONS, "5": "MNG"}
+    position = decode(F.substring("o_orderpriority", 1, 1), names)
+    return table(spark, sf_dir, "orders").select("o_orderkey", position.alias("position"))
 
 
 @query(
@@ -84,8 +85,8 @@ SEASON_SQL = "(YEAR(o_orderdate) - CASE WHEN MONTH(o_orderdate) >= 8 THEN 0 ELSE
     f"""
     SELECT o_orderkey,
            printf('%d-%02d', start, (start + 1) % 100) AS season, printf('%d-%02d', start - 1, start % 100) AS previous,
-           CAST(start AS INTEGER) AS start_year, CAST(2000 + (start + 1) % 100 AS INTEGER) AS end_year,
-           printf('%d-20%02d', start, (start + 1) % 100) AS long_form, TRUE AS valid, FALSE AS date_valid
+           CAST(start AS INTEGER) AS start_year, CAST(start + 1 AS INTEGER) AS end_year,
+           printf('%d-%d', start, start + 1) AS long_form, TRUE AS valid, FALSE AS date_valid
     FROM (SELECT o_orderkey, {SEASON_SQL} AS start FROM orders)
     """
 )
