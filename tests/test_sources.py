@@ -87,6 +87,16 @@ def test_tables_with_spans_and_two_headers():
     assert pages.read_table(html, "absent") == [] and pages.read_table("<p>", "m") == []
 
 
+def test_cells_that_span_rows():
+    html = """<table id="m"><tr><th rowspan=2>A</th><th>B</th><th rowspan="0">D</th></tr><tr><th>C</th><th></th></tr>
+    <tr><th>E</th><th>F</th><th>G</th></tr>
+    <tr><td rowspan=3>x</td><td>1</td><td rowspan=2 colspan=1>y</td></tr><tr><td>2</td></tr><tr><td>3</td><td>z</td></tr>
+    <tr><th>A</th><th>B</th><th>D</th></tr></table>"""
+    names = ["A_A_E", "B_C_F", "D_G"]
+    rows = [["x", "1", "y"], ["x", "2", "y"], ["x", "3", "z"], ["A", "B", "D"]]
+    assert pages.read_table(html, "m") == [dict(zip(names, cells)) for cells in rows]
+
+
 def test_page_tables_job(spark):
     html = "<table id='m'><tr><th>Comp</th><th>Min</th></tr><tr><td>League</td><td>90</td></tr><tr><td>Cup</td><td></td></tr></table>"
     df = spark.createDataFrame([(1, "Ann", html), (2, "Ben", "<p>none</p>"), (3, "Cid", None)], "page_id long, who string, html string")

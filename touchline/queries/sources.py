@@ -17,6 +17,10 @@ from touchline.sources.payload import current_period, flatten, json_field
 from touchline.sources.predictions import append_predictions
 
 
+# Pages that a task makes and parses.
+PAGES_PER_TASK = 5_000
+
+
 @query(
     r"""
     SELECT page_id, unnest(regexp_extract_all(html, '<a\s(?:[^>]*?\s)?href="([^"]*)"', 1)) AS href FROM pages
@@ -80,10 +84,13 @@ def page_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
            CAST(CAST(FLOOR(o_totalprice) AS BIGINT) AS VARCHAR) AS Performance_Gls, o_orderstatus AS Expected_xG,
            'customer ' || CAST(o_custkey AS VARCHAR) AS name
     FROM orders
+    UNION ALL
+    SELECT o_orderkey, 1, 'Premier League', 'Matchweek 99', '0', o_orderstatus, 'customer ' || CAST(o_custkey AS VARCHAR)
+    FROM orders
     """
 )
 def page_tables_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order as a stored page with a two-level table of a league row and a cup row."""
+    """Every order as a stored page with a two-level table of two league rows, with cells that span both, and a cup row."""
 
     def cells(tag: str, *values) -> list:
         return [F.concat(F.lit(f"<{tag}>"), v, F.lit(f"</{tag}>")) for v in values]
@@ -94,13 +101,16 @@ def page_tables_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     week = F.concat(F.lit("Matchweek "), F.month("o_orderdate"))
     price = F.floor("o_totalprice").cast("string")
     # Spread the narrow rows before they become pages: parsing is the costly part.
-    orders = table(spark, sf_dir, "orders").repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+    orders = table(spark, sf_dir, "orders")
+    orders = orders.repartition(-(-orders.count() // PAGES_PER_TASK) or 1, "o_orderkey")
     html = F.concat(
         F.lit("<html><body><table id='other'><tr><th>Comp</th></tr><tr><td>none</td></tr></table>"),
         F.lit("<table class='stats' id='matchlogs_all'><thead><tr><th></th><th></th><th>Performance</th><th>Expected</th></tr>"),
         row("th", F.lit("Comp"), F.lit("Round"), F.lit("Gls"), F.lit("xG")),
         F.lit("</thead><tbody>"),
-        row("td", F.lit("Premier <b>League</b>"), week, price, F.col("o_orderstatus")),
+        F.lit("<tr><td rowspan='2'>Premier <b>League</b></td><td>"), week, F.lit("</td><td>"), price,
+        F.lit("</td><td rowspan=2>"), F.col("o_orderstatus"), F.lit("</td></tr>"),
+        F.lit("<tr><td>Matchweek 99</td><td>0</td></tr>"),
         row("td", F.lit("Cup &amp; Shield"), F.lit("Final"), F.lit(""), F.lit("")),
         F.lit("</tbody></table></body></html>"),
     )

@@ -42,7 +42,11 @@ TABLE = re.compile(r"<table\b", re.IGNORECASE)
 
 
 class _Table(HTMLParser):
-    """Cells of the first table with a given id, spans written out."""
+    """Cells of the first table with a given id, spans over columns and rows written out.
+
+    Header rows are those of ``thead`` and, before the first row of data, those
+    of ``th`` cells only. Cells that reach below a ``thead`` end with it.
+    """
 
     def __init__(self, table_id: str):
         super().__init__(convert_charrefs=True)
@@ -51,10 +55,12 @@ class _Table(HTMLParser):
         self.done = False
         self.rows: list[tuple[bool, list[str]]] = []
         self.in_head = False
-        self.row: list[tuple[str, int]] | None = None
+        self.row: list[tuple[str, int, int]] | None = None
         self.header_row = True
         self.cell: list[str] | None = None
-        self.span = 1
+        self.spans = (1, 1)
+        # Cells that reach into later rows, by column: text and how many rows are left.
+        self.hanging: dict[int, tuple[str, int]] = {}
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
@@ -64,13 +70,15 @@ class _Table(HTMLParser):
         if self.depth != 1:
             return
         if tag == "thead":
-            self.in_head = True
+            self.in_head, self.hanging = True, {}
         elif tag == "tr":
             self._end_row()
             self.row, self.header_row = [], True
         elif tag in ("td", "th") and self.row is not None:
             self._end_cell()
-            self.cell, self.span = [], int(dict(attrs).get("colspan") or 1)
+            named = dict(attrs)
+            self.cell = []
+            self.spans = tuple(_span(named.get(name)) for name in ("colspan", "rowspan"))
             self.header_row = self.header_row and tag == "th"
 
     def handle_endtag(self, tag):
@@ -86,7 +94,7 @@ class _Table(HTMLParser):
                 self._end_row()
             elif tag == "thead":
                 self._end_row()
-                self.in_head = False
+                self.in_head, self.hanging = False, {}
 
     def handle_data(self, data):
         if self.depth and self.cell is not None:
@@ -94,16 +102,39 @@ class _Table(HTMLParser):
 
     def _end_cell(self):
         if self.cell is not None:
-            self.row.append((" ".join("".join(self.cell).split()), self.span))
+            self.row.append((" ".join("".join(self.cell).split()), *self.spans))
             self.cell = None
 
     def _end_row(self):
-        if self.row is not None:
-            self._end_cell()
-            cells = [text for text, span in self.row for _ in range(span)]
-            if cells:
-                self.rows.append((self.in_head or (self.header_row and len(self.rows) < 2), cells))
-            self.row = None
+        if self.row is None:
+            return
+        self._end_cell()
+        cells: list[str] = []
+        later: dict[int, tuple[str, int]] = {}
+        own = iter(self.row)
+        while True:
+            if (hung := self.hanging.pop(len(cells), None)) is not None:
+                text, columns, rows = hung[0], 1, hung[1]
+            elif (cell := next(own, None)) is not None:
+                text, columns, rows = cell
+            elif self.hanging:
+                # Beyond this row's own cells only hanging ones are left.
+                text, columns, rows = "", min(self.hanging) - len(cells), 1
+            else:
+                break
+            for _ in range(columns):
+                if rows > 1:
+                    later[len(cells)] = (text, rows - 1)
+                cells.append(text)
+        self.hanging = later
+        if cells:
+            before_data = all(is_header for is_header, _ in self.rows)
+            self.rows.append((self.in_head or (self.header_row and bool(self.row) and before_data), cells))
+        self.row = None
+
+
+def _span(value: str | None) -> int:
+    return max(int(value), 1) if value and value.strip().isdigit() else 1
 
 
 def _flat_names(header: list[list[str]]) -> list[str]:
@@ -138,7 +169,7 @@ def page_tables(
 ) -> DataFrame:
     """Rows of the table with ``table_id`` in every page, wanted columns as text, empty cells NULL.
 
-    Spark has no HTML reader, so pages are parsed in Arrow batches.
+    Spark has no HTML reader, so pages are parsed in Arrow batches; pages without the id are not sent there.
     """
     kept = [f for f in pages.schema.fields if f.name in keep]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["`row` int"] + [f"`{c}` string" for c in columns])
@@ -156,7 +187,8 @@ def page_tables(
                     )
             yield pd.DataFrame(out, columns=[k.name for k in kept] + ["row"] + columns)
 
-    return pages.select(*[f.name for f in kept], html).mapInPandas(parse, schema)
+    holding = pages.where(F.contains(html, F.lit(table_id)))
+    return holding.select(*[f.name for f in kept], html).mapInPandas(parse, schema)
 
 
 def competition_rows(tables: DataFrame, competition: str, name: Column, column: str = "Comp") -> DataFrame:
