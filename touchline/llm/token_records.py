@@ -21,6 +21,7 @@ raises an error naming the file.
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
@@ -41,21 +42,48 @@ from touchline.llm.registry import query, table
 from touchline.session import scratch_path, written
 
 END_ID = 2
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 1_000_000
 ENTRY = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u8")])
 HEAD = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("width", "u1")])
 FRAME_BYTES = 16
 READ_BYTES = 8 << 20
 
-# White space as Unicode defines it. Byte-level pre-tokenizers always begin a new
-# token at white space after another character, so what lies between can be encoded alone.
+# White space as Unicode defines it; letters and signs of which pre-tokenizers never
+# put one of each into a token. A piece begins at white space after another character, or at a sign
+# after letters; byte-level pre-tokenizers always begin a token there, so pieces can be encoded alone.
 SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-PIECE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+SIGNS = r".,;:!?|#$%&*()\"'/-"
+PIECE = re.compile(f"[{SPACE}]*[{LETTERS}]++(?=[{SPACE}{SIGNS}]|\\Z)|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+WORD = re.compile(f" ?[{LETTERS}]+")
 
 MANIFEST = "shard int, data string, index string, records long, tokens long, width int"
 RECORDS = "doc_id long, shard int, offset long, start long, n_tokens long, ids_crc32 long"
 
 
+class KnownPieces(dict):
+    """The ids of pieces met before, as bytes; a new piece is encoded, and kept while there is room."""
+
+    def __init__(self, tokenizer, limit: int) -> None:
+        super().__init__()
+        self.tokenizer, self.model, self.limit = tokenizer, tokenizer.model, limit
+        # How the tokenizer writes a blank and each letter in the words of its model.
+        blank_and_letters = [" ", *filter(re.compile(f"[{LETTERS}]").match, map(chr, range(256)))]
+        self.written = {
+            ord(c): "".join(part for part, _ in tokenizer.pre_tokenizer.pre_tokenize_str(c)) for c in blank_and_letters
+        }
+
+    def __missing__(self, piece: str) -> bytes:
+        if WORD.fullmatch(piece):
+            # One word of the model: nothing to split.
+            ids = array("I", [token.id for token in self.model.tokenize(piece.translate(self.written))]).tobytes()
+        else:
+            ids = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        if len(self) < self.limit:
+            self[piece] = ids
+        return ids
+
+
 class TextEncoder:
     """Token ids of whole texts from a tokenizer file.
 
@@ -73,34 +101,29 @@ class TextEncoder:
         before = config.get("pre_tokenizer") or {}
         self.by_piece = (
             config.get("normalizer") is None
+            and config["model"].get("type") == "BPE"
+            and not config["model"].get("dropout")
             and before.get("type") == "ByteLevel"
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
+            and all(re.fullmatch(f"[^{SPACE}{LETTERS}].*[^{SPACE}{LETTERS}]", t["content"]) for t in config["added_tokens"])
             and not any(re.search(f"[{SPACE}]", t["content"]) or t["lstrip"] or t["rstrip"] for t in config["added_tokens"])
         )
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.limit = known_pieces
-        self.known: dict[str, bytes] = {}
+        self.known = KnownPieces(self.tokenizer, known_pieces) if self.by_piece else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if not self.by_piece:
-            return self._ids(texts)
-        split = [PIECE.findall(text) for text in texts]
-        new = set().union(*split) - self.known.keys()
-        if len(self.known) + len(new) > self.limit:
-            self.known = {}
-            new = set().union(*split)
-        new = list(new)
-        self.known.update(zip(new, self._ids(new)))
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in split]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for i in range(0, len(texts), 1000):
-            encoded = self.tokenizer.encode_batch_fast(texts[i : i + 1000], add_special_tokens=False)
-            out += [array("I", e.ids).tobytes() for e in encoded]
-        return out
+        if self.known is None:
+            encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [array("I", e.ids).tobytes() for e in encoded]
+        return [b"".join(map(self.known.__getitem__, PIECE.findall(text))) for text in texts]
+
+
+@functools.lru_cache(maxsize=1)
+def encoder_of(path: str) -> TextEncoder:
+    """The encoder stays with the worker process, so that later tasks know the pieces of earlier ones."""
+    return TextEncoder(path)
 
 
 def frame(payloads: list[bytes]) -> list[bytes]:
@@ -149,7 +172,7 @@ def write_token_records(
         for batch in batches:
             for part in pieces(batch, "text"):
                 if encoder is None:
-                    encoder = TextEncoder(tokenizer_path)
+                    encoder = encoder_of(tokenizer_path)
                     width = 2 if max(encoder.vocabulary, (end_id or 0) + 1) <= 1 << 16 else 4
                     end = b"" if end_id is None else np.uint32(end_id).tobytes()
                     files, root = arrow_fs.FileSystem.from_uri(folder)
