@@ -7,7 +7,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from touchline.modelling import prepare as p
-from touchline.modelling.families import Family, base_families, ensemble_families
+from touchline.modelling.families import Facts, Family, base_families, ensemble_families, label_facts
 from touchline.modelling.lifecycle import cross_validated, drift_check, predict, retrain, score_to_table, select_features
 from touchline.modelling.outliers import drop_outliers, fit_isolation_forest
 from touchline.modelling.search import Result, best_per_family, leaderboard, n_best, search
@@ -99,6 +99,27 @@ def test_isolation_forest_finds_the_far_rows(spark):
     assert kept.where("id >= 1000").isEmpty() and kept.count() > 400
 
 
+def test_the_forest_does_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, Vectors.dense(rng.normal(size=2))) for i in range(1500)] + [(5000, Vectors.dense([30.0, -30.0]))]
+    df = spark.createDataFrame(rows, ["id", "features"])
+    a, b = (fit_isolation_forest(df.repartition(n), trees=15) for n in (1, 8))
+    assert all(np.array_equal(getattr(a, name), getattr(b, name)) for name in ("feature", "threshold", "left", "right", "length"))
+    assert a.sample == 256 and drop_outliers(df.repartition(3), trees=15).where("id = 5000").isEmpty()
+    few = df.limit(20)
+    assert fit_isolation_forest(few, trees=4).sample == 20
+
+
+def test_bagging_boosting_and_forests_are_fitted(spark, matrix):
+    prepared = p.preprocessor(matrix, labels=["label_goals", "label_assists"]).fit(matrix).transform(matrix)
+    for family in ensemble_families(1):
+        params = {k: v for k, v in family.draw(1)[0].items()} | {"n_estimators": 4}
+        params |= {"max_depth": 3} if "max_depth" in params else {}
+        model = family.pipeline(params, label_facts(prepared)).fit(prepared)
+        errors = model.transform(prepared).agg(F.stddev(F.col("predicted_goals") - F.col("label_goals")), F.stddev("label_goals")).first()
+        assert errors[0] < errors[1]
+
+
 def test_expanding_folds(spark):
     df = spark.createDataFrame([(k, i) for k in range(1, 12) for i in range(2)], "fix_id int, i int")
     blocks = expanding_folds(df, "fix_id", 4)
@@ -120,11 +141,25 @@ def test_holdout_by_keys_and_by_rows(spark):
     assert {r.fix_id for r in few.collect()} == {30}
 
 
+FITTED_AS = {
+    "max_depth": "maxDepth",
+    "n_estimators": "numTrees",
+    "max_samples": "subsamplingRate",
+    "subsample": "subsamplingRate",
+    "learning_rate": "stepSize",
+    "bootstrap": "bootstrap",
+}
+
+
 def test_parameter_draws_are_seeded_and_in_range():
     for family in base_families(2) + ensemble_families(2):
         assert family.draw(3) == family.draw(3)
         for params in family.draw(5):
-            assert family.build({"degree": 1, **params}, 100) is not None
+            regressor = family.build({"degree": 1, **params}, Facts(100, 2.0))
+            # What was drawn is what is fitted.
+            for drawn, fitted in FITTED_AS.items():
+                if drawn in params and regressor.hasParam(fitted):
+                    assert regressor.getOrDefault(fitted) == params[drawn]
     names = [f.name for f in base_families(2)]
     assert names == ["Linear Regression", "Ridge", "Lasso", "Elastic Net", "Decision Tree 1", "Decision Tree 2"]
 

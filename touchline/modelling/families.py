@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -9,12 +10,16 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import PolynomialExpansion
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Label columns and the columns their predictions go to.
 OUTPUTS = {"label_goals": "predicted_goals", "label_assists": "predicted_assists"}
 SEED = 42
-# Spark grows trees no deeper than this.
+# Spark grows trees no deeper than this; ranges end there, so that what is drawn is what is fitted.
 DEEPEST = 30
+# Candidate thresholds per feature and split; Spark's trees split at quantiles, not at every value.
+MAX_BINS = 64
 
 Draw = Callable[[random.Random], object]
 
@@ -24,6 +29,11 @@ def whole(low: int, high: int) -> Draw:
     return lambda rng: rng.randrange(low, max(high, low + 1))
 
 
+def depth(low: int, high: int) -> Draw:
+    """A depth of trees, within what Spark can grow."""
+    return whole(low, min(high, DEEPEST + 1))
+
+
 def real(low: float, width: float) -> Draw:
     return lambda rng: rng.uniform(low, low + width)
 
@@ -32,8 +42,27 @@ def either(*values) -> Draw:
     return lambda rng: rng.choice(values)
 
 
-def share(value: float) -> float:
-    return min(max(value, 0.01), 1.0)
+def least_leaf(params: dict) -> int:
+    """Rows a leaf has to have.
+
+    Spark has no least size of a split; half of it for each side is the nearest setting that never splits a
+    smaller node.
+    """
+    return max(params["min_samples_leaf"], -(-params["min_samples_split"] // 2))
+
+
+@dataclass(frozen=True)
+class Facts:
+    """What penalties depend on: training rows, and the sample deviation of a label."""
+
+    rows: int
+    deviation: float = 1.0
+
+
+def label_facts(df: DataFrame, outputs: dict[str, str] = OUTPUTS) -> dict[str, Facts]:
+    """Facts of every label, in one pass."""
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[F.stddev_samp(label).alias(label) for label in outputs]).first()
+    return {label: Facts(row["rows"], row[label] or 1.0) for label in outputs}
 
 
 @dataclass
@@ -41,7 +70,7 @@ class Family:
     """A model by name: its parameter ranges and how to build it for one label."""
 
     name: str
-    build: Callable[[dict, int], object]
+    build: Callable[[dict, Facts], object]
     ranges: dict[str, Draw] = field(default_factory=dict)
     polynomial: bool = False
 
@@ -52,8 +81,8 @@ class Family:
             return [{}]
         return [{k: d(rng) for k, d in self.ranges.items()} for _ in range(n)]
 
-    def pipeline(self, params: dict, rows: int, outputs: dict[str, str] = OUTPUTS) -> Pipeline:
-        """One fitted stage per output on ``features``, each with its own prediction column."""
+    def pipeline(self, params: dict, facts: dict[str, Facts], outputs: dict[str, str] = OUTPUTS) -> Pipeline:
+        """One stage per output on ``features``, each with its own prediction column, to be fitted on rows with ``facts``."""
         stages: list = []
         column = "features"
         degree = params.get("degree", 1)
@@ -61,58 +90,72 @@ class Family:
             column = "features_expanded"
             stages.append(PolynomialExpansion(degree=degree, inputCol="features", outputCol=column))
         for label, prediction in outputs.items():
-            regressor = self.build(params, rows)
+            regressor = self.build(params, facts[label])
             stages.append(regressor.copy().setParams(featuresCol=column, labelCol=label, predictionCol=prediction))
         return Pipeline(stages=stages)
 
 
-def _linear(penalty: Callable[[dict, int], tuple[float, float]]) -> Callable[[dict, int], LinearRegression]:
-    def build(params: dict, rows: int) -> LinearRegression:
-        strength, mix = penalty(params, rows)
-        return LinearRegression(regParam=strength, elasticNetParam=mix, standardization=False)
+def _linear(penalty: Callable[[dict, Facts], tuple[float, float]]) -> Callable[[dict, Facts], LinearRegression]:
+    """Least squares over rows with penalties a * |w| and b / 2 * w ** 2 on the mean squared error's half.
+
+    Spark divides its quadratic penalty by the label's deviation, so b is multiplied by it.
+    """
+
+    def build(params: dict, facts: Facts) -> LinearRegression:
+        a, b = penalty(params, facts)
+        b *= facts.deviation
+        return LinearRegression(regParam=a + b, elasticNetParam=a / (a + b) if a else 0.0, standardization=False)
 
     return build
 
 
-def _tree(params: dict, rows: int) -> RandomForestRegressor:
+def _tree(params: dict, facts: Facts) -> RandomForestRegressor:
     """One tree with a random subset of features per split."""
     return RandomForestRegressor(
         numTrees=1,
         bootstrap=False,
         featureSubsetStrategy="sqrt",
-        maxDepth=min(params["max_depth"], DEEPEST),
-        minInstancesPerNode=params["min_samples_leaf"],
+        maxDepth=params["max_depth"],
+        maxBins=MAX_BINS,
+        minInstancesPerNode=least_leaf(params),
         seed=SEED,
     )
 
 
-def _bagging(params: dict, rows: int) -> RandomForestRegressor:
+def _bagging(params: dict, facts: Facts) -> RandomForestRegressor:
+    """Drawing features with replacement sees fewer distinct ones: a share of 1 - e ** -f of them."""
+    features = params["max_features"]
+    if params["bootstrap_features"]:
+        features = 1.0 - math.exp(-features)
     return RandomForestRegressor(
         numTrees=params["n_estimators"],
         bootstrap=params["bootstrap"],
-        subsamplingRate=share(params["max_samples"]),
-        featureSubsetStrategy=str(share(params["max_features"])),
+        subsamplingRate=params["max_samples"],
+        featureSubsetStrategy=str(features),
         maxDepth=DEEPEST,
+        maxBins=MAX_BINS,
         seed=SEED,
     )
 
 
-def _boosted(params: dict, rows: int) -> GBTRegressor:
+def _boosted(params: dict, facts: Facts) -> GBTRegressor:
     return GBTRegressor(
-        maxDepth=min(params["max_depth"], DEEPEST),
-        stepSize=share(params["learning_rate"]),
+        maxDepth=params["max_depth"],
+        maxBins=MAX_BINS,
+        stepSize=params["learning_rate"],
         maxIter=params["n_estimators"],
-        subsamplingRate=share(params["subsample"]),
-        featureSubsetStrategy=str(share(params["colsample_bytree"])),
+        subsamplingRate=params["subsample"],
+        featureSubsetStrategy=str(params["colsample_bytree"]),
         seed=SEED,
     )
 
 
-def _forest(params: dict, rows: int) -> RandomForestRegressor:
+def _forest(params: dict, facts: Facts) -> RandomForestRegressor:
     return RandomForestRegressor(
         numTrees=params["n_estimators"],
-        maxDepth=min(params["max_depth"], DEEPEST),
-        minInstancesPerNode=params["min_samples_leaf"],
+        maxDepth=params["max_depth"],
+        maxBins=MAX_BINS,
+        minInstancesPerNode=least_leaf(params),
         bootstrap=params["bootstrap"],
         featureSubsetStrategy="sqrt",
         seed=SEED,
@@ -123,21 +166,25 @@ def base_families(variants: int = 10) -> list[Family]:
     """Linear models and single trees of growing size."""
     degree = whole(1, 2)
     return [
-        Family("Linear Regression", _linear(lambda p, n: (0.0, 0.0))),
-        # The ridge penalty is stated for the summed error, Spark's for the mean.
-        Family("Ridge", _linear(lambda p, n: (p["alpha"] / max(n, 1), 0.0)), {"degree": degree, "alpha": real(0.01, 10)}, True),
-        Family("Lasso", _linear(lambda p, n: (p["alpha"], 1.0)), {"degree": degree, "alpha": real(0.01, 1)}, True),
+        Family("Linear Regression", _linear(lambda p, facts: (0.0, 0.0))),
+        # The ridge penalty is stated for the summed error.
+        Family("Ridge", _linear(lambda p, facts: (0.0, p["alpha"] / max(facts.rows, 1))), {"degree": degree, "alpha": real(0.01, 10)}, True),
+        Family("Lasso", _linear(lambda p, facts: (p["alpha"], 0.0)), {"degree": degree, "alpha": real(0.01, 1)}, True),
         Family(
             "Elastic Net",
-            _linear(lambda p, n: (p["alpha"], min(p["l1_ratio"], 1.0))),
-            {"degree": degree, "alpha": real(0.01, 1), "l1_ratio": real(0.01, 1)},
+            _linear(lambda p, facts: (p["alpha"] * p["l1_ratio"], p["alpha"] * (1 - p["l1_ratio"]))),
+            {"degree": degree, "alpha": real(0.01, 1), "l1_ratio": real(0.01, 0.99)},
             True,
         ),
         *[
             Family(
                 f"Decision Tree {i}",
                 _tree,
-                {"max_depth": whole(1, 10 * i), "min_samples_leaf": whole(1, i + 1)},
+                {
+                    "max_depth": depth(1, 10 * i),
+                    "min_samples_split": whole(2 * i, 10 * i),
+                    "min_samples_leaf": whole(1, i + 1),
+                },
             )
             for i in range(1, variants + 1)
         ],
@@ -158,13 +205,14 @@ def ensemble_families(variants: int = 5) -> list[Family]:
                     "max_samples": real(0.1, growth * i),
                     "max_features": real(0.1, growth * i),
                     "bootstrap": either(True, False),
+                    "bootstrap_features": either(True, False),
                 },
             ),
             Family(
                 f"GradientBoosting_{i}",
                 _boosted,
                 {
-                    "max_depth": whole(3, 10 * i),
+                    "max_depth": depth(3, 10 * i),
                     "learning_rate": real(0.1, 0.1 + growth * i),
                     "n_estimators": whole(50, 200 * i),
                     "subsample": real(0.1, 0.1 + growth * i),
@@ -176,7 +224,8 @@ def ensemble_families(variants: int = 5) -> list[Family]:
                 _forest,
                 {
                     "n_estimators": whole(100, 300 * i),
-                    "max_depth": whole(5 * i, 20 * i),
+                    "max_depth": depth(5 * i, 20 * i),
+                    "min_samples_split": whole(2 * i, 10 * i),
                     "min_samples_leaf": whole(1, 5 * i),
                     "bootstrap": either(True, False),
                 },

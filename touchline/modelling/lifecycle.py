@@ -11,7 +11,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.modelling.families import OUTPUTS, SEED, Family, base_families, ensemble_families
+from touchline.modelling.families import OUTPUTS, SEED, Family, base_families, ensemble_families, label_facts
 from touchline.modelling.outliers import TREES, drop_outliers
 from touchline.modelling.prepare import KEY, preprocessor
 from touchline.modelling.search import PAIRS, Result, choose, leaderboard, n_best, search
@@ -49,16 +49,17 @@ def train(
 ) -> Trained:
     """From a labelled matrix to a fitted pipeline of preparation and regressors.
 
-    Outliers are left out of the training part only, so the hold-out stays whole;
-    the final fit uses the same kept rows and the hold-out.
+    Preparation learns from the training part alone, and outliers are left out of
+    it only, so the hold-out stays whole and unseen; the final fit uses the same
+    kept rows and the hold-out.
     """
     budget = SMOKE_BUDGET if smoke else FULL_BUDGET
     if families is None:
         families = (base_families(budget["variants"]), ensemble_families(budget["variants"]))
     labels = list(OUTPUTS)
-    prepare = preprocessor(matrix, labels=labels).fit(matrix)
-    prepared = cut_lineage(prepare.transform(matrix).select(KEY, *labels, "features"))
-    rest, holdout = holdout_last(prepared, KEY)
+    rest, last = holdout_last(matrix, KEY)
+    prepare = preprocessor(rest, labels=labels).fit(rest)
+    rest, holdout = (cut_lineage(prepare.transform(part).select(KEY, *labels, "features")) for part in (rest, last))
     kept = cut_lineage(drop_outliers(rest, seed=seed, trees=trees))
 
     results: list[Result] = []
@@ -70,7 +71,7 @@ def train(
     winner, _, errors = choose(best, kept, holdout)
 
     final_rows = kept.unionByName(holdout)
-    regressors = winner.family.pipeline(winner.params, final_rows.count()).fit(final_rows)
+    regressors = winner.family.pipeline(winner.params, label_facts(final_rows)).fit(final_rows)
     model = PipelineModel(stages=[*prepare.stages, *regressors.stages])
     return Trained(model, winner, errors, leaderboard(matrix.sparkSession, results))
 

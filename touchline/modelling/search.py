@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.modelling.families import OUTPUTS, SEED, Family
+from touchline.modelling.families import OUTPUTS, SEED, Family, label_facts
 from touchline.modelling.validation import expanding_folds, fold
 from touchline.operators.aggregates import combined_error
 
@@ -56,13 +56,13 @@ def search(
     sides = []
     for number in range(1, folds + 1):
         train, test = fold(blocks, number)
-        rows = train.count()
-        if rows and not test.isEmpty():
-            sides.append((train, test, rows))
+        facts = label_facts(train)
+        if all(f.rows for f in facts.values()) and not test.isEmpty():
+            sides.append((train, test, facts))
 
     def run(result: Result) -> Result:
         scores = [
-            score(result.family.pipeline(result.params, rows).fit(train), test) for train, test, rows in sides
+            score(result.family.pipeline(result.params, facts).fit(train), test) for train, test, facts in sides
         ]
         result.means = {m: _mean([s[m] for s in scores]) for m in METRICS}
         return result
@@ -110,10 +110,10 @@ def choose(
     finalists: Sequence[Result], train: DataFrame, holdout: DataFrame, metric: str = "combined_metric"
 ) -> tuple[Result, PipelineModel, dict[str, float]]:
     """Refit the finalists on all training rows and keep the one with the least hold-out error."""
-    rows = train.count()
+    facts = label_facts(train)
     best = None
     for result in finalists:
-        model = result.family.pipeline(result.params, rows).fit(train)
+        model = result.family.pipeline(result.params, facts).fit(train)
         errors = score(model, holdout)
         if best is None or _order(_number(errors[metric])) < _order(_number(best[2][metric])):
             best = (result, model, errors)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.ranking import dense_id
+from touchline.operators.windows import Trailing, trailing
 from touchline.session import written
 
 
@@ -44,8 +45,11 @@ def holdout_last(df: DataFrame, key: str, train_ratio: float = 0.9, compat: bool
     total = keys.agg(F.max("key_rank")).first()[0] or 0
     n = total // int(1 / (1 - train_ratio))
     if compat:
-        # Without a count the whole list is taken: the last zero rows are all rows.
-        last = df.select(key).orderBy(F.desc(key)).limit(n).distinct() if n else keys.select(key)
+        # Without a count the whole list is taken: the last zero rows are all rows. Rows are counted per key
+        # and added up, so no task sorts the last n of them.
+        counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+        through = trailing(counted, [Trailing("_rows", "_through", None, True)], [], [key], any_size=True)
+        last = through.where(F.col("_through") > df.count() - n).select(key) if n else keys.select(key)
     else:
         last = keys.where(F.col("key_rank") > total - n).select(key)
     return df.join(last, key, "left_anti"), df.join(last, key, "left_semi")

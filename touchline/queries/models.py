@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.modelling.families import Family, base_families, either, ensemble_families, whole
+from touchline.modelling.families import Family, base_families, either, ensemble_families, label_facts, whole
 from touchline.modelling.lifecycle import (
     cross_validated,
     drift_check,
@@ -220,14 +222,18 @@ def quick_families() -> list[Family]:
     forest = next(f for f in ensemble_families(1) if f.name == "RandomForest_1")
     return [
         *[f for f in base_families(0) if f.name in ("Linear Regression", "Ridge")],
-        Family(tree.name, tree.build, {"max_depth": whole(2, 5), "min_samples_leaf": whole(1, 3)}),
+        Family(tree.name, tree.build, {"max_depth": whole(2, 5), "min_samples_split": whole(2, 10), "min_samples_leaf": whole(1, 3)}),
         Family(
             forest.name, forest.build,
-            {"n_estimators": whole(3, 5), "max_depth": whole(2, 4), "min_samples_leaf": whole(1, 5), "bootstrap": either(True, False)},
+            {"n_estimators": whole(3, 5), "max_depth": whole(2, 4), "min_samples_split": whole(2, 10), "min_samples_leaf": whole(1, 5), "bootstrap": either(True, False)},
         ),
     ]
 
 
+PRICE = {"l_extendedprice": "predicted"}
+PENALTY = {"Linear Regression": {}, "Ridge": {"alpha": 50_000.0}, "Lasso": {"alpha": 900.0}, "Elastic Net": {"alpha": 90.0, "l1_ratio": 0.4}}
+
+
 @query(
     """
     SELECT ROUND(REGR_SLOPE(l_extendedprice, l_quantity), 3) AS slope, ROUND(REGR_INTERCEPT(l_extendedprice, l_quantity), 1) AS intercept
@@ -237,12 +243,79 @@ def quick_families() -> list[Family]:
 def linear_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
     rows = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(lines)
-    model = LinearRegression(labelCol="l_extendedprice", solver="normal").fit(rows)
+    family = next(f for f in base_families(0) if f.name == "Linear Regression")
+    model = family.pipeline({}, label_facts(rows, PRICE), PRICE).fit(rows).stages[0]
     return spark.createDataFrame(
         [(round(float(model.coefficients[0]), 3), round(model.intercept, 1))], "slope double, intercept double"
     )
 
 
+@query(
+    """
+    WITH sums AS (
+        SELECT COUNT(*) AS n, COVAR_POP(l_extendedprice, l_quantity) AS sxy, VAR_POP(l_quantity) AS sxx,
+               AVG(l_quantity) AS mx, AVG(l_extendedprice) AS my FROM lineitem
+    ), slopes AS (
+        SELECT 'Linear Regression' AS model, sxy / sxx AS w, mx, my FROM sums
+        UNION ALL SELECT 'Ridge', sxy / (sxx + 50000.0 / n), mx, my FROM sums
+        UNION ALL SELECT 'Lasso', SIGN(sxy) * GREATEST(ABS(sxy) - 900.0, 0) / sxx, mx, my FROM sums
+        UNION ALL SELECT 'Elastic Net', SIGN(sxy) * GREATEST(ABS(sxy) - 36.0, 0) / (sxx + 54.0), mx, my FROM sums
+    )
+    SELECT model, ROUND(w, 2) AS slope, ROUND(my - w * mx, 0) AS intercept FROM slopes
+    """
+)
+def linear_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four linear families on one feature, where their penalties have closed forms."""
+    lines = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
+    rows = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(lines).persist()
+    facts = label_facts(rows, PRICE)
+    found = []
+    for family in base_families(0):
+        model = family.pipeline(PENALTY[family.name], facts, PRICE).fit(rows).stages[0]
+        found.append((family.name, round(float(model.coefficients[0]), 2), float(round(model.intercept))))
+    rows.unpersist()
+    return spark.createDataFrame(found, "model string, slope double, intercept double")
+
+
+STUMP = {"max_depth": 1, "min_samples_split": 2, "min_samples_leaf": 1}
+UNSAMPLED = {
+    "Decision Tree 1": STUMP,
+    "RandomForest_1": {**STUMP, "n_estimators": 2, "bootstrap": False},
+    "GradientBoosting_1": {"max_depth": 1, "learning_rate": 0.1, "n_estimators": 1, "subsample": 1.0, "colsample_bytree": 1.0},
+    "Bagging_DecisionTree_1": {
+        "n_estimators": 2, "max_samples": 1.0, "max_features": 1.0, "bootstrap": False, "bootstrap_features": False,
+    },
+}
+
+
+@query(
+    """
+    WITH per AS (SELECT l_quantity AS q, COUNT(*) AS n, SUM(l_extendedprice) AS s FROM lineitem GROUP BY 1),
+    cuts AS (
+        SELECT q, SUM(n) OVER (ORDER BY q) AS ln, SUM(s) OVER (ORDER BY q) AS ls, SUM(n) OVER () AS n, SUM(s) OVER () AS s FROM per
+    ), best AS (
+        SELECT q, ls / ln AS below, (s - ls) / (n - ln) AS above FROM cuts WHERE n > ln
+        ORDER BY ls * ls / ln + (s - ls) * (s - ls) / (n - ln) DESC LIMIT 1
+    )
+    SELECT model, per.q AS l_quantity, ROUND(CASE WHEN per.q <= best.q THEN below ELSE above END, 2) AS predicted
+    FROM per, best, (VALUES ('Decision Tree 1'), ('RandomForest_1'), ('GradientBoosting_1')) AS m(model)
+    UNION ALL SELECT 'Bagging_DecisionTree_1', q, ROUND(s / n, 2) FROM per
+    """
+)
+def tree_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees of one split and whole trees on one feature without sampling: the best cut, and the mean of every value."""
+    lines = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
+    rows = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(lines).persist()
+    facts = label_facts(rows, PRICE)
+    values = rows.select("l_quantity", "features").dropDuplicates(["l_quantity"])
+    parts = []
+    for family in [*base_families(1), *ensemble_families(1)]:
+        if family.name in UNSAMPLED:
+            fitted = family.pipeline(UNSAMPLED[family.name], facts, PRICE).fit(rows).transform(values)
+            parts.append(fitted.select(F.lit(family.name).alias("model"), "l_quantity", F.round("predicted", 2).alias("predicted")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     """
     SELECT name FROM (
