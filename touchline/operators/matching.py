@@ -240,11 +240,11 @@ def review_queue(
     holders = free.select("candidate", F.explode(held).alias("token")).join(tokens, "token", "left_semi")
     if not ranked:
         return holders.select("token", "candidate")
-    # The score depends on the compared text alone, so people who share it are ranked once.
-    texts = people.select(whole.alias("_text"), "token").distinct()
-    scored = texts.join(holders, "token").withColumn(
-        "score", similarity(match_key(F.col("_text")), match_key(F.col("candidate")))
-    )
+    # The score depends on the compared text alone, so people who share it are ranked once. Keys are made
+    # once per text and candidate, before any pair is formed.
+    texts = people.select(whole.alias("_text"), "token").distinct().withColumn("_key", match_key(F.col("_text")))
+    keys = written(free.select("candidate", match_key(F.col("candidate")).alias("_other")), "candidate-keys")
+    scored = texts.join(holders.join(keys, "candidate"), "token").withColumn("score", similarity(F.col("_key"), F.col("_other")))
     best = first_rows(scored, ["_text"], [F.desc("score"), F.asc("candidate")], limit, "choice")
     return people.withColumn("_text", whole).join(best, "_text").select(first, last, "candidate", "score", "choice")
 

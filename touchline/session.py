@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,14 +31,14 @@ def local_session(app: str = "touchline", cpus: int | str = 8, **conf: str) -> S
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may
-    fall back to a temporary folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``. Only a master whose tasks
+    run in the driver's process may fall back to a temporary folder.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None:
-            if not context.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
                 raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
             named = tempfile.mkdtemp(prefix="touchline-")
         context.setCheckpointDir(named)
