@@ -7,7 +7,7 @@ import pytest
 from edge_rows import docs, no_docs, texts
 
 from touchline.llm.queries import QUERIES
-from touchline.llm.toxicity import PASSAGE, _words, best_passages, fit, score_toxicity, train_toxicity
+from touchline.llm.toxicity import PASSAGE, _distinct, _words, best_passages, fit, score_toxicity, train_toxicity
 
 
 def made_up(count, seed, insults=("dreadfulfool", "wretchedswine")):
@@ -30,12 +30,12 @@ def model():
 
 
 def test_unseen_documents_and_misspellings(model):
-    rows = made_up(300, 1)[:0] + made_up(600, 1)[500:]
+    rows = made_up(600, 1)[500:]
     score = model.score([t for t, _ in rows])
     assert ((score >= 0.5) == [bool(y) for _, y in rows]).mean() > 0.95
-    base = " ".join(w for w in rows[1][0].split()[:20])
-    plain, right, wrong = model.score([base, base + " dreadfulfool", base + " dreadfulfooool"])
-    assert plain < 0.5 < wrong <= right + 0.5
+    base = " ".join(rows[1][0].split()[:20])
+    plain, right, wrong = model.score([base, base + " dreadfulfool", base + " dreadfullfool"])
+    assert plain < 0.5 < right and wrong > 5 * plain
 
 
 def test_best_passages_agree_with_a_loop():
@@ -43,7 +43,8 @@ def test_best_passages_agree_with_a_loop():
     samples = ["a b c", "", " ".join(f"w{i}" for i in range(30)), "same same same other", "x" * 50]
     words = _words(samples)
     numbers = rng.normal(size=1 << 17)
-    best, place, length = best_passages(words.owners, numbers[words.buckets], words.first, PASSAGE)
+    counts = np.bincount(words.owners)
+    best, place, length = best_passages(np.bincount(words.owners, numbers[words.buckets]) / counts, words.first, PASSAGE)
     for i in range(len(samples)):
         own = []
         for w in range(words.first[i], words.first[i + 1]):
@@ -56,6 +57,15 @@ def test_best_passages_agree_with_a_loop():
     assert np.diff(words.first).tolist() == [3, 0, 30, 2, 1]
 
 
+def test_distinct_words_hold_the_same_grams():
+    samples = ["a b c", " ", "same same same Other", "other a\xa0b zz"]
+    whole = _words(samples)
+    words, first, buckets, grams = _distinct(samples)
+    assert np.array_equal(first, whole.first)
+    for i, word in enumerate(words):
+        assert np.array_equal(np.sort(buckets[grams[word] : grams[word + 1]]), np.sort(whole.buckets[whole.owners == i]))
+
+
 def test_grams_do_not_depend_on_other_texts():
     alone = [np.sort(_words([t]).buckets) for t in ("ab cd", "efg", "ab")]
     together = _words(["ab cd", "efg", "ab"])
