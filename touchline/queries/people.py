@@ -259,8 +259,7 @@ def earlier_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return earlier_id_list(lists, "2010-11")
 
 
-@query(
-    f"""
+CASCADE_SQL = f"""
     WITH names AS (SELECT {SPELLING_SQL} AS spelled, id FROM ({PARTS_SQL})),
     people AS (SELECT id, split_part(spelled, ' ', 1) AS first_name, substr(spelled, strpos(spelled, ' ') + 1) AS second_name FROM names),
     ids AS (SELECT name, 'n' || id AS id, split_part(name, ' ', 1) AS first_name, substr(name, strpos(name, ' ') + 1) AS second_name
@@ -277,13 +276,10 @@ def earlier_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
             SELECT abbr, name, {SCORE_SQL.format("lk", "rk")} AS score
             FROM (SELECT DISTINCT abbr, {KEY_SQL.format("abbr")} AS lk FROM merged WHERE id_fbref IS NULL), choices) WHERE score >= 80
         QUALIFY ROW_NUMBER() OVER (PARTITION BY abbr ORDER BY score DESC, name) = 1)
-    SELECT merged.first_name AS first_name_fpl, merged.second_name AS second_name_fpl, id_fpl,
-           CASE WHEN id_fbref IS NOT NULL THEN merged.name ELSE best.name END AS name_fbref,
-           COALESCE(id_fbref, (SELECT MIN(ids.id) FROM ids WHERE ids.name = best.name)) AS id_fbref
-    FROM merged LEFT JOIN best ON best.abbr = merged.abbr AND id_fbref IS NULL
-    """
-)
-def identity_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+"""
+
+
+def _cascade_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     parts = _parts(spark, sf_dir)
     names = parts.select("id", _spelling(F.col("name"), F.col("id").cast("int")).alias("spelled"))
     first, rest = split_once(F.col("spelled"))
@@ -295,9 +291,63 @@ def identity_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("second_name").alias("second_name_fpl"),
         F.concat(F.lit("p"), F.col("id")).alias("id_fbref"),
     )
+    return people, ids, previous
+
+
+@query(
+    f"""
+    {CASCADE_SQL}
+    SELECT merged.first_name AS first_name_fpl, merged.second_name AS second_name_fpl, id_fpl,
+           CASE WHEN id_fbref IS NOT NULL THEN merged.name ELSE best.name END AS name_fbref,
+           COALESCE(id_fbref, (SELECT MIN(ids.id) FROM ids WHERE ids.name = best.name)) AS id_fbref
+    FROM merged LEFT JOIN best ON best.abbr = merged.abbr AND id_fbref IS NULL
+    """
+)
+def identity_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people, ids, previous = _cascade_inputs(spark, sf_dir)
     return match_people(people, ids, previous, threshold=80).final
 
 
+@query(
+    f"""
+    {CASCADE_SQL},
+    resolved AS (
+        SELECT id_fpl, first_name || ' ' || second_name AS full_name,
+               CASE WHEN id_fbref IS NOT NULL THEN merged.name ELSE best.name END AS name,
+               COALESCE(id_fbref, (SELECT MIN(ids.id) FROM ids WHERE ids.name = best.name)) AS id
+        FROM merged LEFT JOIN best ON best.abbr = merged.abbr AND id_fbref IS NULL),
+    given AS (SELECT DISTINCT full_name, upper(substr(md5(full_name), 1, 8)) AS id FROM resolved
+              WHERE substr(md5(full_name), 1, 1) < '8')
+    SELECT 'final' AS list, r.id_fpl, r.full_name, CASE WHEN r.id IS NULL THEN COALESCE('Given ' || given.id, r.name) ELSE r.name END AS name,
+           COALESCE(r.id, given.id) AS id
+    FROM resolved r LEFT JOIN given ON given.full_name = r.full_name
+    UNION ALL
+    SELECT 'missing', NULL, r.full_name, NULL, NULL
+    FROM resolved r LEFT JOIN given ON given.full_name = r.full_name WHERE COALESCE(r.id, given.id) IS NULL
+    """
+)
+def identity_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cascade with links given by hand for half of all people, and the names still missing."""
+    people, ids, previous = _cascade_inputs(spark, sf_dir)
+    whole = F.concat_ws(" ", "first_name", "second_name")
+    digest = F.md5(whole.cast("binary"))
+    given = people.where(F.substring(digest, 1, 1) < "8").select(whole.alias("full_name_full"), F.upper(F.substring(digest, 1, 8)).alias("id"))
+    links = given.distinct().select(
+        "full_name_full", F.concat(F.lit("https://stats.example.org/en/players/"), "id", F.lit("/Given-"), "id").alias("link")
+    )
+    found = match_people(people, ids, previous, links, threshold=80)
+    final = found.final.select(
+        F.lit("final").alias("list"), "id_fpl", F.concat_ws(" ", "first_name_fpl", "second_name_fpl").alias("full_name"),
+        F.col("name_fbref").alias("name"), F.col("id_fbref").alias("id"),
+    )
+    none = F.lit(None)
+    missing = found.missing.select(
+        F.lit("missing").alias("list"), none.cast("long").alias("id_fpl"), F.col("full_name_full").alias("full_name"),
+        none.cast("string").alias("name"), none.cast("string").alias("id"),
+    )
+    return final.unionByName(missing)
+
+
 @query(
     f"""
     SELECT a.name AS left_name, b.name AS right_name, {SCORE_SQL.format("a.name", "b.name")} AS score

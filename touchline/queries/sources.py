@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions.names import url_path, url_segment
-from touchline.plans.cleanup import week_history
+from touchline.plans.cleanup import clean_history, clean_players, id_list, week_history
 from touchline.plans.identity import page_id_list
 from touchline.queries.registry import query, table
 from touchline.session import scratch_path
-from touchline.sources.files import publish, read_csv_table, read_histories, read_periods, typed, write_csv, write_json
+from touchline.sources.files import (
+    publish,
+    read_csv_table,
+    read_histories,
+    read_periods,
+    read_season_files,
+    replace_table,
+    save_id_map,
+    typed,
+    write_csv,
+    write_json,
+)
+from touchline.sources.schemas import CLEAN_PLAYER_COLUMNS
 from touchline.sources.pages import competition_rows, page_links, page_tables
 from touchline.sources.payload import current_period, flatten, json_field
 from touchline.sources.predictions import append_predictions
@@ -271,3 +285,89 @@ def typed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderstatus", "status")
     rounded = orders.withColumn("o_totalprice", F.bround("o_totalprice", 0))
     return typed(rounded, schema)
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def season_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file per season folder, loaded by its name's pattern from below the root with fixed types."""
+    root = scratch_path(spark, "season-files")
+    customers = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("season_"), F.col("c_nationkey")).alias("season"), "c_custkey", "c_name", "c_acctbal"
+    )
+    write_csv(customers, root, ["c_custkey", "c_name", "c_acctbal"], ["season"])
+    return read_season_files(spark, root, "part-*.csv", "c_custkey long, c_name string, c_acctbal double")
+
+
+@query("SELECT CAST(s_suppkey AS INTEGER) AS id, s_name AS name, s_acctbal AS price FROM supplier WHERE s_acctbal > 0")
+def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of fixed types, created and then replaced."""
+    name = f"touchline_{uuid.uuid4().hex}"
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.col("s_acctbal").cast("string").alias("price"), F.col("s_name").alias("name")
+    )
+    schema = T.StructType.fromDDL("id int, name string, price double")
+    replace_table(suppliers, name, schema)
+    replace_table(suppliers.where("cast(price as double) > 0"), name, schema)
+    return spark.table(name)
+
+
+@query("SELECT n_nationkey, n_name FROM nation")
+def published_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return publish(nations, f"touchline_{uuid.uuid4().hex}", table=True)
+
+
+@query(
+    """
+    SELECT 'found' AS kind, c_name AS name, CAST(c_custkey AS VARCHAR) AS id FROM customer WHERE c_acctbal > 0
+    UNION ALL SELECT 'missing', c_name, NULL FROM customer WHERE c_acctbal <= 0
+    """
+)
+def id_map_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People with an id as CSV and names without one as JSON, both read back."""
+    path = scratch_path(spark, "id-map")
+    customers = table(spark, sf_dir, "customer")
+    found = customers.where("c_acctbal > 0").select(F.col("c_name").alias("name"), F.col("c_custkey").alias("id"))
+    missing = customers.where("c_acctbal <= 0").select(F.col("c_name").alias("full_name_full"))
+    save_id_map(found, missing, path)
+    back = read_csv_table(spark, f"{path}/player_compiled_ids.csv", "name string, id string")
+    names = spark.read.schema("full_name_full string").json(f"{path}/missing_fbref_ids.json")
+    none = names.select(F.lit("missing").alias("kind"), F.col("full_name_full").alias("name"), F.lit(None).cast("string").alias("id"))
+    return back.select(F.lit("found").alias("kind"), "name", "id").unionByName(none)
+
+
+def _raw_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as raw players: one number in every column, positions as codes."""
+    suppliers = table(spark, sf_dir, "supplier")
+    number = {c: F.col("s_suppkey") for c in CLEAN_PLAYER_COLUMNS}
+    names = {"first_name": F.col("s_name"), "second_name": F.lower("s_name"), "element_type": (F.col("s_nationkey") % 4 + 1).cast("string")}
+    columns = number | names | {"id": F.col("s_suppkey"), "code": F.col("s_nationkey")}
+    return suppliers.select(*[v.alias(c) for c, v in columns.items()])
+
+
+@query(
+    """
+    SELECT s_name AS first_name, lower(s_name) AS second_name, s_suppkey AS goals_scored, s_suppkey AS assists,
+           s_suppkey AS total_points, s_suppkey AS minutes, s_suppkey AS goals_conceded, s_suppkey AS creativity,
+           s_suppkey AS influence, s_suppkey AS threat, s_suppkey AS bonus, s_suppkey AS bps, s_suppkey AS ict_index,
+           s_suppkey AS clean_sheets, s_suppkey AS red_cards, s_suppkey AS yellow_cards, s_suppkey AS selected_by_percent,
+           s_suppkey AS now_cost, CASE s_nationkey % 4 WHEN 0 THEN 'GK' WHEN 1 THEN 'DEF' WHEN 2 THEN 'MID' ELSE 'FWD' END AS element_type,
+           s_suppkey AS team
+    FROM supplier
+    """
+)
+def cleaned_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_players(_raw_players(spark, sf_dir))
+
+
+@query("SELECT s_name AS first_name, lower(s_name) AS second_name, s_suppkey AS id FROM supplier")
+def player_id_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_list(_raw_players(spark, sf_dir))
+
+
+@query("SELECT event_id AS element, value AS points, '2024-25' AS season FROM events")
+def cleaned_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("element"), F.col("value").alias("points"), F.col("event_type").alias("modified")
+    )
+    return clean_history(events, "2024-25")
