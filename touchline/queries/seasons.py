@@ -311,11 +311,16 @@ PLAYER_FORM_SQL = f"""
 """
 
 
-def _next_form_sql(cut: int) -> str:
+def _next_form_sql(cut: int, latest: bool = False) -> str:
+    form = f"SELECT player_name, player_id, fix_id, season, team_id, game_week, {_rolled_sql(True, cut)} FROM outfield WHERE season = '{SEASON}'"
+    if latest:
+        form = f"""
+            SELECT * REPLACE ((SELECT week FROM last_week) AS game_week) FROM ({form}) WHERE game_week <= (SELECT week FROM last_week)
+            QUALIFY ROW_NUMBER() OVER (PARTITION BY player_id, season ORDER BY game_week DESC, fix_id DESC, team_id DESC) = 1"""
     return f"""
         SELECT *, {SECOND_LAYER} FROM (SELECT *, {FIRST_LAYER} FROM (
             SELECT form.* EXCLUDE (fix_id, game_week), n.fix_id, n.game_week, {STRENGTH_SQL.format(f="n")}
-            FROM (SELECT player_name, player_id, fix_id, season, team_id, game_week, {_rolled_sql(True, cut)} FROM outfield WHERE season = '{SEASON}') form
+            FROM ({form}) form
             JOIN (SELECT s.*, i.team_id FROM sides s JOIN team_season_info i ON i.season = s.season AND i.fpl_season_id = s.own_id
                   WHERE s.season = '{SEASON}' AND s.game_week = (SELECT week + 1 FROM last_week)) n
               ON n.team_id = form.team_id AND form.game_week + 1 = n.game_week
@@ -433,6 +438,48 @@ def player_next_form_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rows.select("player_id", "fix_id", *rolled_names()), rolled_names())
 
 
+@query(
+    with_entities(f"SELECT player_id, fix_id, game_week, team_id, {_round_sql(rolled_names())} FROM ({_next_form_sql(1, latest=True)})")
+)
+def player_next_form_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players absent from the last finished week come with their latest row before it."""
+    season = Season(spark, sf_dir)
+    rows = marts.player_next_match(
+        season.real_performance, season.players, season.fixtures, season.plays, season.team_season_info, SEASON, latest_row=True
+    )
+    return rounded(rows.select("player_id", "fix_id", "game_week", "team_id", *rolled_names()), rolled_names())
+
+
+SURROGATE_SQL = PLAYER_FORM_SQL.replace("other.fpl_season_id", "other.team_id")
+
+
+@query(
+    with_entities(f"SELECT player_id, fix_id, team_id, home_or_away, opponent_team_id, team_strength, opponent_strength FROM ({SURROGATE_SQL})")
+)
+def player_form_surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The opponent's strength found by comparing its season id with the surrogate key."""
+    season = Season(spark, sf_dir)
+    rows = marts.player_pre_match(
+        season.real_performance, season.players, season.fixtures, season.plays, season.team_season_info, compat=True
+    )
+    return rows.select("player_id", "fix_id", "team_id", "home_or_away", "opponent_team_id", "team_strength", "opponent_strength")
+
+
+@query(
+    with_entities(
+        f"""
+        SELECT f.* FROM ({TEAM_NEXT_SQL}) f
+        JOIN (SELECT i.team_id FROM sides s JOIN team_season_info i ON i.season = s.season AND i.fpl_season_id = s.own_id
+              WHERE s.season = '{SEASON}' AND s.game_week = (SELECT week + 1 FROM last_week)) n ON n.team_id = f.team_id
+        """
+    )
+)
+def team_next_form_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A team's rows once per fixture of its next week, as a join by team alone gives them."""
+    season = Season(spark, sf_dir)
+    return marts.team_next_match(season.fixtures, season.team_season_info, SEASON, compat=True)
+
+
 MATRIX_NAMES = [*FEATURE_NAMES, *team_names()]
 
 
