@@ -31,6 +31,7 @@ SPECS = [
     for column in ("value", "amount", "half")
     for agg in AGGREGATES
     for name, (rows, current) in FRAMES.items()
+    if name in ("ub", "last6_now") or (column, agg) == ("value", "avg")
 ]
 
 
@@ -38,7 +39,7 @@ def rows_of(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("stretch", [1, 10, 999, 100_000])
+@pytest.mark.parametrize("stretch", [1, 700, 100_000])
 def test_trailing_over_groups_of_any_size(skewed, stretch):
     plain = trailing(skewed, SPECS, ["key"], ["at", "id"])
     cut = trailing(skewed, SPECS, ["key"], ["at", "id"], any_size=True, stretch=stretch)

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.session import cut_lineage, written
+from touchline.session import written
 
 # Rows of a few numbers each that may be broadcast once they are counted.
 BROADCAST_ROWS = 100_000
@@ -44,15 +44,21 @@ def numbered_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     and a table of (group, partition) starts, one row per group and partition,
     shifts them. The rows are written first with a random last sort column: copies
     of one row, however many, then spread over partitions, and sampling the bounds
-    does not run the input twice. The sorted rows are checkpointed because bounds
-    must not move between the two passes.
+    does not run the input twice. The sorted rows are written with their places, so
+    the passes that follow read the same ones.
     """
     rows = written(df.withColumn("_tie", F.rand(0)), "to-number")
     sort = [*[F.col(k) for k in keys], *order, F.col("_tie")]
-    placed = cut_lineage(rows.repartitionByRange(*sort).sortWithinPartitions(*sort))
     place = F.monotonically_increasing_id()
-    placed = placed.withColumn("_part", F.shiftright(place, ROW_BITS)).withColumn(
-        "_row", place.bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    placed = written(
+        rows.repartitionByRange(*sort)
+        .sortWithinPartitions(*sort)
+        .drop("_tie")
+        .withColumn("_place", place)
+        .withColumn("_part", F.shiftright("_place", ROW_BITS))
+        .withColumn("_row", F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1)))
+        .drop("_place"),
+        "placed",
     )
     # One row per (group, partition): at most groups + partitions rows.
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
