@@ -14,20 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.plans import marts, reports, staging
-from touchline.plans.features import (
+from touchline.queries import season_names
+from touchline.queries.registry import query, table
+from touchline.queries.season_names import (
     CONTRIBUTION_RATIOS,
     CONTRIBUTIONS,
     FORMULA_FRAMES,
+    FORMULAS,
     FRAMES,
     RATES,
     RATIOS,
+    ROLLED,
     STATS,
     TEAM_FRAMES,
-    formula_names,
-    rolled_names,
-    team_names,
+    TEAM_ROLLED,
 )
-from touchline.queries.registry import query, table
 from touchline.session import written
 
 SEASON = "2000-01"
@@ -180,8 +181,9 @@ class Season:
         )
 
 
-def _renamed_sql(names: dict[str, str]) -> str:
-    return ", ".join(f"r.{source} AS {label}" for source, label in names.items())
+def _of_raw(columns: str) -> str:
+    """The columns, taken from the table aliased r."""
+    return ", ".join(f"r.{column.strip()}" for column in columns.split(","))
 
 
 # The oracle's own statement of the entities, from the raw tables on.
@@ -193,9 +195,9 @@ ENTITY_SQL = {
         SELECT ROW_NUMBER() OVER (ORDER BY player_f_name, player_l_name) AS player_id, * FROM (
             SELECT DISTINCT fpl_f_name AS player_f_name, fpl_l_name AS player_l_name, id_fbref AS fbref_id FROM raw_compiled_ids)""",
     "fixtures": f"""
-        SELECT ROW_NUMBER() OVER (ORDER BY season, event, team_h, team_a) AS fix_id, {_renamed_sql(staging.FIXTURE_COLUMNS)} FROM raw_fixtures r""",
+        SELECT ROW_NUMBER() OVER (ORDER BY season, event, team_h, team_a) AS fix_id, {_of_raw(season_names.FIXTURE_SQL)} FROM raw_fixtures r""",
     "team_season_info": f"""
-        SELECT team_id, {_renamed_sql({k: v for k, v in staging.SEASON_COLUMNS.items() if k != "name"})}
+        SELECT team_id, {_of_raw(season_names.TEAM_SEASON_SQL)}
         FROM teams, raw_team_data r WHERE r.name = team_name""",
     "fpl_player": """
         SELECT ROW_NUMBER() OVER (ORDER BY player_id, position, season) AS fpl_player_id, * FROM (
@@ -211,13 +213,13 @@ ENTITY_SQL = {
         JOIN team_season_info i ON i.season = r.season AND i.fpl_season_id = r.team
         JOIN sides s ON s.season = r.season AND s.own_id = r.team GROUP BY player_id, team_id""",
     "fpl_performance": f"""
-        SELECT DISTINCT fpl_player_id, fix_id, r.value / 10 AS price, {_renamed_sql(staging.GAME_SIDE_COLUMNS)}
+        SELECT DISTINCT fpl_player_id, fix_id, r.value / 10 AS price, {_of_raw(season_names.GAME_SIDE_SQL)}
         FROM raw_fpl_performance r JOIN teams ON team_name = r.team JOIN team_season_info i ON i.team_id = teams.team_id AND i.season = r.season
         JOIN sides s ON CAST(s.game_date AS DATE) = CAST(r.kickoff_time AS DATE) AND s.own_id = i.fpl_season_id
         JOIN players ON player_f_name = split_part(r.name, ' ', 1) AND player_l_name = split_part(r.name, ' ', 2)
         JOIN fpl_player fp ON fp.player_id = players.player_id AND fp.season = r.season""",
     "real_performance": f"""
-        SELECT DISTINCT players.player_id, fix_id, {_renamed_sql(staging.EVENT_SIDE_COLUMNS)},
+        SELECT DISTINCT players.player_id, fix_id, {_of_raw(season_names.EVENT_SIDE_SQL)},
                CASE WHEN Performance_CS = 1 THEN 1 ELSE 0 END AS clean_sheets
         FROM raw_real_perf r JOIN raw_compiled_ids c ON c.fbref_name = r.Name
         JOIN players ON player_f_name = c.fpl_f_name AND player_l_name = c.fpl_l_name
@@ -294,7 +296,7 @@ def _round_sql(names: list[str]) -> str:
     return ", ".join(f"FLOOR(CAST({c} AS DOUBLE) * 1e6 + 0.5) / 1e6 AS {c}" for c in names)
 
 
-FEATURE_NAMES = [*rolled_names(), *formula_names()]
+FEATURE_NAMES = [*ROLLED, *FORMULAS]
 PLAIN_IDS = ["player_name", "player_id", "fix_id", "game_week", "season", "team_id"]
 STRENGTH_SQL = """
     CASE WHEN {f}.home_id = own.fpl_season_id THEN 1 ELSE 0 END AS home_or_away, other.fpl_season_id AS opponent_team_id,
@@ -427,7 +429,7 @@ def player_next_form(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    with_entities(f"SELECT player_id, fix_id, {_round_sql(rolled_names())} FROM ({_next_form_sql(0)})")
+    with_entities(f"SELECT player_id, fix_id, {_round_sql(ROLLED)} FROM ({_next_form_sql(0)})")
 )
 def player_next_form_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames one row longer than named; the opponent by season id as everywhere else."""
@@ -435,11 +437,11 @@ def player_next_form_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = marts.player_next_match(
         season.real_performance, season.players, season.fixtures, season.plays, season.team_season_info, SEASON, literal_frames=True
     )
-    return rounded(rows.select("player_id", "fix_id", *rolled_names()), rolled_names())
+    return rounded(rows.select("player_id", "fix_id", *ROLLED), ROLLED)
 
 
 @query(
-    with_entities(f"SELECT player_id, fix_id, game_week, team_id, {_round_sql(rolled_names())} FROM ({_next_form_sql(1, latest=True)})")
+    with_entities(f"SELECT player_id, fix_id, game_week, team_id, {_round_sql(ROLLED)} FROM ({_next_form_sql(1, latest=True)})")
 )
 def player_next_form_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Players absent from the last finished week come with their latest row before it."""
@@ -447,7 +449,7 @@ def player_next_form_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = marts.player_next_match(
         season.real_performance, season.players, season.fixtures, season.plays, season.team_season_info, SEASON, latest_row=True
     )
-    return rounded(rows.select("player_id", "fix_id", "game_week", "team_id", *rolled_names()), rolled_names())
+    return rounded(rows.select("player_id", "fix_id", "game_week", "team_id", *ROLLED), ROLLED)
 
 
 SURROGATE_SQL = PLAYER_FORM_SQL.replace("other.fpl_season_id", "other.team_id")
@@ -480,7 +482,7 @@ def team_next_form_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.team_next_match(season.fixtures, season.team_season_info, SEASON, compat=True)
 
 
-MATRIX_NAMES = [*FEATURE_NAMES, *team_names()]
+MATRIX_NAMES = [*FEATURE_NAMES, *TEAM_ROLLED]
 
 
 @query(
