@@ -9,9 +9,10 @@ long document is not excused by its length. n-grams are hashed to a fixed number
 of embeddings.
 
 Training takes a bounded sample of labelled rows, the same one each time, whose
-classes are weighted back to their counts. The first round averages whole
-documents; later rounds use the most toxic passage of each document under the
-model so far, and a random passage of each clean one. The trained pair of
+classes are weighted back to their counts. The first round averages long
+passages at random places; later rounds use the most toxic passage of each
+document under the model so far, and a random passage of each clean one. Only
+the n-grams of distinct words are held. The trained pair of
 matrices collapses to one number per n-gram for scoring.
 
 Defined cases: a NULL or blank text has no passage and the score of the bias
@@ -23,6 +24,7 @@ pass through ``score_toxicity`` unread.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -39,15 +41,19 @@ SIZES = (3, 4, 5)
 BUCKET_BITS = 17
 DIMENSIONS = 8
 PASSAGE = 8
+FIRST_PASSAGE = 128
 ROUNDS = 8
 BATCH = 64
 RATE = 0.05
 # Averages are multiplied by this before the softmax, so that embeddings stay small.
 SHARPNESS = 20.0
 # Bounds of the training sample.
-TOXIC_ROWS = 2500
-CLEAN_ROWS = 5000
+TOXIC_ROWS = 1500
+CLEAN_ROWS = 3000
 SCORED_BYTES = 2 << 20
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# Distinct words whose n-grams are cut at a time in training.
+WORDS_AT_ONCE = 20_000
 HASH = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)]
 
 
@@ -108,17 +114,12 @@ def _repeats(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.
     return same
 
 
-def best_passages(
-    owners: np.ndarray, scores: np.ndarray, first: np.ndarray, length: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def best_passages(word: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of every text the highest mean word score of a passage, its first word and its number of words.
 
-    ``owners`` has the word of every n-gram, ``scores`` the n-gram's number. A
-    text shorter than a passage is one; a text without words has score 0.
+    A text shorter than a passage is one; a text without words has score 0.
     """
-    total = int(first[-1])
-    counts = np.bincount(owners, minlength=total)
-    word = np.bincount(owners, scores, minlength=total) / np.maximum(counts, 1)
+    total = len(word)
     sums = np.concatenate([[0.0], np.cumsum(word)])
     sizes = np.diff(first)
     lengths = np.minimum(sizes, length)
@@ -147,27 +148,47 @@ class ToxicityModel:
 
     def score(self, texts: Sequence[str]) -> np.ndarray:
         words = _words(texts)
-        best, _, _ = best_passages(words.owners, self.numbers[words.buckets], words.first, PASSAGE)
+        counts = np.bincount(words.owners, minlength=int(words.first[-1]))
+        mean = np.bincount(words.owners, self.numbers[words.buckets], len(counts)) / np.maximum(counts, 1)
+        best, _, _ = best_passages(mean, words.first, PASSAGE)
         return 1.0 / (1.0 + np.exp(-np.clip(best + self.bias, -500, 500)))
 
 
+def _distinct(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word numbers of all texts, the first word of each text, the buckets of each distinct word, and its first bucket."""
+    numbers: dict[str, int] = {}
+    parts = []
+    for text in texts:
+        own = np.array([numbers.setdefault(w, len(numbers)) for w in WORD.findall(text.lower())], np.int32)
+        parts.append(own[np.r_[True, own[1:] != own[:-1]]] if len(own) else own)
+    first = np.cumsum([0] + [len(own) for own in parts])
+    known = list(numbers)
+    del numbers
+    buckets, counts = [], []
+    for i in range(0, len(known), WORDS_AT_ONCE):
+        cut = _words([" ".join(known[i : i + WORDS_AT_ONCE])])
+        buckets.append(cut.buckets[np.argsort(cut.owners, kind="stable")])
+        counts.append(np.bincount(cut.owners, minlength=int(cut.first[-1])))
+    return np.concatenate(parts), first, np.concatenate(buckets), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+
+
+def _word_means(numbers: np.ndarray, buckets: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Mean number of the n-grams of each distinct word, some words at a time."""
+    means = []
+    for i in range(0, len(grams) - 1, WORDS_AT_ONCE):
+        at = grams[i : i + WORDS_AT_ONCE + 1]
+        means.append(np.add.reduceat(numbers[buckets[at[0] : at[-1]]], at[:-1] - at[0]) / np.diff(at))
+    return np.concatenate(means)
+
+
 def fit(texts: Sequence[str], toxic: np.ndarray, weights: np.ndarray, seed: int = 0) -> ToxicityModel:
     """Embeddings and softmax weights by stochastic gradients with a step size per number."""
     if not len(texts) or toxic.min() == toxic.max():
         share = float(np.average(toxic, weights=weights)) if len(texts) else 0.0
         odds = 500.0 if share >= 1 else -500.0
         return ToxicityModel(np.zeros(1 << BUCKET_BITS), odds)
-    chunks = [_words(texts[i : i + 250]) for i in range(0, len(texts), 250)]
-    shift = np.cumsum([0] + [int(c.first[-1]) for c in chunks])
-    owners = np.concatenate([c.owners + s for c, s in zip(chunks, shift)]).astype(np.int32)
-    buckets = np.concatenate([c.buckets for c in chunks])
-    first = np.concatenate([*[c.first[:-1] + s for c, s in zip(chunks, shift)], [shift[-1]]])
-    del chunks
-    order = np.argsort(owners, kind="stable")
-    owners, buckets = owners[order], buckets[order]
-    del order
-    counts = np.bincount(owners, minlength=int(first[-1]))
-    grams = np.concatenate([[0], np.cumsum(counts)])
+    words, first, buckets, grams = _distinct(texts)
+    counts = np.diff(grams)
     sizes = np.diff(first)
 
     rng = np.random.default_rng(seed)
@@ -186,10 +207,12 @@ def fit(texts: Sequence[str], toxic: np.ndarray, weights: np.ndarray, seed: int
     has_words = np.flatnonzero(sizes)
     for turn in range(ROUNDS):
         if turn == 0:
-            place, length, label, weight = first[:-1][has_words], sizes[has_words], toxic[has_words], weights[has_words]
+            length = np.minimum(sizes, FIRST_PASSAGE)[has_words]
+            place = first[:-1][has_words] + rng.integers(0, sizes[has_words] - length + 1)
+            label, weight = toxic[has_words], weights[has_words]
         else:
             numbers = (embeddings @ (softmax[:, 1] - softmax[:, 0])).astype(np.float64)
-            _, best, lengths = best_passages(owners, numbers[buckets], first, PASSAGE)
+            _, best, lengths = best_passages(_word_means(numbers, buckets, grams)[words], first, PASSAGE)
             clean = has_words[toxic[has_words] == 0]
             other = first[:-1][clean] + rng.integers(0, sizes[clean] - lengths[clean] + 1)
             place = np.concatenate([best[has_words], other])
@@ -200,12 +223,12 @@ def fit(texts: Sequence[str], toxic: np.ndarray, weights: np.ndarray, seed: int
         for i in range(0, len(shuffled), BATCH):
             some = shuffled[i : i + BATCH]
             a, n, y, w = place[some], length[some], label[some], weight[some]
-            word = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            per_text = np.add.reduceat(counts[word], np.cumsum(n) - n)
-            from_gram = grams[a]
-            gram = np.repeat(from_gram - (np.cumsum(per_text) - per_text), per_text) + np.arange(int(per_text.sum()))
-            bucket = buckets[gram]
-            part = (SHARPNESS / counts[owners[gram]] / np.repeat(n, per_text)).astype(np.float32)
+            word = words[np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+            per_word = counts[word]
+            per_text = np.add.reduceat(per_word, np.cumsum(n) - n)
+            begins = np.cumsum(per_word) - per_word
+            bucket = buckets[np.repeat(grams[word] - begins, per_word) + np.arange(int(per_word.sum()))]
+            part = np.repeat((SHARPNESS / per_word / np.repeat(n, n)).astype(np.float32), per_word)
             mean = np.add.reduceat(embeddings[bucket] * part[:, None], np.cumsum(per_text) - per_text, axis=0)
             logits = mean @ softmax + bias
             odds = np.exp(logits - logits.max(axis=1, keepdims=True))
@@ -232,7 +255,8 @@ def train_toxicity(
 ) -> ToxicityModel:
     """A model from at most ``toxic_rows`` and ``clean_rows`` labelled rows outside the held-out part.
 
-    The sample, those with the smallest hashes of the id, is all that the driver reads.
+    The sample, those with the smallest hashes of the id, is read by one task, which the two arguments bound;
+    the driver gets the model alone.
     """
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -241,13 +265,25 @@ def train_toxicity(
     for value, rows in ((1, toxic_rows), (0, clean_rows)):
         part = known.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         chosen = part if chosen is None else chosen.unionByName(part)
-    # Bounded by the two arguments above.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    read = sample.orderBy("doc_id").toArrow()
-    toxic = read["toxic"].to_numpy().astype(np.int64)
-    texts = read["text"].combine_chunks().fill_null("").to_pylist() if len(read) else []
-    weights = np.array([totals.get(v, 0) / max(1, int((toxic == v).sum())) for v in (0, 1)])[toxic]
-    return fit(texts, toxic, weights / weights.mean() if len(weights) else weights)
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = sample.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic = [], []
+        for batch in batches:
+            texts += batch.column(1).fill_null("").to_pylist()
+            toxic += batch.column(2).to_pylist()
+        toxic = np.array(toxic, np.int64)
+        weights = np.array([totals.get(v, 0) / max(1, int((toxic == v).sum())) for v in (0, 1)])[toxic]
+        model = fit(texts, toxic, weights / weights.mean() if len(weights) else weights)
+        columns = [pa.array([model.numbers.tobytes()], pa.binary()), pa.array([model.bias], pa.float64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["numbers", "bias"])
+
+    one_task = sample.select("doc_id", "text", "toxic").repartition(1).sortWithinPartitions("doc_id")
+    found = one_task.mapInArrow(learn, "numbers binary, bias double").collect()
+    if not found:
+        return fit([], np.zeros(0, np.int64), np.zeros(0))
+    return ToxicityModel(np.frombuffer(found[0]["numbers"]), found[0]["bias"])
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", score_col: str = "score") -> DataFrame:
