@@ -11,7 +11,8 @@ readers can visit records in any order.
 Documents are dealt over shards by ranges of doc_id and written in ascending
 order. A shard is written under the name of the attempt and renamed when whole;
 an attempt that is run again writes the same bytes. Memory holds a few
-megabytes of text and the frames of its tokens at a time.
+megabytes of text and the frames of its tokens at a time. Tasks write through
+pyarrow's file systems, so the folder has to be one that these reach.
 
 Defined cases: a NULL or empty text is the end id alone; NULL ids come first and
 repeated ids keep their rows, ordered by a hash of the text; an empty table
