@@ -341,6 +341,27 @@ def outlier_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.groupBy("fix_id").agg(F.count(F.lit(1)).alias("kept"), F.round(F.avg("label_goals"), 4).alias("mean_goals"))
 
 
+@query(
+    """
+    SELECT COUNT(*) AS planted, CAST(0 AS BIGINT) AS planted_kept, TRUE AS most_others_kept FROM customer WHERE c_custkey % 100 = 0
+    """
+)
+def planted_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of whom every hundredth is moved far away: all of those go, most others stay."""
+    far = F.when(F.col("c_custkey") % 100 == 0, 50.0).otherwise(0.0)
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        (F.col("c_acctbal") / 1000 + far).alias("balance"),
+        (F.col("c_nationkey").cast("double") - 4 * far).alias("nation"),
+    )
+    rows = VectorAssembler(inputCols=["balance", "nation"], outputCol="features").transform(customers)
+    rows = rows.select("c_custkey", (F.col("c_custkey") % 100 == 0).alias("moved"), "features")
+    counts = {r["moved"]: r["count"] for r in rows.groupBy("moved").count().collect()}
+    kept = {r["moved"]: r["count"] for r in drop_outliers(rows).groupBy("moved").count().collect()}
+    found = (counts.get(True, 0), kept.get(True, 0), kept.get(False, 0) > counts.get(False, 0) / 2)
+    return spark.createDataFrame([found], "planted long, planted_kept int, most_others_kept boolean")
+
+
 @query()
 def model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     matrix = feature_matrix(spark, sf_dir)
