@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Text handled at a time inside a task; a single longer text is handled alone.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

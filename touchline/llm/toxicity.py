@@ -50,7 +50,7 @@ SHARPNESS = 20.0
 # Bounds of the training sample.
 TOXIC_ROWS = 1500
 CLEAN_ROWS = 3000
-SCORED_BYTES = 2 << 20
+SCORED_BYTES = 1 << 19
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 # Distinct words whose n-grams are cut at a time in training.
 WORDS_AT_ONCE = 20_000
