@@ -63,8 +63,10 @@ def joined_words(data: np.ndarray, offsets: np.ndarray) -> tuple[bytes, np.ndarr
     return out.tobytes(), starts, ends, first
 
 
-def simhash(data: np.ndarray, offsets: np.ndarray, words: int = WORDS, seed: int = SEED) -> np.ndarray:
-    """The fingerprint of every row: bits set in more than half the hashes of its word shingles."""
+def shingle_hashes(
+    data: np.ndarray, offsets: np.ndarray, words: int = WORDS, seed: int = SEED
+) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all word shingles, and how many every row has; a shorter row is one shingle."""
     text, starts, ends, first = joined_words(data, offsets)
     counts = np.diff(first)
     shingles = np.where(counts >= words, counts - words + 1, np.minimum(counts, 1))
@@ -73,9 +75,15 @@ def simhash(data: np.ndarray, offsets: np.ndarray, words: int = WORDS, seed: int
     until = ends[np.minimum(at + words, first[rows + 1]) - 1] if len(rows) else at
     digest = xxhash.xxh64_intdigest
     hashes = [digest(text[a:b], seed) for a, b in zip(starts[at].tolist(), until.tolist())]
-    fingerprints = np.zeros(len(counts), np.uint64)
-    if hashes:
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return np.array(hashes, np.uint64), shingles
+
+
+def simhash(data: np.ndarray, offsets: np.ndarray, words: int = WORDS, seed: int = SEED) -> np.ndarray:
+    """The fingerprint of every row: bits set in more than half the hashes of its word shingles."""
+    hashes, shingles = shingle_hashes(data, offsets, words, seed)
+    fingerprints = np.zeros(len(shingles), np.uint64)
+    if len(hashes):
+        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         full = np.flatnonzero(shingles)
         ones = np.add.reduceat(bits, (np.cumsum(shingles) - shingles)[full], axis=0, dtype=np.int32)
         majority = np.packbits(2 * ones > shingles[full, None], axis=1, bitorder="little")
