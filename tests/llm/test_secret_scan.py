@@ -99,6 +99,38 @@ def test_entropy_of_a_window_follows_from_the_one_before(spark):
         assert (row.d.first, row.d.last) == ((dense[0], dense[-1] + 8) if dense else (-1, -1))
 
 
+KEY24 = "x7Qp9LkV2mZ4tR8sW1yB6nHd"
+
+
+@pytest.mark.parametrize(
+    "head, secret",
+    [
+        ("https://hooks.slack.com/services/", "T04AB12CD/B05EF34GH/" + KEY24),
+        ("https://api.host.io/v1/", KEY24),
+        ("see auth/", KEY24),
+        ("x ", "Zx9Qw8Er7Ty6Ui5Op4As//Kd3Jf2Hg1Lz0Xc9Vb8N"),
+        ("docs/example/", KEY24),
+        ("docs/example-", KEY24),
+        ("k/", "Zx9Qw8Er7Ty6Ui5Op4As/Kd3Jf2Hg1Lz0Xc9Vb8N"),
+    ],
+)
+def test_a_secret_beside_something_harmless_is_found(spark, head, secret):
+    text = head + secret + " and on"
+    spans = [s for s in scan_secrets(texts(spark, [text])).first().all_spans if s.kind == "entropy"]
+    assert len(spans) == 1 and spans[0].start <= len(head) and spans[0].end >= len(head + secret)
+
+
+def test_harmless_runs_stay_harmless(spark):
+    runs = [
+        "123e4567-e89b-12d3-a456-426614174000",
+        "sha512-" + "0a1B2c3D" * 10 + "Zx9Qw8==",
+        "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+        "0123456789abcdefghijklmnopqrstuvwxyz",
+        "https://host.org/users/lists/v2/some-long-words/of/a/path/",
+    ]
+    assert all(r.all_spans == [] for r in scan_secrets(texts(spark, runs)).collect())
+
+
 def test_no_python_in_the_plan(spark):
     plan = QUERIES["op2_secret_scan"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan

@@ -10,8 +10,8 @@ each; its Shannon entropy ``log2 W - S / W``, S the sum of k * log2 k over the
 counts k of its characters, follows from the counts of the character that leaves
 and the one that enters. Runs of hexadecimal digits have a window and threshold
 of their own. From the first to the last window at or above the threshold an
-``entropy`` span is added, unless the allow-list knows the run or a pattern's
-span already covers it.
+``entropy`` span is added, unless a pattern's span already covers it. Of a run that the
+allow-list knows only the harmless part is left out, such as the path before a key.
 
 Defined cases: a NULL text counts as empty and has no spans, with the digest of
 the empty string; repeated rows each get theirs; other columns are not read.
@@ -38,9 +38,24 @@ ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|^(sha(1|224|256|384|512)|md5)-|(?i:example)"
     r"|(?i:abcdefgh|0123456789|qwertyui)|//|^(/?[a-z_-]+/)+"
 )
+# What of an allowed run is harmless, each over its own extent only; the rest is looked at piece by piece.
+ALPHABETS = "|".join(
+    head + "".join(f"{c}?" for c in tail)
+    for head, tail in [
+        ("abcdefgh", "ijklmnopqrstuvwxyz0123456789"),
+        ("0123456789", "abcdefghijklmnopqrstuvwxyz"),
+        ("qwertyui", "opasdfghjklzxcvbnm"),
+    ]
+)
+HARMLESS = (
+    r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|^(?:sha(?:1|224|256|384|512)|md5)-[A-Za-z0-9+/]{0,128}={0,2}"
+    r"|^[A-Za-z0-9+/]{30}EXAMPLEKEY$|(?i:[a-z0-9]*example[a-z0-9]*)"
+    rf"|(?i:{ALPHABETS})|^/*(?:[a-z_-]+/+)+|(?<=/)[a-z_-]{{3,}}/"
+)
 BASE_KINDS = ["assign", "access", "hex"]
 KINDS = [*BASE_KINDS, "entropy"]
 
+PARTS = "array<struct<start:int,match:string>>"
 SPANS = "array<struct<start:int,rank:int,end:int,kind:string,match:string>>"
 
 
@@ -112,6 +127,23 @@ def dense_stretch(run: Column, window: int, threshold: float) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.length(run) - 1), none, step)
 
 
+def _rest(span: Column) -> Column:
+    """What the harmless parts leave of a run that the allow-list knows: spans that are candidates themselves."""
+    run = span["match"]
+    harmless = F.regexp_extract_all(run, F.lit(HARMLESS), F.lit(0))
+    between = F.split(run, HARMLESS, -1)
+    parts = F.zip_with(between, harmless, lambda b, h: F.struct(b.alias("b"), F.coalesce(h, F.lit("")).alias("h")))
+
+    def place(state: Column, part: Column) -> Column:
+        left = F.struct(state["at"].alias("start"), part["b"].alias("match"))
+        after = state["at"] + F.length(part["b"]) + F.length(part["h"])
+        return F.struct(after.alias("at"), F.concat(state["left"], F.array(left)).alias("left"))
+
+    first = F.struct(span["start"].alias("at"), F.array().cast(PARTS).alias("left"))
+    left = F.aggregate(parts, first, place, lambda state: state["left"])
+    return F.filter(left, lambda part: part["match"].rlike(CANDIDATE))
+
+
 def _entropy_spans(candidates: Column, base: Column, classes: list[EntropyClass]) -> Column:
     def stretch(span: Column) -> Column:
         result = None
@@ -122,7 +154,11 @@ def _entropy_spans(candidates: Column, base: Column, classes: list[EntropyClass]
             )
         return result
 
-    suspects = F.filter(candidates, lambda span: ~span["match"].rlike(ALLOWED))
+    def parts(span: Column) -> Column:
+        whole = F.array(F.struct(span["start"].alias("start"), span["match"].alias("match")))
+        return F.when(span["match"].rlike(ALLOWED), _rest(span)).otherwise(whole)
+
+    suspects = F.flatten(F.transform(candidates, parts))
     spans = F.transform(
         F.transform(suspects, lambda s: F.struct(s["start"].alias("at"), stretch(s).alias("dense"))),
         lambda s: F.struct(
