@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -120,6 +121,22 @@ def test_a_secret_beside_something_harmless_is_found(spark, head, secret):
     assert len(spans) == 1 and spans[0].start <= len(head) and spans[0].end >= len(head + secret)
 
 
+def test_hexadecimal_stretches_inside_longer_runs_are_found(spark):
+    rng = random.Random(3)
+    made = ["".join(rng.choice("0123456789ABCDEF") for _ in range(rng.choice((32, 40, 64)))) for _ in range(60)]
+    heads = ["KEY=", "my_key=", "a/b-", "zone_", "x KEY=" + "Zx9Qw8Er7Ty6Ui5Op4As" + "="]
+    rows = [(i, heads[i % 5] + secret + "_end") for i, secret in enumerate(made)]
+    found = scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    missed = 0
+    for row in found:
+        head = len(heads[row.doc_id % 5])
+        spans = [s for s in row.all_spans if s.kind == "entropy"]
+        assert len({(s.start, s.end) for s in spans}) == len(spans)
+        covered = {i for s in spans for i in range(s.start, s.end)} & set(range(head, head + len(made[row.doc_id])))
+        missed += len(covered) < 24
+    assert missed <= 3
+
+
 def test_harmless_runs_stay_harmless(spark):
     runs = [
         "123e4567-e89b-12d3-a456-426614174000",

@@ -8,8 +8,8 @@ Patterns find ``assign``, ``access`` and ``hex`` spans. Candidates are longest
 runs of base-64 characters that hold a letter and a digit. A window slides over
 each; its Shannon entropy ``log2 W - S / W``, S the sum of k * log2 k over the
 counts k of its characters, follows from the counts of the character that leaves
-and the one that enters. Runs of hexadecimal digits have a window and threshold
-of their own. From the first to the last window at or above the threshold an
+and the one that enters. Runs of hexadecimal digits, and stretches of them inside longer runs, have a window
+and threshold of their own. From the first to the last window at or above the threshold an
 ``entropy`` span is added, unless a pattern's span already covers it. Of a run that the
 allow-list knows only the harmless part is left out, such as the path before a key.
 
@@ -33,6 +33,8 @@ ASSIGN_LENGTH = 6
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{20,}+"
+# Hexadecimal stretches inside a longer run, with a letter and a digit as a run has them.
+HEX_STRETCH = r"(?<![0-9a-fA-F])(?=[a-fA-F]*[0-9])(?=[0-9]*[a-fA-F])[0-9a-fA-F]{24,}+"
 # Runs that are no secrets: UUIDs, digests that name themselves, examples, alphabets, paths.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|^(sha(1|224|256|384|512)|md5)-|(?i:example)"
@@ -158,7 +160,15 @@ def _entropy_spans(candidates: Column, base: Column, classes: list[EntropyClass]
         whole = F.array(F.struct(span["start"].alias("start"), span["match"].alias("match")))
         return F.when(span["match"].rlike(ALLOWED), _rest(span)).otherwise(whole)
 
+    def hex_stretches(part: Column) -> Column:
+        inside = _spans(part["match"], HEX_STRETCH, F.regexp_extract_all(part["match"], F.lit(HEX_STRETCH), F.lit(0)), "hex")
+        inside = F.filter(inside, lambda s: F.length(s["match"]) < F.length(part["match"]))
+        return F.transform(
+            inside, lambda s: F.struct((part["start"] + s["start"]).alias("start"), s["match"].alias("match"))
+        )
+
     suspects = F.flatten(F.transform(candidates, parts))
+    suspects = F.concat(suspects, F.flatten(F.transform(suspects, hex_stretches)))
     spans = F.transform(
         F.transform(suspects, lambda s: F.struct(s["start"].alias("at"), stretch(s).alias("dense"))),
         lambda s: F.struct(
@@ -169,10 +179,15 @@ def _entropy_spans(candidates: Column, base: Column, classes: list[EntropyClass]
             F.lit("").alias("match"),
         ),
     )
+    dense = F.array_distinct(F.filter(spans, lambda s: s["end"] > s["start"]))
+
+    def covers(b: Column, s: Column) -> Column:
+        return (b["start"] <= s["start"]) & (b["end"] >= s["end"])
+
+    # Of a run's span and that of a stretch inside it, the one that holds the other stays.
     new = F.filter(
-        spans,
-        lambda s: (s["end"] > s["start"])
-        & ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (b["end"] >= s["end"])),
+        dense,
+        lambda s: ~F.exists(base, lambda b: covers(b, s)) & ~F.exists(dense, lambda o: covers(o, s) & ~covers(s, o)),
     )
     return F.when(F.size(candidates) > 0, new).otherwise(F.array().cast(SPANS))
 
