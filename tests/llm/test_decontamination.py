@@ -35,6 +35,16 @@ def test_other_numbers_names_and_units_are_found(spark):
     assert not {2, 4, 5} & {i for i, _ in found(spark, documents, [ITEM])}
 
 
+SHORT = ["What is 12 + 5?", "Compute 17 * 23 - 4 / 2", "Who wrote Hamlet?", "In 1912 Robert Scott reached 90 degrees South."]
+
+
+def test_items_without_plain_windows_are_found_as_a_whole(spark):
+    documents = [f"Some words before that. {item} And words after." for item in SHORT]
+    documents += ["What is 13 + 5? Who wrote Macbeth? In 1912 Robert Scott reached 80 degrees South. Compute 17 * 23 - 4 / 3"]
+    documents += SHORT
+    assert found(spark, documents, SHORT) == {(i, i) for i in range(4)} | {(5 + i, i) for i in range(4)}
+
+
 def test_query_agrees_with_a_plain_search(spark):
     folder = "/root/testdata/sf0.01"
     plain = lambda t: " ".join(re.findall(r"\w+", t.lower()))
