@@ -45,6 +45,18 @@ def test_items_without_plain_windows_are_found_as_a_whole(spark):
     assert found(spark, documents, SHORT) == {(i, i) for i in range(4)} | {(5 + i, i) for i in range(4)}
 
 
+def test_one_conflicting_value_leaves_what_matches_word_for_word(spark):
+    again = ITEM.replace("Maria now", "Maria with 5 coins now, and how many dollars does each shopkeeper of the town own")
+    other = again.replace("with 5 coins", "with 6 coins")
+    assert found(spark, [other, "Well, " + other], [again]) == {(0, 0), (1, 0)}
+
+
+def test_a_long_quotation_counts_whatever_its_share(spark):
+    words = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}word" for i in range(60)]
+    documents = [" ".join(["before", *words[20:20 + n], "after"]) for n in (12, 13, 25)]
+    assert found(spark, documents, [" ".join(words)]) == {(1, 0), (2, 0)}
+
+
 def test_query_agrees_with_a_plain_search(spark):
     folder = "/root/testdata/sf0.01"
     plain = lambda t: " ".join(re.findall(r"\w+", t.lower()))

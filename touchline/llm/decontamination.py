@@ -183,7 +183,7 @@ def find_items(
         occurrences.select(
             "doc_id",
             "item_id",
-            F.when(fits, F.col("found")).alias("found"),
+            F.when(fits, F.col("found")).otherwise(F.col("same")).alias("found"),
             F.aggregate("same_at", start, covered, lambda state: state["longest"]).alias("run"),
             F.size("same_at").alias("same_places"),
             F.when(fits, F.size("at")).otherwise(0).alias("fitting_places"),
@@ -200,7 +200,7 @@ def find_items(
     # The sum counts a plain word once for each of up to ``window`` windows that hold it.
     telling = F.col("plain_sum") >= literals * window
     complete = (F.col("same_places") == F.col("places")) | (telling & (F.col("fitting_places") == F.col("places")))
-    by_share = (F.col("windows") > 0) & (F.col("matched") / F.col("windows") >= share)
+    by_share = (F.col("windows") > 0) & ((F.col("matched") / F.col("windows") >= share) | (F.col("run") >= RUN))
     held = held.where(((F.col("matched") > 0) & by_share) | ((F.col("windows") == 0) & complete))
     result = held.select(
         "doc_id",
