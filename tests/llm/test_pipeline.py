@@ -84,3 +84,20 @@ def test_stages_stand_odd_rows_and_no_rows(spark, stage):
 def test_one_of_several_rows_of_an_id_stays(spark):
     rows = spark.createDataFrame([(1, "a b c d e"), (1, "a b c d e"), (2, "x y z u v w")], "doc_id long, text string")
     assert sorted(r.doc_id for r in pipeline.simhash_near_dedup(spark, rows, SF).collect()) == [1, 2]
+
+
+def test_rows_without_an_id_are_searched_and_deduplicated(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(None, item), (None, "one of two equal texts without an id"), (None, "one of two equal texts without an id"), (5, "p q r s t")]
+    rows = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.text for r in pipeline.benchmark_decontamination(spark, rows, SF).where("doc_id is null").collect()] == [rows.collect()[1].text] * 2
+    assert pipeline.simhash_near_dedup(spark, rows, SF).count() == 3
+
+
+def test_distinct_texts_of_one_id_are_distinct_rows(spark):
+    a, b = "the first text that has one id with another", "quite another text under the very same number here"
+    rows = spark.createDataFrame([(1, a), (2, a), (2, b), (3, b)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in pipeline.simhash_near_dedup(spark, rows, SF).collect()) == [(1, a), (2, b)]
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = spark.createDataFrame([(1, a), (1, item)], "doc_id long, text string")
+    assert [r.text for r in pipeline.benchmark_decontamination(spark, rows, SF).collect()] == [a]
