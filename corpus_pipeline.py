@@ -4,69 +4,23 @@
 returns the documents it keeps, with their columns, or, the last one, a row per
 document in the token files. ``run`` writes every stage as Parquet in the shared
 folder and reads it again, so a lost executor costs at most a stage's tasks.
-Stages decide row by row, so a NULL or repeated id costs no text its turn.
+Stages decide row by row, so a NULL or repeated id costs no text its turn; an
+empty table passes all stages and gives no rows; columns may have any names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from touchline.llm.decontamination import find_items
-from touchline.llm.mixing import mix_documents
-from touchline.llm.near_copies import near_copies
-from touchline.llm.token_records import default_tokenizer, token_records
-from touchline.llm.toxicity import score_toxicity, train_toxicity
+from touchline.llm import stages
 from touchline.session import written
 
-TOXIC_FROM = 0.5
-SCORE = "_toxicity"
-KEY = "_row"
-
-
-def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below the threshold, by a model learned from the labels of these documents."""
-    model = train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_toxicity(docs, model, score_col=SCORE).where(F.col(SCORE) < TOXIC_FROM).drop(SCORE)
-
-
-def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies the row with the smallest id, and of its rows the text that hashes least.
-
-    Near copies share four fifths of their shingles of five words, counted exactly.
-    """
-    keyed = written(docs.withColumn(KEY, F.monotonically_increasing_id()), "keyed")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), KEY)
-    placed = keyed.select(KEY, order.alias("order")).join(near_copies(keyed, KEY).toDF(KEY, "component"), KEY)
-    first = placed.groupBy("component").agg(F.min("order").alias("order")).select(f"order.{KEY}")
-    return keyed.join(written(first, "first"), KEY, "left_semi").select(docs.columns)
-
-
-def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item; rows are told apart by id and text, so that a NULL id is searched too."""
-    row = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), F.xxhash64("text"))
-    keyed = docs.withColumn(KEY, row)
-    found = find_items(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=KEY)
-    held = written(found.select(F.col("doc_id").alias(KEY)).distinct(), "contaminated")
-    return keyed.join(held, KEY, "left_anti").select(docs.columns)
-
-
-def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens meet the target shares of sources, languages and topics."""
-    return mix_documents(docs).where("kept").select(docs.columns)
-
-
-def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the documents, and where each lies in them."""
-    return token_records(docs, default_tokenizer())
-
-
 STAGES = [
-    ("toxicity", toxicity),
-    ("simhash_near_dedup", simhash_near_dedup),
-    ("benchmark_decontamination", benchmark_decontamination),
-    ("source_mixing", source_mixing),
-    ("token_output", token_output),
+    ("toxicity", stages.toxicity),
+    ("simhash_near_dedup", stages.simhash_near_dedup),
+    ("benchmark_decontamination", stages.benchmark_decontamination),
+    ("source_mixing", stages.source_mixing),
+    ("token_output", stages.token_output),
 ]
 
 # Trained scores, 64-bit hashes and a tokenizer have no SQL form; tests compare with a plain Python version.

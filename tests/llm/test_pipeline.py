@@ -7,10 +7,12 @@ import corpus_pipeline as pipeline
 import numpy as np
 import pytest
 from edge_rows import docs, no_docs
+from pyspark.sql import functions as F
 from test_mixing import plain_rake
 from test_simhash import fingerprint, groups
 from tokenizers import Tokenizer
 
+from touchline.llm import stages
 from touchline.llm.mixing import OTHER_TOPIC, POWERS, SEED, TOPICS
 from touchline.llm.toxicity import train_toxicity
 from touchline.session import written
@@ -49,14 +51,14 @@ def test_run_agrees_with_plain_python(spark):
     model = train_toxicity(source, spark.read.parquet(f"{SF}/labels.parquet"))
     rows = sorted(source.collect(), key=lambda r: r.doc_id)
     score = model.score([r.text for r in rows])
-    rows = [r for r, s in zip(rows, score) if s < pipeline.TOXIC_FROM]
+    rows = [r for r, s in zip(rows, score) if s < stages.TOXIC_FROM]
     group = groups([fingerprint(r.text) for r in rows], [r.doc_id for r in rows])
     rows = [r for r, g in zip(rows, group) if r.doc_id == g]
     plain = lambda t: " ".join(re.findall(r"\w+", t.lower()))
     items = [plain(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     rows = [r for r in rows if not any(item in plain(r.text) for item in items)]
     rows = mixed(rows)
-    library = Tokenizer.from_file(pipeline.default_tokenizer())
+    library = Tokenizer.from_file(stages.default_tokenizer())
     found = sorted(pipeline.run(spark, SF).collect(), key=lambda r: r.doc_id)
     assert 20 < len(rows) < 200 and [r.doc_id for r in found] == [r.doc_id for r in rows]
     start = 0
@@ -83,21 +85,35 @@ def test_stages_stand_odd_rows_and_no_rows(spark, stage):
 
 def test_one_of_several_rows_of_an_id_stays(spark):
     rows = spark.createDataFrame([(1, "a b c d e"), (1, "a b c d e"), (2, "x y z u v w")], "doc_id long, text string")
-    assert sorted(r.doc_id for r in pipeline.simhash_near_dedup(spark, rows, SF).collect()) == [1, 2]
+    assert sorted(r.doc_id for r in stages.simhash_near_dedup(spark, rows, SF).collect()) == [1, 2]
 
 
 def test_rows_without_an_id_are_searched_and_deduplicated(spark):
     item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
     rows = [(None, item), (None, "one of two equal texts without an id"), (None, "one of two equal texts without an id"), (5, "p q r s t")]
     rows = spark.createDataFrame(rows, "doc_id long, text string")
-    assert [r.text for r in pipeline.benchmark_decontamination(spark, rows, SF).where("doc_id is null").collect()] == [rows.collect()[1].text] * 2
-    assert pipeline.simhash_near_dedup(spark, rows, SF).count() == 3
+    assert [r.text for r in stages.benchmark_decontamination(spark, rows, SF).where("doc_id is null").collect()] == [rows.collect()[1].text] * 2
+    assert stages.simhash_near_dedup(spark, rows, SF).count() == 3
 
 
 def test_distinct_texts_of_one_id_are_distinct_rows(spark):
     a, b = "the first text that has one id with another", "quite another text under the very same number here"
     rows = spark.createDataFrame([(1, a), (2, a), (2, b), (3, b)], "doc_id long, text string")
-    assert sorted((r.doc_id, r.text) for r in pipeline.simhash_near_dedup(spark, rows, SF).collect()) == [(1, a), (2, b)]
+    assert sorted((r.doc_id, r.text) for r in stages.simhash_near_dedup(spark, rows, SF).collect()) == [(1, a), (2, b)]
     item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
     rows = spark.createDataFrame([(1, a), (1, item)], "doc_id long, text string")
-    assert [r.text for r in pipeline.benchmark_decontamination(spark, rows, SF).collect()] == [a]
+    assert [r.text for r in stages.benchmark_decontamination(spark, rows, SF).collect()] == [a]
+
+
+@pytest.mark.parametrize("stage", range(len(pipeline.STAGES) - 1))
+def test_columns_of_any_name_come_back_unchanged(spark, stage):
+    clashing = ["_row", "kept", "probability", "mix_source", "mix_tokens", "_toxicity", "component_id", "doc_4", "_ROW2"]
+    values = {c: f"{c} of the user" for c in clashing}
+    rows = docs(spark)
+    for c, v in values.items():
+        rows = rows.withColumn(c, F.lit(v))
+    rows = rows.withColumn("_order", F.struct(F.lit(1).alias("row")))
+    found = pipeline.STAGES[stage][1](spark, rows, SF)
+    assert found.columns == rows.columns
+    for r in found.collect():
+        assert {c: r[c] for c in clashing} == values and r["_order"].row == 1
