@@ -3,6 +3,7 @@
 from touchline.llm import (
     decontamination,
     language_id,
+    lexical_search,
     mixing,
     secret_scan,
     simhash,
@@ -19,6 +20,7 @@ __all__ = [
     "QUERIES",
     "decontamination",
     "language_id",
+    "lexical_search",
     "mixing",
     "secret_scan",
     "simhash",
