@@ -17,6 +17,18 @@ COLUMNS = {
     8: ["page_id", "host", "path", "rule", "verdict"],
     9: ["doc_id", "probability", "kept"],
     10: ["doc_id", "held_out", "lang_pred", "score"],
+    11: ["item_id", "rank", "doc_id", "score"],
+    12: ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    13: [
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        "ends_sha256",
+    ],
 }
 
 

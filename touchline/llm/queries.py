@@ -5,6 +5,7 @@ from touchline.llm import (
     language_id,
     lexical_search,
     mixing,
+    prefix_trie,
     secret_scan,
     simhash,
     substring_dedup,
@@ -22,6 +23,7 @@ __all__ = [
     "language_id",
     "lexical_search",
     "mixing",
+    "prefix_trie",
     "secret_scan",
     "simhash",
     "substring_dedup",
