@@ -9,6 +9,7 @@ from touchline.llm import (
     secret_scan,
     simhash,
     substring_dedup,
+    suffix_dedup,
     token_records,
     toxicity,
     url_filter,
@@ -27,6 +28,7 @@ __all__ = [
     "secret_scan",
     "simhash",
     "substring_dedup",
+    "suffix_dedup",
     "token_records",
     "toxicity",
     "url_filter",
