@@ -65,6 +65,9 @@ def label_facts(df: DataFrame, outputs: dict[str, str] = OUTPUTS) -> dict[str, F
     return {label: Facts(row["rows"], row[label] or 1.0) for label in outputs}
 
 
+Penalty = Callable[[dict, Facts], tuple[float, float]]
+
+
 @dataclass
 class Family:
     """A model by name: its parameter ranges and how to build it for one label."""
@@ -73,6 +76,8 @@ class Family:
     build: Callable[[dict, Facts], object]
     ranges: dict[str, Draw] = field(default_factory=dict)
     polynomial: bool = False
+    # Of a linear family: its absolute and quadratic penalties, so that it can be solved from sums of products.
+    penalty: Penalty | None = None
 
     def draw(self, n: int, seed: int = SEED) -> list[dict]:
         """``n`` seeded parameter draws; one empty draw when there is nothing to vary."""
@@ -95,7 +100,7 @@ class Family:
         return Pipeline(stages=stages)
 
 
-def _linear(penalty: Callable[[dict, Facts], tuple[float, float]]) -> Callable[[dict, Facts], LinearRegression]:
+def _linear(name: str, penalty: Penalty, ranges: dict[str, Draw] | None = None) -> Family:
     """Least squares over rows with penalties a * |w| and b / 2 * w ** 2 on the mean squared error's half.
 
     Spark divides its quadratic penalty by the label's deviation, so b is multiplied by it.
@@ -106,7 +111,7 @@ def _linear(penalty: Callable[[dict, Facts], tuple[float, float]]) -> Callable[[
         b *= facts.deviation
         return LinearRegression(regParam=a + b, elasticNetParam=a / (a + b) if a else 0.0, standardization=False)
 
-    return build
+    return Family(name, build, ranges or {}, polynomial=bool(ranges), penalty=penalty)
 
 
 def _tree(params: dict, facts: Facts) -> RandomForestRegressor:
@@ -166,15 +171,14 @@ def base_families(variants: int = 10) -> list[Family]:
     """Linear models and single trees of growing size."""
     degree = whole(1, 2)
     return [
-        Family("Linear Regression", _linear(lambda p, facts: (0.0, 0.0))),
+        _linear("Linear Regression", lambda p, facts: (0.0, 0.0)),
         # The ridge penalty is stated for the summed error.
-        Family("Ridge", _linear(lambda p, facts: (0.0, p["alpha"] / max(facts.rows, 1))), {"degree": degree, "alpha": real(0.01, 10)}, True),
-        Family("Lasso", _linear(lambda p, facts: (p["alpha"], 0.0)), {"degree": degree, "alpha": real(0.01, 1)}, True),
-        Family(
+        _linear("Ridge", lambda p, facts: (0.0, p["alpha"] / max(facts.rows, 1)), {"degree": degree, "alpha": real(0.01, 10)}),
+        _linear("Lasso", lambda p, facts: (p["alpha"], 0.0), {"degree": degree, "alpha": real(0.01, 1)}),
+        _linear(
             "Elastic Net",
-            _linear(lambda p, facts: (p["alpha"] * p["l1_ratio"], p["alpha"] * (1 - p["l1_ratio"]))),
+            lambda p, facts: (p["alpha"] * p["l1_ratio"], p["alpha"] * (1 - p["l1_ratio"])),
             {"degree": degree, "alpha": real(0.01, 1), "l1_ratio": real(0.01, 0.99)},
-            True,
         ),
         *[
             Family(

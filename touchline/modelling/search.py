@@ -8,11 +8,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import PolynomialExpansion
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.modelling.families import OUTPUTS, SEED, Family, label_facts
+from touchline.modelling.families import OUTPUTS, SEED, Facts, Family, label_facts
+from touchline.modelling.gram import block_moments, expanding, fold_errors, solve
 from touchline.modelling.validation import expanding_folds, fold
-from touchline.operators.aggregates import combined_error
+from touchline.operators.aggregates import GOAL_WEIGHT, METRIC_WEIGHT, combined_error
 
 METRICS = ["combined_metric", "output1_rmse", "output1_mae", "output2_rmse", "output2_mae"]
 PAIRS = list(OUTPUTS.items())
@@ -38,6 +40,41 @@ def _mean(values: Sequence[float | None]) -> float:
     return sum(known) / len(known) if known else float("nan")
 
 
+def _combined(first: float, second: float) -> float | None:
+    """The weighted share of two errors of one measure; NULL if both are zero."""
+    return (GOAL_WEIGHT * first + (1 - GOAL_WEIGHT) * second) / (first + second) if first + second else None
+
+
+def _metrics(rmse: Sequence[float], mae: Sequence[float]) -> dict[str, float | None]:
+    shares = [_combined(*rmse), _combined(*mae)]
+    known = None not in shares
+    return {
+        "combined_metric": METRIC_WEIGHT * shares[0] + (1 - METRIC_WEIGHT) * shares[1] if known else None,
+        **{f"output{i}_rmse": float(v) for i, v in enumerate(rmse, start=1)},
+        **{f"output{i}_mae": float(v) for i, v in enumerate(mae, start=1)},
+    }
+
+
+def linear_search(blocks: DataFrame, planned: Sequence[Result], folds: int) -> None:
+    """Mean fold errors of all draws of linear families: two passes over the rows for all of them."""
+    labels = list(OUTPUTS)
+    for degree in sorted({r.params.get("degree", 1) for r in planned}):
+        own = [r for r in planned if r.params.get("degree", 1) == degree]
+        rows, column = blocks, "features"
+        if degree > 1:
+            column = "features_expanded"
+            rows = PolynomialExpansion(degree=degree, inputCol="features", outputCol=column).transform(blocks)
+        trained = expanding(block_moments(rows, labels, column), folds)
+        models = {
+            number: [solve(moments, *r.family.penalty(r.params, Facts(moments.rows))) for r in own]
+            for number, moments in trained.items()
+        }
+        errors = fold_errors(rows, models, labels, column) if models else {}
+        for i, result in enumerate(own):
+            scores = [_metrics(rmse[i], mae[i]) for rmse, mae in errors.values()]
+            result.means = {m: _mean([s[m] for s in scores]) for m in METRICS}
+
+
 def search(
     df: DataFrame,
     families: Sequence[Family],
@@ -47,31 +84,35 @@ def search(
     seed: int = SEED,
     parallelism: int = 2,
 ) -> list[Result]:
-    """Fit every family's draws on every expanding fold; all metrics are kept.
+    """Errors of every family's draws over expanding folds; all metrics are kept.
 
-    ``df`` has ``features``, both labels and the ordering key. Fits run on Spark;
-    ``parallelism`` of them are submitted at a time.
+    ``df`` has ``features``, both labels and the ordering key. Linear families are
+    solved from sums of products, together; others are fitted by Spark, draw by
+    draw and fold by fold, ``parallelism`` of them at a time.
     """
     blocks = expanding_folds(df, key, folds).persist()
+    planned = [Result(family, params) for family in families for params in family.draw(n_iter, seed)]
+    linear = [r for r in planned if r.family.penalty]
+    if linear:
+        linear_search(blocks, linear, folds)
+    fitted = [r for r in planned if not r.family.penalty]
     sides = []
-    for number in range(1, folds + 1):
+    for number in range(1, folds + 1) if fitted else ():
         train, test = fold(blocks, number)
         facts = label_facts(train)
         if all(f.rows for f in facts.values()) and not test.isEmpty():
             sides.append((train, test, facts))
 
-    def run(result: Result) -> Result:
+    def run(result: Result) -> None:
         scores = [
             score(result.family.pipeline(result.params, facts).fit(train), test) for train, test, facts in sides
         ]
         result.means = {m: _mean([s[m] for s in scores]) for m in METRICS}
-        return result
 
-    planned = [Result(family, params) for family in families for params in family.draw(n_iter, seed)]
     with ThreadPoolExecutor(parallelism) as pool:
-        results = list(pool.map(run, planned))
+        list(pool.map(run, fitted))
     blocks.unpersist()
-    return results
+    return planned
 
 
 def _order(value: float) -> tuple[bool, float]:

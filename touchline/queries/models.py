@@ -11,7 +11,8 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.modelling.families import Family, base_families, either, ensemble_families, label_facts, whole
+from touchline.modelling.families import Facts, base_families, ensemble_families, label_facts
+from touchline.modelling.gram import block_moments, expanding
 from touchline.modelling.lifecycle import (
     cross_validated,
     drift_check,
@@ -189,6 +190,8 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FEATURES = ["minutes", "assists", "price", "lines"]
 LABELS = {"label_goals": "goals", "label_assists": "assists"}
+# All draws and folds of the linear families.
+LINEAR_BUDGET = {"n_iter": 10, "folds": 5}
 
 
 def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,20 +219,6 @@ def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written(matrix, "matrix")
 
 
-def quick_families() -> list[Family]:
-    """Two families of a small budget; the full lists are for training runs."""
-    tree = next(f for f in base_families(1) if f.name == "Decision Tree 1")
-    forest = next(f for f in ensemble_families(1) if f.name == "RandomForest_1")
-    return [
-        *[f for f in base_families(0) if f.name in ("Linear Regression", "Ridge")],
-        Family(tree.name, tree.build, {"max_depth": whole(2, 5), "min_samples_split": whole(2, 10), "min_samples_leaf": whole(1, 3)}),
-        Family(
-            forest.name, forest.build,
-            {"n_estimators": whole(3, 5), "max_depth": whole(2, 4), "min_samples_split": whole(2, 10), "min_samples_leaf": whole(1, 5), "bootstrap": either(True, False)},
-        ),
-    ]
-
-
 PRICE = {"l_extendedprice": "predicted"}
 PENALTY = {"Linear Regression": {}, "Ridge": {"alpha": 50_000.0}, "Lasso": {"alpha": 900.0}, "Elastic Net": {"alpha": 90.0, "l1_ratio": 0.4}}
 
@@ -362,18 +351,103 @@ def planted_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([found], "planted long, planted_kept int, most_others_kept boolean")
 
 
+def _search_sql() -> str:
+    """All draws of the linear families on one feature, where a fold's weights have a closed form."""
+    draws = []
+    for family in base_families(0):
+        for i, params in enumerate(family.draw(10)):
+            # Ridge's penalty is per row: its share of the mean is taken with a number of rows of one.
+            absolute, quadratic = family.penalty(params, Facts(1))
+            per_row, fixed = (quadratic, 0.0) if family.name == "Ridge" else (0.0, quadratic)
+            draws.append(f"('{family.name}', {i}, {absolute!r}, {per_row!r}, {fixed!r})")
+    slope = "sign(c{i}) * greatest(abs(c{i}) - absolute, 0) / (v + per_row / n + fixed)"
+    return f"""
+    WITH data AS (
+        SELECT CAST(YEAR(l_shipdate) * 12 + MONTH(l_shipdate) AS INTEGER) AS month, l_quantity / 10 AS x,
+               l_extendedprice / 10000 AS y1, l_tax * 20 AS y2 FROM lineitem
+    ), keys AS (SELECT month, ROW_NUMBER() OVER (ORDER BY month) AS r, COUNT(*) OVER () AS n FROM (SELECT DISTINCT month FROM data)),
+    dealt AS (SELECT data.*, (r - 1) // GREATEST(1, n // 6) AS block FROM data JOIN keys USING (month)),
+    folds AS (SELECT UNNEST(RANGE(1, 6)) AS fold),
+    sums AS (
+        SELECT fold, COUNT(*) AS n, COVAR_POP(y1, x) AS c1, COVAR_POP(y2, x) AS c2, VAR_POP(x) AS v, AVG(x) AS mx, AVG(y1) AS m1, AVG(y2) AS m2
+        FROM folds JOIN dealt ON block < fold GROUP BY fold
+    ), draws(model, draw, absolute, per_row, fixed) AS (VALUES {", ".join(draws)}),
+    lines AS (SELECT *, {slope.format(i=1)} AS w1, {slope.format(i=2)} AS w2 FROM sums, draws),
+    errors AS (
+        SELECT model, draw, fold, SQRT(AVG(POWER(y1 - m1 - w1 * (x - mx), 2))) AS r1, AVG(ABS(y1 - m1 - w1 * (x - mx))) AS a1,
+               SQRT(AVG(POWER(y2 - m2 - w2 * (x - mx), 2))) AS r2, AVG(ABS(y2 - m2 - w2 * (x - mx))) AS a2
+        FROM lines JOIN dealt ON block = fold GROUP BY model, draw, fold
+    )
+    SELECT model, draw, ROUND(AVG(0.5 * (0.7 * r1 + 0.3 * r2) / (r1 + r2) + 0.5 * (0.7 * a1 + 0.3 * a2) / (a1 + a2)), 6) AS combined,
+           ROUND(AVG(r1), 6) AS goals_rmse, ROUND(AVG(a1), 6) AS goals_mae, ROUND(AVG(r2), 6) AS assists_rmse, ROUND(AVG(a2), 6) AS assists_mae
+    FROM errors GROUP BY model, draw
+    """
+
+
+@query(_search_sql())
+def linear_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole budget of the linear families, ten draws and five folds, on one feature."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        month_index("l_shipdate").alias("month"),
+        (F.col("l_quantity") / 10).alias("x"),
+        (F.col("l_extendedprice") / 10_000).alias("label_goals"),
+        (F.col("l_tax") * 20).alias("label_assists"),
+    )
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(lines)
+    seen: dict[str, int] = {}
+    found = []
+    for r in search(rows, base_families(0), "month"):
+        draw = seen[r.family.name] = seen.get(r.family.name, -1) + 1
+        means = [r.means[m] for m in ("combined_metric", "output1_rmse", "output1_mae", "output2_rmse", "output2_mae")]
+        found.append((r.family.name, draw, *[round(v, 6) for v in means]))
+    names = ", ".join(f"{c} double" for c in ("combined", "goals_rmse", "goals_mae", "assists_rmse", "assists_mae"))
+    return spark.createDataFrame(found, f"model string, draw int, {names}")
+
+
+@query(
+    """
+    WITH data AS (
+        SELECT CAST(YEAR(l_shipdate) * 12 + MONTH(l_shipdate) AS INTEGER) AS month, l_quantity AS x0, l_discount * 100 AS x1, l_tax * 100 AS x2,
+               l_extendedprice / 1000 AS y FROM lineitem
+    ), keys AS (SELECT month, ROW_NUMBER() OVER (ORDER BY month) AS r, COUNT(*) OVER () AS n FROM (SELECT DISTINCT month FROM data)),
+    dealt AS (SELECT data.*, (r - 1) // GREATEST(1, n // 6) AS block FROM data JOIN keys USING (month)),
+    folds AS (SELECT UNNEST(RANGE(1, 6)) AS fold),
+    trained AS (SELECT * FROM folds JOIN dealt ON block < fold)
+    """
+    + " UNION ALL ".join(
+        f"SELECT fold, {i} AS i, {j} AS j, COUNT(*) AS n, ROUND(COVAR_POP({a}, {b}), 6) AS covariance FROM trained GROUP BY fold"
+        for i, a in enumerate(("x0", "x1", "x2", "y"))
+        for j, b in enumerate(("x0", "x1", "x2", "y"))
+    )
+)
+def normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the linear draws of every fold are solved from."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        month_index("l_shipdate").alias("month"), "l_quantity", (F.col("l_discount") * 100).alias("l_discount"),
+        (F.col("l_tax") * 100).alias("l_tax"), (F.col("l_extendedprice") / 1000).alias("y"),
+    )
+    rows = VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(lines)
+    found = []
+    for number, own in expanding(block_moments(expanding_folds(rows, "month", 5), ["y"]), 5).items():
+        covariances = own.covariances
+        found += [(number, i, j, own.rows, round(float(covariances[i, j]), 6)) for i in range(4) for j in range(4)]
+    return spark.createDataFrame(found, "fold long, i int, j int, n long, covariance double")
+
+
 @query()
 def model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The linear families with the full budget: all their draws over five expanding folds."""
     matrix = feature_matrix(spark, sf_dir)
     prepared = preprocessor(matrix, labels=list(LABELS)).fit(matrix).transform(matrix)
-    results = search(prepared.select("fix_id", *LABELS, "features"), quick_families(), "fix_id", n_iter=1, folds=2)
+    results = search(prepared.select("fix_id", *LABELS, "features"), base_families(0), "fix_id", **LINEAR_BUDGET)
     return leaderboard(spark, results)
 
 
 def _trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """A model of the linear families with the full budget, saved."""
     matrix = feature_matrix(spark, sf_dir)
     path = scratch_path(spark, "model")
-    retrain(matrix, path, families=(quick_families()[:2],), smoke=True, finalists=1, trees=20)
+    retrain(matrix, path, families=(base_families(0),))
     return matrix, path
 
 
@@ -389,6 +463,70 @@ def drift_check_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift_check(PipelineModel.load(path), matrix, "2000")
 
 
+def _saved_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Line items as rows of players, and the saved model of both labels by least squares on the quantity."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("player_id"),
+        F.col("l_linenumber").alias("fix_id"),
+        F.year("l_shipdate").cast("string").alias("season"),
+        F.month("l_shipdate").alias("game_week"),
+        "l_quantity",
+        (F.col("l_extendedprice") / 1000).alias("label_goals"),
+        (F.col("l_quantity") * F.col("l_discount")).alias("label_assists"),
+    )
+    family = next(f for f in base_families(0) if f.name == "Linear Regression")
+    assembler = VectorAssembler(inputCols=["l_quantity"], outputCol="features")
+    rows = assembler.transform(lines)
+    path = scratch_path(spark, "model")
+    PipelineModel([assembler, *family.pipeline({}, label_facts(rows)).fit(rows).stages]).save(path)
+    return lines, path
+
+
+LINES_SQL = """
+    WITH data AS (
+        SELECT l_orderkey, l_linenumber, YEAR(l_shipdate) AS season, MONTH(l_shipdate) AS week, l_quantity AS x,
+               l_extendedprice / 1000 AS g, l_quantity * l_discount AS a FROM lineitem
+    ), fit AS (
+        SELECT REGR_SLOPE(g, x) AS wg, REGR_INTERCEPT(g, x) AS bg, REGR_SLOPE(a, x) AS wa, REGR_INTERCEPT(a, x) AS ba FROM data
+    ), scored AS (SELECT data.*, bg + wg * x AS pg, ba + wa * x AS pa FROM data, fit)
+"""
+
+
+@query(
+    LINES_SQL
+    + """
+    SELECT ROW_NUMBER() OVER (ORDER BY l_linenumber, l_orderkey) AS prediction_id, l_orderkey AS player_id, l_linenumber AS fixture_id,
+           ROUND(pg, 5) AS predicted_goals, ROUND(pa, 5) AS predicted_assists FROM scored
+    """
+)
+def saved_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two labels fitted, saved, loaded, scored and loaded into the prediction table."""
+    lines, path = _saved_lines(spark, sf_dir)
+    scored = score_to_table(path, lines, scratch_path(spark, "predictions"))
+    rounded = [F.round(c, 5).alias(c) for c in ("predicted_goals", "predicted_assists")]
+    return scored.select("prediction_id", "player_id", "fixture_id", *rounded)
+
+
+@query(
+    LINES_SQL
+    + """
+    , latest AS (SELECT * FROM scored WHERE season = 1995 AND week = (SELECT MAX(week) FROM data WHERE season = 1995)),
+    errors AS (
+        SELECT SQRT(AVG(POWER(g - pg, 2))) AS r1, AVG(ABS(g - pg)) AS a1, SQRT(AVG(POWER(a - pa, 2))) AS r2, AVG(ABS(a - pa)) AS a2 FROM latest
+    ), combined AS (SELECT *, 0.5 * (0.7 * r1 + 0.3 * r2) / (r1 + r2) + 0.5 * (0.7 * a1 + 0.3 * a2) / (a1 + a2) AS m FROM errors)
+    SELECT ROUND(r1, 6) AS output1_rmse, ROUND(a1, 6) AS output1_mae, ROUND(r2, 6) AS output2_rmse, ROUND(a2, 6) AS output2_mae,
+           ROUND(m, 6) AS combined_metric, t AS threshold, m > t AS retrain
+    FROM combined, (VALUES (CAST(0.55 AS DOUBLE)), (CAST(0.65 AS DOUBLE))) AS thresholds(t)
+    """
+)
+def saved_model_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of the loaded model on a season's latest week, and whether it is to be trained anew, at two thresholds."""
+    lines, path = _saved_lines(spark, sf_dir)
+    model = PipelineModel.load(path)
+    found = reduce(DataFrame.unionByName, [drift_check(model, lines, "1995", threshold) for threshold in (0.55, 0.65)])
+    return found.select(*[F.round(c, 6).alias(c) if c not in ("threshold", "retrain") else c for c in found.columns])
+
+
 @query()
 def plain_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     matrix = feature_matrix(spark, sf_dir)
