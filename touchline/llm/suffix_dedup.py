@@ -21,8 +21,8 @@ dictionary, and each is compared once, however often it occurs:
   Windows of one class in both stand side by side in corpus order with ``window``
   bytes in common. This takes one sort of either for all l, not one per window.
 
-Bytes decide inside a trigger's group, hashes of 96 bits whether whole phrases
-are equal. Occurrences are counted before they are shuffled; the few triggers and
+Bytes decide inside a trigger's group, two hashes of 64 bits, of the trigger and
+of the phrase, whether whole phrases are equal. Occurrences are counted before they are shuffled; the few triggers and
 phrases with more than a thousandth of all rows are joined by broadcast. A
 trigger with very many distinct phrases, such as a very common line with ever
 different neighbours, is not one group: its windows are dealt out by their own
@@ -58,11 +58,14 @@ GROUP_LIMIT = 20_000
 GATHERED = 20_000
 LOW = np.uint64((1 << 32) - 1)
 
-PHRASES = "id long, variant long, anchor long, phrase long, check int, at int, `from` int, `to` int"
+# Text a task parses at a time.
+PIECE = 1 << 18
+
+PHRASES = "id long, variant int, anchor long, phrase long, place long"
 CONTEXTS = (
-    "dealt boolean, anchor long, check int, n long, id long, variant long, at int, lo int, hi int, head binary, tail binary"
+    "dealt boolean, anchor long, check int, n long, id long, variant int, at int, lo int, hi int, head binary, tail binary"
 )
-SPANS = "id long, variant long, `from` int, `to` int"
+SPANS = "id long, variant int, span long"
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -104,43 +107,42 @@ class Parse:
         halves = between(self.sums, starts, middle) * np.uint64(3) + between(self.sums, middle, ends)
         return between(self.sums, starts, ends).view(np.int64), (halves >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
-    def in_row(self, places: np.ndarray) -> pa.Array:
-        return pa.array((places - self.offsets[self.rows]).astype(np.int32))
+    def places(self) -> np.ndarray:
+        """First window in its row, windows but one, and distance of the trigger from the first, as one number."""
+        first = self.starts - self.offsets[self.rows]
+        return (first * self.window + self.ends - self.starts) * self.window + self.at - self.starts
 
 
 def _phrases(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in pieces(batch, "text"):
+        for part in pieces(batch, "text", PIECE):
             p = Parse(*text_bytes(part.column(2)), window, gram)
-            phrase, check = p.hashes(p.starts, p.ends + window)
             row = pa.array(p.rows)
             columns = [
                 part.column(0).take(row),
                 part.column(1).take(row),
                 pa.array(between(p.sums, p.at, p.at + gram).view(np.int64)),
-                pa.array(phrase),
-                pa.array(check),
-                p.in_row(p.at),
-                p.in_row(p.starts),
-                p.in_row(p.ends),
+                pa.array(between(p.sums, p.starts, p.ends + window).view(np.int64)),
+                pa.array(p.places()),
             ]
-            yield pa.RecordBatch.from_arrays(
-                columns, names=["id", "variant", "anchor", "phrase", "check", "at", "from", "to"]
-            )
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "variant", "anchor", "phrase", "place"])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Heads and tails of the listed phrases, or, of those to be dealt out, the hashes of their windows."""
     for batch in batches:
-        for part in pieces(batch, "text"):
+        for part in pieces(batch, "text", PIECE):
             data, offsets = text_bytes(part.column(2))
+            raw = data.tobytes()
             listed = part.column(3)
             row = np.repeat(np.arange(part.num_rows), np.diff(listed.offsets.to_numpy()))
             fields = listed.flatten()
-            anchor, n, dealt, at, first, last = [
-                fields.field(i).to_numpy(zero_copy_only=False) for i in ("anchor", "n", "dealt", "at", "from", "to")
+            anchor, n, dealt, place = [
+                fields.field(i).to_numpy(zero_copy_only=False) for i in ("anchor", "n", "dealt", "place")
             ]
             dealt = dealt.astype(bool)
+            first = place // window**2
+            last, at = first + place // window % window, (first + place % window).astype(np.int32)
             base = offsets[row]
             for kept, deal in ((np.flatnonzero(~dealt), False), (np.flatnonzero(dealt), True)):
                 if not len(kept):
@@ -158,7 +160,6 @@ def _contexts(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
                 else:
                     key, check = anchor[kept], np.zeros(len(kept), np.int32)
                     lo, hi = (t - b).astype(np.int32), (t - a).astype(np.int32)
-                    raw = data.tobytes()
                     head = [raw[x:y][::-1] for x, y in zip(a.tolist(), t.tolist())]
                     tail = [raw[x : y + window] for x, y in zip(t.tolist(), b.tolist())]
                 rows = pa.array(r)
@@ -244,10 +245,10 @@ def _ordered(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             [
                 rows["id"].combine_chunks().take(taken),
                 rows["variant"].combine_chunks().take(taken),
-                pa.array((at[row] - last + 1).astype(np.int32)),
-                pa.array((at[row] - first).astype(np.int32)),
+                # The first window of the run, and how many follow it.
+                pa.array((at[row] - last + 1).astype(np.int64) * window + last - 1 - first),
             ],
-            names=["id", "variant", "from", "to"],
+            names=["id", "variant", "span"],
         )
 
     held: list[pa.RecordBatch] = []
@@ -266,30 +267,32 @@ def _ordered(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
 
 
 def duplicate_windows(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """(id, variant, from, to): windows begin at every place of a span, and each of them also begins elsewhere.
+    """(id, variant, span): runs of windows each of which also begins elsewhere.
 
-    ``rows`` are (id, variant, text); id and variant together name a row.
+    ``rows`` are (id, variant, text); id and variant together name a row. A span
+    is the place of its first window times ``window``, plus the windows that follow it.
     """
     phrases = written(rows.mapInArrow(lambda b: _phrases(b, window, gram), PHRASES), "phrases")
-    differ = [F.min(c) != F.max(c) for c in ("phrase", "check")]
-    anchors = phrases.groupBy("anchor").agg(F.count(F.lit(1)).alias("total"), (differ[0] | differ[1]).alias("several"))
+    several = (F.min("phrase") != F.max("phrase")).alias("several")
+    anchors = phrases.groupBy("anchor").agg(F.count(F.lit(1)).alias("total"), several)
     anchors = written(anchors.where("total > 1"), "anchors")
     shared = written(join_counted(phrases, anchors, ["anchor"], "total"), "shared-phrases")
+    whole = ["id", "variant", F.expr(f"place div {window}").alias("span")]
     # All occurrences of a trigger in one phrase: nothing to compare.
-    alike = shared.where("not several").select("id", "variant", "from", "to")
+    alike = shared.where("not several").select(*whole)
     several = shared.where("several")
-    first = F.min(F.struct("id", "variant", "at", "from", "to")).alias("first")
-    dictionary = several.groupBy("anchor", "phrase", "check").agg(F.count(F.lit(1)).alias("n"), first)
+    first = F.min(F.struct("id", "variant", "place")).alias("first")
+    dictionary = several.groupBy("anchor", "phrase").agg(F.count(F.lit(1)).alias("n"), first)
     dictionary = written(dictionary, "dictionary")
-    again = dictionary.where("n > 1").select("anchor", "phrase", "check", "n")
-    again = join_counted(several, again, ["anchor", "phrase", "check"], "n", "left_semi").select("id", "variant", "from", "to")
+    again = dictionary.where("n > 1").select("anchor", "phrase", "n")
+    again = join_counted(several, again, ["anchor", "phrase"], "n", "left_semi").select(*whole)
     large = dictionary.groupBy("anchor").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > group_limit)
     # Triggers with so many distinct phrases are at most dictionary / group_limit; small tables are broadcast by their size.
     large = written(large.select("anchor", F.lit(True).alias("dealt")), "large-groups")
     open_ = dictionary.join(large, "anchor", "left").select(
-        F.col("first.id").alias("id"),
-        F.col("first.variant").alias("variant"),
-        F.struct("anchor", "n", F.coalesce("dealt", F.lit(False)).alias("dealt"), "first.at", "first.from", "first.to").alias("p"),
+        "first.id",
+        "first.variant",
+        F.struct("anchor", "n", F.coalesce("dealt", F.lit(False)).alias("dealt"), "first.place").alias("p"),
     )
     open_ = open_.groupBy("id", "variant").agg(F.collect_list("p").alias("phrases"))
     contexts = rows.join(open_, ["id", "variant"]).mapInArrow(lambda b: _contexts(b, window), CONTEXTS)
@@ -302,7 +305,7 @@ def duplicate_windows(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, g
         dealt = contexts.where("dealt")
         counted = dealt.groupBy("anchor", "check").agg(F.count(F.lit(1)).alias("windows")).where("windows > 1")
         found = join_counted(dealt.where("n = 1"), written(counted, "windows"), ["anchor", "check"], "windows", "left_semi")
-        spans = spans.unionByName(found.select("id", "variant", F.col("lo").alias("from"), F.col("lo").alias("to")))
+        spans = spans.unionByName(found.select("id", "variant", (F.col("lo").cast("long") * window).alias("span")))
     return spans
 
 
@@ -311,11 +314,12 @@ KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 str
 
 def _cut(part: pa.RecordBatch, window: int, with_kept: bool) -> pa.RecordBatch:
     data, offsets = text_bytes(part.column(part.schema.get_field_index("text")))
+    spans = part.column(part.schema.get_field_index("spans"))
+    base = np.repeat(offsets[:-1], np.diff(spans.offsets.to_numpy()))
+    first, more = np.divmod(spans.flatten().to_numpy(zero_copy_only=False).astype(np.int64), window)
     depth = np.zeros(len(data) + 1, np.int32)
-    for name, step, reach in (("starts", 1, 0), ("ends", -1, window)):
-        column = part.column(part.schema.get_field_index(name))
-        places = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        np.add.at(depth, places + np.repeat(offsets[:-1], np.diff(column.offsets.to_numpy())) + reach, step)
+    np.add.at(depth, base + first, 1)
+    np.add.at(depth, base + first + more + window, -1)
     gone = np.cumsum(depth)[:-1] > 0
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
@@ -349,17 +353,16 @@ def remove_repeats(
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, ``with_kept``, the remaining bytes of every row."""
     named = F.col(id_col).cast("long")
     rows = docs.select(
-        F.coalesce(named, F.lit(0)).alias("id"),
-        F.xxhash64(named.isNull(), F.col(text_col)).alias("variant"),
+        F.coalesce(named, F.xxhash64(text_col)).alias("id"),
+        F.hash(named.isNull(), F.col(text_col)).alias("variant"),
         F.col(text_col).alias("text"),
         named.alias("doc_id"),
     )
     spans = duplicate_windows(rows.drop("doc_id"), window, gram, group_limit)
-    spans = spans.groupBy("id", "variant").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
-    spans = spans.select("id", "variant", F.col("spans.from").alias("starts"), F.col("spans.to").alias("ends"))
+    spans = spans.groupBy("id", "variant").agg(F.collect_list("span").alias("spans"))
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE):
                 yield _cut(part, window, with_kept)
 
     return rows.join(spans, ["id", "variant"], "left").mapInArrow(cut, KEPT)
