@@ -1,5 +1,7 @@
 """Preparation, outliers, splits, search and the model's life."""
 
+import json
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -11,6 +13,7 @@ from touchline.modelling.families import Facts, Family, base_families, ensemble_
 from touchline.modelling.lifecycle import cross_validated, drift_check, predict, retrain, score_to_table, select_features
 from touchline.modelling.outliers import drop_outliers, fit_isolation_forest
 from touchline.modelling.search import Result, best_per_family, leaderboard, n_best, search
+from touchline.modelling.trees import TreesRegressor
 from touchline.modelling.validation import expanding_folds, fold, holdout_last
 from touchline.session import scratch_path
 
@@ -142,12 +145,16 @@ def test_holdout_by_keys_and_by_rows(spark):
 
 
 FITTED_AS = {
-    "max_depth": "maxDepth",
-    "n_estimators": "numTrees",
-    "max_samples": "subsamplingRate",
-    "subsample": "subsamplingRate",
-    "learning_rate": "stepSize",
-    "bootstrap": "bootstrap",
+    "max_depth": "depth",
+    "min_samples_leaf": "least_leaf",
+    "min_samples_split": "least_split",
+    "max_samples": "rows",
+    "subsample": "rows",
+    "learning_rate": "rate",
+    "bootstrap": "rows_repeat",
+    "max_features": "columns",
+    "colsample_bytree": "columns",
+    "bootstrap_features": "columns_repeat",
 }
 
 
@@ -157,9 +164,10 @@ def test_parameter_draws_are_seeded_and_in_range():
         for params in family.draw(5):
             regressor = family.build({"degree": 1, **params}, Facts(100, 2.0))
             # What was drawn is what is fitted.
-            for drawn, fitted in FITTED_AS.items():
-                if drawn in params and regressor.hasParam(fitted):
-                    assert regressor.getOrDefault(fitted) == params[drawn]
+            if isinstance(regressor, TreesRegressor):
+                growth = json.loads(regressor.getOrDefault("growth"))
+                assert growth["rounds"] * growth["parallel"] == params.get("n_estimators", 1)
+                assert all(growth[FITTED_AS[k]] == v for k, v in params.items() if k != "n_estimators")
     names = [f.name for f in base_families(2)]
     assert names == ["Linear Regression", "Ridge", "Lasso", "Elastic Net", "Decision Tree 1", "Decision Tree 2"]
 

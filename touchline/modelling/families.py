@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-import math
 import random
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import PolynomialExpansion
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.modelling.trees import Growth, TreesRegressor
+
 # Label columns and the columns their predictions go to.
 OUTPUTS = {"label_goals": "predicted_goals", "label_assists": "predicted_assists"}
 SEED = 42
-# Spark grows trees no deeper than this; ranges end there, so that what is drawn is what is fitted.
-DEEPEST = 30
-# Candidate thresholds per feature and split; Spark's trees split at quantiles, not at every value.
-MAX_BINS = 64
+# A depth no tree reaches, and the quadratic penalty on a boosted leaf.
+UNLIMITED = 1_000_000
+LEAF_PENALTY = 1.0
 
 Draw = Callable[[random.Random], object]
 
@@ -29,11 +29,6 @@ def whole(low: int, high: int) -> Draw:
     return lambda rng: rng.randrange(low, max(high, low + 1))
 
 
-def depth(low: int, high: int) -> Draw:
-    """A depth of trees, within what Spark can grow."""
-    return whole(low, min(high, DEEPEST + 1))
-
-
 def real(low: float, width: float) -> Draw:
     return lambda rng: rng.uniform(low, low + width)
 
@@ -42,15 +37,6 @@ def either(*values) -> Draw:
     return lambda rng: rng.choice(values)
 
 
-def least_leaf(params: dict) -> int:
-    """Rows a leaf has to have.
-
-    Spark has no least size of a split; half of it for each side is the nearest setting that never splits a
-    smaller node.
-    """
-    return max(params["min_samples_leaf"], -(-params["min_samples_split"] // 2))
-
-
 @dataclass(frozen=True)
 class Facts:
     """What penalties depend on: training rows, and the sample deviation of a label."""
@@ -114,56 +100,61 @@ def _linear(name: str, penalty: Penalty, ranges: dict[str, Draw] | None = None)
     return Family(name, build, ranges or {}, polynomial=bool(ranges), penalty=penalty)
 
 
-def _tree(params: dict, facts: Facts) -> RandomForestRegressor:
+def _tree(params: dict, facts: Facts) -> TreesRegressor:
     """One tree with a random subset of features per split."""
-    return RandomForestRegressor(
-        numTrees=1,
-        bootstrap=False,
-        featureSubsetStrategy="sqrt",
-        maxDepth=params["max_depth"],
-        maxBins=MAX_BINS,
-        minInstancesPerNode=least_leaf(params),
-        seed=SEED,
+    return TreesRegressor(
+        Growth(
+            depth=params["max_depth"],
+            least_leaf=params["min_samples_leaf"],
+            least_split=params["min_samples_split"],
+            per_split=0.5,
+            seed=SEED,
+        )
     )
 
 
-def _bagging(params: dict, facts: Facts) -> RandomForestRegressor:
-    """Drawing features with replacement sees fewer distinct ones: a share of 1 - e ** -f of them."""
-    features = params["max_features"]
-    if params["bootstrap_features"]:
-        features = 1.0 - math.exp(-features)
-    return RandomForestRegressor(
-        numTrees=params["n_estimators"],
-        bootstrap=params["bootstrap"],
-        subsamplingRate=params["max_samples"],
-        featureSubsetStrategy=str(features),
-        maxDepth=DEEPEST,
-        maxBins=MAX_BINS,
-        seed=SEED,
+def _bagging(params: dict, facts: Facts) -> TreesRegressor:
+    """Whole trees, each from its own rows and its own features, either drawn with repeats or without."""
+    return TreesRegressor(
+        Growth(
+            parallel=params["n_estimators"],
+            depth=UNLIMITED,
+            rows=params["max_samples"],
+            rows_repeat=params["bootstrap"],
+            columns=params["max_features"],
+            columns_repeat=params["bootstrap_features"],
+            seed=SEED,
+        )
     )
 
 
-def _boosted(params: dict, facts: Facts) -> GBTRegressor:
-    return GBTRegressor(
-        maxDepth=params["max_depth"],
-        maxBins=MAX_BINS,
-        stepSize=params["learning_rate"],
-        maxIter=params["n_estimators"],
-        subsamplingRate=params["subsample"],
-        featureSubsetStrategy=str(params["colsample_bytree"]),
-        seed=SEED,
+def _boosted(params: dict, facts: Facts) -> TreesRegressor:
+    """Second-order boosting: leaves of -G / (H + 1), rows and features drawn per tree."""
+    return TreesRegressor(
+        Growth(
+            rounds=params["n_estimators"],
+            depth=params["max_depth"],
+            rate=params["learning_rate"],
+            penalty=LEAF_PENALTY,
+            rows=params["subsample"],
+            columns=params["colsample_bytree"],
+            from_mean=True,
+            seed=SEED,
+        )
     )
 
 
-def _forest(params: dict, facts: Facts) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        numTrees=params["n_estimators"],
-        maxDepth=params["max_depth"],
-        maxBins=MAX_BINS,
-        minInstancesPerNode=least_leaf(params),
-        bootstrap=params["bootstrap"],
-        featureSubsetStrategy="sqrt",
-        seed=SEED,
+def _forest(params: dict, facts: Facts) -> TreesRegressor:
+    return TreesRegressor(
+        Growth(
+            parallel=params["n_estimators"],
+            depth=params["max_depth"],
+            least_leaf=params["min_samples_leaf"],
+            least_split=params["min_samples_split"],
+            rows_repeat=params["bootstrap"],
+            per_split=0.5,
+            seed=SEED,
+        )
     )
 
 
@@ -185,7 +176,7 @@ def base_families(variants: int = 10) -> list[Family]:
                 f"Decision Tree {i}",
                 _tree,
                 {
-                    "max_depth": depth(1, 10 * i),
+                    "max_depth": whole(1, 10 * i),
                     "min_samples_split": whole(2 * i, 10 * i),
                     "min_samples_leaf": whole(1, i + 1),
                 },
@@ -216,7 +207,7 @@ def ensemble_families(variants: int = 5) -> list[Family]:
                 f"GradientBoosting_{i}",
                 _boosted,
                 {
-                    "max_depth": depth(3, 10 * i),
+                    "max_depth": whole(3, 10 * i),
                     "learning_rate": real(0.1, 0.1 + growth * i),
                     "n_estimators": whole(50, 200 * i),
                     "subsample": real(0.1, 0.1 + growth * i),
@@ -228,7 +219,7 @@ def ensemble_families(variants: int = 5) -> list[Family]:
                 _forest,
                 {
                     "n_estimators": whole(100, 300 * i),
-                    "max_depth": depth(5 * i, 20 * i),
+                    "max_depth": whole(5 * i, 20 * i),
                     "min_samples_split": whole(2 * i, 10 * i),
                     "min_samples_leaf": whole(1, 5 * i),
                     "bootstrap": either(True, False),

@@ -46,12 +46,13 @@ def _combined(first: float, second: float) -> float | None:
 
 
 def _metrics(rmse: Sequence[float], mae: Sequence[float]) -> dict[str, float | None]:
+    rmse, mae = [float(v) for v in rmse], [float(v) for v in mae]
     shares = [_combined(*rmse), _combined(*mae)]
     known = None not in shares
     return {
         "combined_metric": METRIC_WEIGHT * shares[0] + (1 - METRIC_WEIGHT) * shares[1] if known else None,
-        **{f"output{i}_rmse": float(v) for i, v in enumerate(rmse, start=1)},
-        **{f"output{i}_mae": float(v) for i, v in enumerate(mae, start=1)},
+        **{f"output{i}_rmse": v for i, v in enumerate(rmse, start=1)},
+        **{f"output{i}_mae": v for i, v in enumerate(mae, start=1)},
     }
 
 

@@ -33,6 +33,7 @@ from touchline.modelling.prepare import (
     preprocessor,
 )
 from touchline.modelling.search import leaderboard, search
+from touchline.modelling.trees import Growth, TreesRegressor
 from touchline.modelling.validation import expanding_folds, holdout_last
 from touchline.operators.aggregates import most_frequent, quantiles
 from touchline.operators.ranking import dense_id
@@ -283,16 +284,18 @@ UNSAMPLED = {
     cuts AS (
         SELECT q, SUM(n) OVER (ORDER BY q) AS ln, SUM(s) OVER (ORDER BY q) AS ls, SUM(n) OVER () AS n, SUM(s) OVER () AS s FROM per
     ), best AS (
-        SELECT q, ls / ln AS below, (s - ls) / (n - ln) AS above FROM cuts WHERE n > ln
+        SELECT q, ls / ln AS below, (s - ls) / (n - ln) AS above, s / n AS mean, ln, n - ln AS rn FROM cuts WHERE n > ln
         ORDER BY ls * ls / ln + (s - ls) * (s - ls) / (n - ln) DESC LIMIT 1
     )
     SELECT model, per.q AS l_quantity, ROUND(CASE WHEN per.q <= best.q THEN below ELSE above END, 2) AS predicted
-    FROM per, best, (VALUES ('Decision Tree 1'), ('RandomForest_1'), ('GradientBoosting_1')) AS m(model)
+    FROM per, best, (VALUES ('Decision Tree 1'), ('RandomForest_1')) AS m(model)
+    UNION ALL SELECT 'GradientBoosting_1', per.q, ROUND(mean + 0.1 * CASE WHEN per.q <= best.q THEN ln * (below - mean) / (ln + 1)
+        ELSE rn * (above - mean) / (rn + 1) END, 2) FROM per, best
     UNION ALL SELECT 'Bagging_DecisionTree_1', q, ROUND(s / n, 2) FROM per
     """
 )
 def tree_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trees of one split and whole trees on one feature without sampling: the best cut, and the mean of every value."""
+    """Every family of trees on one feature without sampling: the best cut, and the mean of every value."""
     lines = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
     rows = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(lines).persist()
     facts = label_facts(rows, PRICE)
@@ -305,6 +308,70 @@ def tree_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+CELL = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _trees_sql(growth: Growth) -> str:
+    """Trees grown over the distinct values of three columns: per level, the best of all cuts of every node."""
+    steps = [
+        f"m0 AS (SELECT {', '.join(CELL)}, COUNT(*) AS n, SUM(l_extendedprice / 1000) AS s, "
+        f"CAST({'(SELECT AVG(l_extendedprice / 1000) FROM lineitem)' if growth.from_mean else '0'} AS DOUBLE) AS m FROM lineitem GROUP BY ALL)"
+    ]
+    for r in range(growth.rounds):
+        steps.append(f"r{r}d0 AS MATERIALIZED (SELECT *, 1 AS node, TRUE AS open FROM m{r})")
+        for d in range(growth.depth):
+            now, cut, best = f"r{r}d{d}", f"r{r}c{d}", f"r{r}b{d}"
+            values = " UNION ALL ".join(
+                f"SELECT node, {i} AS f, {c} AS v, SUM(n * m - s) AS g, CAST(SUM(n) AS DOUBLE) AS h FROM {now} WHERE open GROUP BY node, {c}"
+                for i, c in enumerate(CELL)
+            )
+            steps.append(
+                f"{cut} AS (SELECT node, f, v, SUM(g) OVER low AS gl, SUM(h) OVER low AS hl, SUM(g) OVER one AS g, SUM(h) OVER one AS h FROM ({values}) "
+                "WINDOW low AS (PARTITION BY node, f ORDER BY v), one AS (PARTITION BY node, f))"
+            )
+            gain = f"gl * gl / (hl + {growth.penalty}) + (g - gl) * (g - gl) / (h - hl + {growth.penalty}) - g * g / (h + {growth.penalty})"
+            least = f"hl >= {growth.least_leaf} AND h - hl >= {growth.least_leaf} AND h >= {growth.least_split}"
+            steps.append(
+                f"{best} AS MATERIALIZED (SELECT node, f, v FROM (SELECT *, {gain} AS gain FROM {cut} WHERE {least}) WHERE gain > 1e-7 "
+                "QUALIFY ROW_NUMBER() OVER (PARTITION BY node ORDER BY gain DESC, f, v) = 1)"
+            )
+            own = f"CASE f {' '.join(f'WHEN {i} THEN {c}' for i, c in enumerate(CELL))} END"
+            steps.append(
+                f"r{r}d{d + 1} AS MATERIALIZED (SELECT x.* EXCLUDE (node, open), "
+                f"CASE WHEN f IS NULL THEN x.node ELSE x.node * 2 + CAST({own} > v AS INTEGER) END AS node, f IS NOT NULL AS open "
+                f"FROM {now} x LEFT JOIN {best} b ON x.node = b.node AND x.open)"
+            )
+        steps.append(
+            f"m{r + 1} AS MATERIALIZED (SELECT * EXCLUDE (node, open, m), "
+            f"m - {growth.rate} * SUM(n * m - s) OVER (PARTITION BY node) / (SUM(n) OVER (PARTITION BY node) + {growth.penalty}) AS m FROM r{r}d{growth.depth})"
+        )
+    return f"WITH {', '.join(steps)} SELECT {', '.join(CELL)}, ROUND(m, 4) AS predicted FROM m{growth.rounds}"
+
+
+def _cells_predicted(spark: SparkSession, sf_dir: str, growth: Growth) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select(*CELL, (F.col("l_extendedprice") / 1000).alias("price"))
+    rows = VectorAssembler(inputCols=CELL, outputCol="features").transform(lines)
+    regressor = TreesRegressor(growth).setParams(featuresCol="features", labelCol="price", predictionCol="predicted")
+    found = regressor.fit(rows).transform(rows.dropDuplicates(CELL))
+    return found.select(*CELL, F.round("predicted", 4).alias("predicted"))
+
+
+BOOSTED = Growth(rounds=3, depth=2, rate=0.3, penalty=1.0, from_mean=True)
+DEEP = Growth(depth=4, least_leaf=40, least_split=200)
+
+
+@query(_trees_sql(BOOSTED))
+def boosted_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three rounds of second-order boosting, two levels deep, on three features."""
+    return _cells_predicted(spark, sf_dir, BOOSTED)
+
+
+@query(_trees_sql(DEEP))
+def deep_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tree of four levels on three features, with least sizes of leaves and of splits."""
+    return _cells_predicted(spark, sf_dir, DEEP)
+
+
 @query(
     """
     SELECT name FROM (
@@ -495,7 +562,7 @@ LINES_SQL = """
 @query(
     LINES_SQL
     + """
-    SELECT ROW_NUMBER() OVER (ORDER BY l_linenumber, l_orderkey) AS prediction_id, l_orderkey AS player_id, l_linenumber AS fixture_id,
+    SELECT l_orderkey AS player_id, l_linenumber AS fixture_id,
            ROUND(pg, 5) AS predicted_goals, ROUND(pa, 5) AS predicted_assists FROM scored
     """
 )
@@ -504,7 +571,7 @@ def saved_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, path = _saved_lines(spark, sf_dir)
     scored = score_to_table(path, lines, scratch_path(spark, "predictions"))
     rounded = [F.round(c, 5).alias(c) for c in ("predicted_goals", "predicted_assists")]
-    return scored.select("prediction_id", "player_id", "fixture_id", *rounded)
+    return scored.select("player_id", "fixture_id", *rounded)
 
 
 @query(
