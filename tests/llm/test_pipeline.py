@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from edge_rows import docs, no_docs
 from pyspark.sql import functions as F
-from test_mixing import plain_rake
+from test_mixing import plain_odds
 from test_simhash import fingerprint, groups
 from tokenizers import Tokenizer
 
@@ -40,8 +40,7 @@ def mixed(rows):
             sums[c[k]] = sums.get(c[k], 0) + n
         raised = {v: n**power for v, n in sums.items()}
         targets[name] = {v: x / sum(raised.values()) for v, x in raised.items()}
-    factor = {c: w / cells[c] for c, w in plain_rake(cells, targets).items()}
-    odds = {c: f / max(factor.values()) for c, f in factor.items()}
+    odds = plain_odds(cells, targets)
     share = {i: int(hashlib.md5(f"{SEED}:{i}".encode()).hexdigest()[:8], 16) / 2**32 for i in cell}
     return [r for r in rows if share[r.doc_id] < odds[cell[r.doc_id]]]
 

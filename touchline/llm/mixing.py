@@ -1,9 +1,13 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Token counts of (source, language, topic) cells are raked until the marginals
-of all three meet their targets; the raked weight over the counted one, scaled
-so that the largest is 1, is the probability with which the documents of a cell
-are kept. A hash of the id decides, so the same document is always kept or not.
+of all three meet their targets. The mixture's total is the largest for which the
+cells have all but ``shortfall`` of the tokens they are to give, so a rare cell that
+cannot give its share does not lower what is kept of the others. Cells short of
+tokens give all they have, and raking goes on with that bound, so that others
+of their margins make up for them. A cell's weight times the total over its
+counted tokens is the probability with which its documents are kept. A hash of
+the id decides, so the same document is always kept or not.
 
 Cells, not documents, are raked: one aggregate with map-side sums makes them.
 They are dealt over as many partitions as their number asks for, so a few
@@ -13,22 +17,28 @@ by three exchanges a round; the code is the same.
 Defined cases: NULL in a margin column is a value of its own, shown as
 ``<missing>``; a NULL or empty text has one token; a NULL id is hashed as the text
 ``null``; repeated rows share their fate; an empty table gives no rows; extra
-columns are kept by ``mix`` and may have any names but those it adds.
+columns are kept; one with the name of a column that ``mix`` adds is an error.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.registry import query, table
+from touchline.operators.windows import Trailing, trailing
 from touchline.session import written
 
 MISSING = "<missing>"
 ROUNDS = 24
 ROUNDS_PER_PLAN = 6
+# Rounds after the total is known, in which no cell exceeds what it has.
+BOUNDED_ROUNDS = 6
+# Share of the mixture's total that cells may lack before raking goes on within bounds.
+SHORTFALL = 0.01
 CELLS_PER_TASK = 100_000
 SEED = "mix-1"
 
@@ -83,20 +93,68 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
     if not rows:
         return cells.withColumn("weight", F.col("tokens").cast("double"))
     state = cells.withColumn("weight", F.col("tokens") / F.lit(float(total)))
-    tasks = -(-rows // CELLS_PER_TASK)
+    return _rounds(state, list(targets), -(-rows // CELLS_PER_TASK), rounds)
+
+
+def _rounds(state: DataFrame, margins: list[str], tasks: int, rounds: int, bound: Column | None = None) -> DataFrame:
+    """``weight`` fitted to every margin in turn, some rounds a plan; none exceeds ``bound``."""
     done = 0
     while done < rounds:
         state = state.repartition(tasks)
         for _ in range(min(ROUNDS_PER_PLAN, rounds - done)):
-            for margin in targets:
+            for margin in margins:
                 share = F.sum("weight").over(Window.partitionBy(margin))
                 fitted = F.col("weight") * F.coalesce(f"_target_{margin}", share) / share
+                fitted = fitted if bound is None else F.least(fitted, bound)
                 state = state.withColumn("weight", F.when(share > 0, fitted).otherwise(0.0))
         done += ROUNDS_PER_PLAN
         state = written(state, "raked")
     return state
 
 
+def mixture_total(raked: DataFrame, shortfall: float = SHORTFALL) -> float:
+    """The largest total for which cells lack no more than ``shortfall`` of it, and never more than all tokens.
+
+    At a total t the cells lack the sum of weight - tokens / t over those where this
+    is positive: the largest of all sums over the cells with the least tokens per
+    weight. So t is the least of tokens / (weight - shortfall) over these sums.
+    """
+    ordered = raked.where("weight > 0").select("weight", F.col("tokens").cast("double").alias("tokens"), (F.col("tokens") / F.col("weight")).alias("_ratio"))
+    sums = [Trailing(c, f"_{c}", None, True) for c in ("tokens", "weight")]
+    through = trailing(ordered, sums, [], ["_ratio", "weight"], any_size=True)
+    least = through.agg(F.min(F.when(F.col("_weight") > shortfall, F.col("_tokens") / (F.col("_weight") - shortfall)))).first()[0]
+    total = ordered.agg(F.sum("tokens")).first()[0] or 0.0
+    return min(total, least or total)
+
+
+def planned(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS, shortfall: float = SHORTFALL) -> DataFrame:
+    """``cells`` with ``probability``: that with which the tokens of a cell are kept."""
+    raked = rake(cells, targets, rounds)
+    total = mixture_total(raked, shortfall)
+    if not total:
+        return raked.withColumn("probability", F.lit(1.0))
+    bound = F.col("tokens") / F.lit(total)
+    state = raked.withColumn("weight", F.least("weight", bound))
+    tasks = -(-raked.count() // CELLS_PER_TASK)
+    state = _rounds(state, list(targets), tasks, BOUNDED_ROUNDS, bound)
+    return state.withColumn("probability", F.least(F.col("weight") * F.lit(total) / F.col("tokens"), F.lit(1.0)))
+
+
+def residuals(plan: DataFrame, margins: Sequence[str]) -> DataFrame:
+    """(margin, value, target, reached): shares of the kept tokens against the targets of ``planned`` cells."""
+    kept = F.sum(F.col("probability") * F.col("tokens"))
+    total = plan.agg(kept).first()[0] or 1.0
+    return reduce(
+        DataFrame.unionByName,
+        [
+            plan.groupBy(F.col(m).alias("value"))
+            .agg(F.max(f"_target_{m}").alias("target"), (kept / F.lit(total)).alias("reached"))
+            .select(F.lit(m).alias("margin"), "value", "target", "reached")
+            for m in margins
+        ],
+    )
+
+
 def mix(
     docs: DataFrame,
     margins: Mapping[str, Column],
@@ -106,6 +164,7 @@ def mix(
     id_col: str = "doc_id",
     seed: str = SEED,
     rounds: int = ROUNDS,
+    shortfall: float = SHORTFALL,
 ) -> DataFrame:
     """``docs`` with ``mix_<margin>`` of every margin, ``mix_tokens``, ``probability`` and ``kept``.
 
@@ -113,6 +172,9 @@ def mix(
     counted shares to the power in ``powers``.
     """
     named = {f"mix_{name}": F.coalesce(value.cast("string"), F.lit(MISSING)) for name, value in margins.items()}
+    taken = {c.lower() for c in docs.columns} & {*named, "mix_tokens", "probability", "kept"}
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} are added by mixing")
     rows = docs.withColumns({**named, "mix_tokens": tokens})
     cells = rows.groupBy(*named).agg(F.sum("mix_tokens").alias("tokens"))
     cells = written(cells, "counted")
@@ -121,9 +183,7 @@ def mix(
         own = (targets or {}).get(name)
         margin = f"mix_{name}"
         goal[margin] = own.toDF(margin, "target") if own else power_targets(cells, margin, (powers or {}).get(name, 1.0))
-    raked = rake(cells, goal, rounds).withColumn("_factor", F.col("weight") / F.col("tokens"))
-    largest = raked.agg(F.max("_factor")).first()[0] or 1.0
-    odds = raked.select(*named, F.least(F.col("_factor") / F.lit(largest), F.lit(1.0)).alias("probability"))
+    odds = planned(cells, goal, rounds, shortfall).select(*named, "probability")
     return rows.join(written(odds, "odds"), [*named], "left").withColumn(
         "kept", hash_share(id_col, seed) < F.col("probability")
     )
@@ -156,6 +216,23 @@ def _sql() -> str:
                 f" AS weight) FROM {last})"
             )
             last = name
+    raked = last
+    last = "bounded"
+    for i in range(BOUNDED_ROUNDS):
+        for margin in POWERS:
+            name = f"bound{i}_{margin}"
+            steps.append(
+                f"{name} AS MATERIALIZED (SELECT * REPLACE (least(weight * t_{margin} / sum(weight) OVER (PARTITION BY {margin}),"
+                f" tokens / total) AS weight) FROM {last})"
+            )
+            last = name
+    at = len(POWERS) * ROUNDS
+    steps[at:at] = [
+        f"through AS (SELECT sum(tokens::DOUBLE) OVER least_first AS n, sum(weight) OVER least_first AS w FROM {raked}"
+        " WINDOW least_first AS (ORDER BY tokens / weight, weight ROWS UNBOUNDED PRECEDING))",
+        f"total AS (SELECT least((SELECT sum(tokens::DOUBLE) FROM cells), min(n / (w - {SHORTFALL}))) AS total FROM through WHERE w > {SHORTFALL})",
+        f"bounded AS MATERIALIZED (SELECT {raked}.* REPLACE (least(weight, tokens / total) AS weight), total FROM {raked}, total)",
+    ]
     goals = ", ".join(
         f"goal_{m} AS (SELECT {m}, pow(sum(tokens)::DOUBLE, {p}) / sum(pow(sum(tokens)::DOUBLE, {p})) OVER () AS t_{m}"
         f" FROM cells GROUP BY {m})"
@@ -173,7 +250,7 @@ WITH docs AS (
 {goals},
 started AS MATERIALIZED (SELECT *, tokens::DOUBLE / sum(tokens) OVER () AS weight FROM cells {joins}),
 {", ".join(steps)},
-odds AS (SELECT source, lang, topic, least(weight / tokens / max(weight / tokens) OVER (), 1.0) AS probability FROM {last})
+odds AS (SELECT source, lang, topic, least(weight * total / tokens, 1.0) AS probability FROM {last})
 SELECT doc_id, topic, tokens AS n_tokens, round(probability, 6) AS probability,
   ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT / 4294967296.0 < probability AS kept
 FROM docs JOIN odds USING (source, lang, topic)
