@@ -109,12 +109,17 @@ def test_predictions_only_grow(spark):
     path = scratch_path(spark, "test-predictions")
     new = spark.createDataFrame([(2, 1, 0.5, 0.1), (1, 1, 0.4, 0.2)], "player_id int, fixture_id int, predicted_goals double, predicted_assists double")
     assert append_predictions(new, path).count() == 2
-    rows = append_predictions(new, path).orderBy("prediction_id").collect()
-    assert [(r.prediction_id, r.player_id) for r in rows] == [(1, 1), (2, 2), (3, 1), (4, 2)]
+    assert append_predictions(new, path).count() == 2, "the same load again"
+    rows = append_predictions(new, path, 3).orderBy("prediction_id").collect()
+    base = 3 << 32
+    assert [(r.prediction_id, r.player_id, r.load) for r in rows] == [(1, 1, 0), (2, 2, 0), (base + 1, 1, 3), (base + 2, 2, 3)]
     assert all(r.prediction_timestamp for r in rows)
     with pytest.raises(Exception, match="required prediction"):
-        append_predictions(new.withColumn("predicted_goals", F.lit(None).cast("double")), path)
-    assert spark.read.parquet(path).count() == 4
+        append_predictions(new.withColumn("predicted_goals", F.lit(None).cast("double")), path, 3)
+    assert spark.read.parquet(path).count() == 4, "a load that fails leaves the table as it was"
+    assert append_predictions(new.limit(1), path, 3).count() == 3
+    with pytest.raises(ValueError):
+        append_predictions(new, path, -1)
 
 
 def test_earlier_lists(spark):

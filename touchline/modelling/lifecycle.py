@@ -89,9 +89,9 @@ def predict(model: PipelineModel, matrix: DataFrame) -> DataFrame:
     return scored.select("_ids.*", *OUTPUTS.values())
 
 
-def score_to_table(path: str, matrix: DataFrame, table: str) -> DataFrame:
-    """Predictions of a saved model appended to the table at ``table``."""
-    return append_predictions(predict(PipelineModel.load(path), matrix), table)
+def score_to_table(path: str, matrix: DataFrame, table: str, load: int = 0) -> DataFrame:
+    """Predictions of a saved model appended to the table at ``table`` as one load, which may be repeated."""
+    return append_predictions(predict(PipelineModel.load(path), matrix), table, load)
 
 
 def drift_check(model: PipelineModel, matrix: DataFrame, season: str, threshold: float = RETRAIN_ABOVE) -> DataFrame:

@@ -113,54 +113,74 @@ def yeo_johnson(x: Column, power: Column) -> Column:
     return F.when(x >= 0, above).otherwise(below)
 
 
-def fit_powers(df: DataFrame, columns: Sequence[str], points: int = 9, passes: int = 6) -> dict[str, float]:
-    """The power of greatest likelihood for each column.
-
-    The likelihood has one peak, so every pass tries ``points`` powers around the
-    best so far and narrows in. A pass reads the distinct values once for all
-    columns; one row per column and power comes back.
+def _power_series(x: Column, power: float) -> list[Column]:
+    """The transformed value and its first and second derivative by the power."""
+
+    def of(u: Column, p: float, sign: float) -> list[Column]:
+        a = F.log(u)
+        if abs(p) < 1e-5:
+            # Near zero the quotients lose their digits; the series does not.
+            terms = [a + p * a**2 / 2, a**2 / 2 + p * a**3 / 3, a**3 / 3 + p * a**4 / 4]
+        else:
+            grown = F.exp(p * a)
+            value = (grown - 1) / p
+            slope = (grown * a - value) / p
+            terms = [value, slope, (grown * a**2 - 2 * slope) / p]
+        # Below zero the power counts down from two.
+        return [terms[0] * sign, terms[1], terms[2] * sign]
+
+    above, below = of(F.greatest(x, F.lit(0.0)) + 1, power, 1.0), of(1 - F.least(x, F.lit(0.0)), 2.0 - power, -1.0)
+    return [F.when(x >= 0, up).otherwise(down) for up, down in zip(above, below)]
+
+
+def fit_powers(df: DataFrame, columns: Sequence[str], passes: int = 60) -> dict[str, float]:
+    """The power of greatest likelihood for each column, by Newton's steps on its slope.
+
+    A pass is one aggregate over all columns: sums of the transformed values, of
+    their derivatives by the power and of the products give the slope and the
+    bend of the likelihood. Steps that leave the bracket of the peak, or follow a
+    bend upwards, are replaced by halving it. A column that never varies keeps 0.
     """
     if not columns:
         return {}
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    values = doubles.unpivot([], list(columns), "column", "x").where(F.col("x").isNotNull())
-    # Equal values are counted once and for all passes.
-    counted = written(values.groupBy("column", "x").agg(F.count(F.lit(1)).alias("n")), "values")
-    centres = {
-        r["column"]: r["centre"]
-        for r in counted.groupBy("column").agg((F.sum(F.col("n") * F.col("x")) / F.sum("n")).alias("centre")).collect()
-    }
-    best = dict.fromkeys(columns, 0.0)
-    step = 1.0
-    half = points // 2
-    spark = df.sparkSession
+    first = doubles.agg(
+        *[F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.sum(F.signum(c) * F.log1p(F.abs(c))).alias("gain"), (F.min(c) < F.max(c)).alias("varies")).alias(c) for c in columns]
+    ).first()
+    power = dict.fromkeys(columns, 0.0)
+    bracket = {c: [-math.inf, math.inf] for c in columns}
+    open_ = [c for c in columns if first[c]["varies"]]
     for _ in range(passes):
-        tried = [(c, centres[c], best[c] + (i - half) * step) for c in centres for i in range(points)]
-        grid = F.broadcast(spark.createDataFrame(tried, "column string, centre double, power double"))
-        # Measured from the centre's image, sums of squares lose no digits.
-        y = yeo_johnson(F.col("x"), F.col("power")) - yeo_johnson(F.col("centre"), F.col("power"))
-        rows = (
-            counted.join(grid, "column")
-            .withColumn("y", y)
-            .groupBy("column", "power")
-            .agg(
-                F.sum("n").alias("n"),
-                F.sum(F.col("n") * F.signum("x") * F.log1p(F.abs("x"))).alias("gain"),
-                F.sum(F.col("n") * F.col("y")).alias("first"),
-                F.sum(F.col("n") * F.col("y") * F.col("y")).alias("second"),
-            )
-            .withColumn("spread", F.col("second") / F.col("n") - F.pow(F.col("first") / F.col("n"), F.lit(2)))
-            .collect()
-        )
-        likelihood: dict[str, list[tuple[float, float]]] = {c: [] for c in columns}
-        for row in rows:
-            spread = row["spread"]
-            if spread and 0 < spread < math.inf:
-                value = -row["n"] / 2 * math.log(spread) + (row["power"] - 1) * row["gain"]
-                likelihood[row["column"]].append((value, row["power"]))
-        best = {c: max(found)[1] if found else best[c] for c, found in likelihood.items()}
-        step /= half
-    return best
+        if not open_:
+            break
+        sums = []
+        for c in open_:
+            # Measured from the mean's image, sums of squares lose no digits.
+            y, slope, bend = [v - w for v, w in zip(_power_series(F.col(c), power[c]), _power_series(F.lit(first[c]["mean"]), power[c]))]
+            parts = {"y": y, "s": slope, "b": bend, "yy": y * y, "ys": y * slope, "ss": slope * slope, "yb": y * bend}
+            sums.append(F.struct(*[F.avg(v).alias(k) for k, v in parts.items()]).alias(c))
+        row = doubles.agg(*sums).first()
+        following = []
+        for c in open_:
+            m, n, low, high = row[c], first[c]["n"], *bracket[c]
+            spread = m["yy"] - m["y"] ** 2
+            first_by, second_by = 2 * (m["ys"] - m["y"] * m["s"]), 2 * (m["ss"] - m["s"] ** 2 + m["yb"] - m["y"] * m["b"])
+            if not 0 < spread < math.inf:
+                continue
+            rise = first[c]["gain"] / n - first_by / spread / 2
+            curve = (first_by / spread) ** 2 / 2 - second_by / spread / 2
+            low, high = (power[c], high) if rise > 0 else (low, power[c])
+            bracket[c] = [low, high]
+            moved = power[c] - rise / curve if curve < 0 else math.inf if rise > 0 else -math.inf
+            # At most one beyond the ends known so far, and inside the bracket.
+            moved = min(max(moved, power[c] - 1), power[c] + 1)
+            if not low < moved < high:
+                moved = (low + high) / 2
+            if abs(moved - power[c]) > 1e-10:
+                following.append(c)
+            power[c] = moved
+        open_ = following
+    return power
 
 
 class SkewNormalizerModel(_Stage, Model):

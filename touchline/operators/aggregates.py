@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.columns import columns_of, safe_ratio
+from touchline.operators.quantiles import quantiles
 from touchline.operators.ranking import capped_top_k
 from touchline.operators.sets import common_rows
-from touchline.operators.windows import Trailing, trailing
 
 # Squad size and most players per position, weights of the combined error.
 SQUAD = 10
@@ -73,44 +73,6 @@ def column_skewness(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return one.unpivot([], columns, "column", "skewness")
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation: (column, share, quantile).
-
-    Equal values are counted together before any exchange; running counts over the
-    sorted distinct values then tell which value holds each wanted place. No task
-    holds the values of a whole column.
-    """
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    long = doubles.unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull())
-    counted = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
-    running = trailing(
-        counted,
-        [Trailing("rows", "through", None, True)],
-        ["column"],
-        ["value"],
-        any_size=True,
-    ).withColumn("before", F.col("through") - F.col("rows"))
-    totals = long.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-    wanted = totals.select(
-        "column", "n", F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share")
-    ).withColumn("place", (F.col("n") - 1) * F.col("share"))
-    # One row per column and share.
-    wanted = F.broadcast(
-        wanted.withColumn("low", F.floor("place")).withColumn("high", F.ceil("place")).drop("n")
-    )
-    holds_low = (F.col("before") <= F.col("low")) & (F.col("low") < F.col("through"))
-    holds_high = (F.col("before") <= F.col("high")) & (F.col("high") < F.col("through"))
-    found = running.join(wanted, "column").where(holds_low | holds_high)
-    ends = found.groupBy("column", "share", "place", "low").agg(
-        F.max(F.when(holds_low, F.col("value"))).alias("at_low"),
-        F.max(F.when(holds_high, F.col("value"))).alias("at_high"),
-    )
-    weight = F.col("place") - F.col("low")
-    return ends.select(
-        "column", "share", (F.col("at_low") + (F.col("at_high") - F.col("at_low")) * weight).alias("quantile")
-    )
-
-
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std (sample), min, quartiles and max per number column."""
     columns = columns_of(df, "number") if columns is None else list(columns)

@@ -125,11 +125,34 @@ def skew_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(chosen.items()), "column string, choice string")
 
 
-@query()
+POWER_COLUMNS = ["l_quantity", "l_discount", "l_tax", "p_retailprice"]
+# Columns are moved so that some have values on both sides of zero.
+POWER_SCALE = {"l_quantity": 0.1, "l_discount": 20.0, "l_tax": 30.0, "p_retailprice": 0.002}
+POWER_SHIFT = {"l_quantity": 0.0, "l_discount": 0.7, "l_tax": 1.5, "p_retailprice": 2.5}
+
+
+def _powers_sql() -> str:
+    """The best of a grid of powers, and of ever finer ones around it."""
+    value = "CASE WHEN x < 0 THEN CASE WHEN abs(2 - p) < 1e-9 THEN -ln(1 - x) ELSE -(pow(1 - x, 2 - p) - 1) / (2 - p) END WHEN abs(p) < 1e-9 THEN ln(1 + x) ELSE (pow(1 + x, p) - 1) / p END"
+    sources = {c: "part" if c.startswith("p_") else "lineitem" for c in POWER_COLUMNS}
+    data = " UNION ALL ".join(f"SELECT '{c}' AS c, {POWER_SCALE[c]} * {c} - {POWER_SHIFT[c]} AS x, COUNT(*) AS n FROM {t} GROUP BY 2" for c, t in sources.items())
+    steps = [f"data AS MATERIALIZED ({data})", "best0 AS (SELECT DISTINCT c, CAST(0 AS DOUBLE) AS p FROM data)"]
+    for i, step in enumerate((0.2, 0.01, 0.0005, 0.000025)):
+        steps.append(f"grid{i} AS (SELECT c, p + k * {step} AS p FROM best{i}, (SELECT UNNEST(RANGE(-30, 31)) AS k))")
+        steps.append(
+            f"best{i + 1} AS MATERIALIZED (SELECT c, arg_max(p, likelihood) AS p FROM (SELECT c, p, -SUM(n) / 2 * ln(SUM(n * y * y) / SUM(n) - pow(SUM(n * y) / SUM(n), 2)) "
+            f"+ (p - 1) * SUM(n * sign(x) * ln(1 + abs(x))) AS likelihood FROM (SELECT *, {value} AS y FROM data JOIN grid{i} USING (c)) GROUP BY c, p) GROUP BY c)"
+        )
+    return f"WITH {', '.join(steps)} SELECT c AS \"column\", ROUND(p, 3) AS power FROM best4"
+
+
+@query(_powers_sql())
 def yeo_johnson_powers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
-    powers = fit_powers(lines, LINE_COLUMNS)
-    return spark.createDataFrame([(c, round(p, 4)) for c, p in powers.items()], "column string, power double")
+    moved = {c: (F.col(c) * POWER_SCALE[c] - POWER_SHIFT[c]).alias(c) for c in POWER_COLUMNS}
+    lines = table(spark, sf_dir, "lineitem").select(*[v for c, v in moved.items() if c.startswith("l_")])
+    parts = table(spark, sf_dir, "part").select(moved["p_retailprice"])
+    powers = fit_powers(lines, lines.columns) | fit_powers(parts, parts.columns)
+    return spark.createDataFrame([(c, round(p, 3)) for c, p in powers.items()], "column string, power double")
 
 
 LABELS_SQL = "SELECT d.doc_id, quality, toxic, lang, source FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"

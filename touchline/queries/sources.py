@@ -242,24 +242,44 @@ def entity_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return week_history(histories, people, fixtures, teams).withColumn("name", F.ltrim("name"))
 
 
-@query(
-    """
-    WITH first_load AS (SELECT ROW_NUMBER() OVER (ORDER BY s_suppkey, s_nationkey) AS prediction_id, * FROM supplier WHERE s_acctbal < 3000),
-    second_load AS (SELECT (SELECT COUNT(*) FROM first_load) + ROW_NUMBER() OVER (ORDER BY s_suppkey, s_nationkey) AS prediction_id, * FROM supplier WHERE s_acctbal >= 3000)
-    SELECT prediction_id, s_nationkey AS player_id, s_suppkey AS fixture_id, s_acctbal AS predicted_goals, s_acctbal / 2 AS predicted_assists
-    FROM (SELECT * FROM first_load UNION ALL SELECT * FROM second_load)
-    """
-)
-def append_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "predictions")
+LOADS_SQL = """
+    WITH loads AS (SELECT *, CASE WHEN s_acctbal < 3000 THEN 0 WHEN s_acctbal < 6000 THEN 1 ELSE 2 END AS load FROM supplier)
+    SELECT load * 4294967296 + ROW_NUMBER() OVER (PARTITION BY load ORDER BY s_suppkey, s_nationkey) AS prediction_id, load,
+           s_nationkey AS player_id, s_suppkey AS fixture_id, s_acctbal AS predicted_goals, s_acctbal / 2 AS predicted_assists
+    FROM loads
+"""
+
+
+def _loads(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     rows = table(spark, sf_dir, "supplier").select(
         F.col("s_nationkey").alias("player_id"),
         F.col("s_suppkey").alias("fixture_id"),
         F.col("s_acctbal").alias("predicted_goals"),
         (F.col("s_acctbal") / 2).alias("predicted_assists"),
     )
-    append_predictions(rows.where("predicted_goals < 3000"), path)
-    return append_predictions(rows.where("predicted_goals >= 3000"), path).drop("prediction_timestamp")
+    goals = F.col("predicted_goals")
+    return [rows.where(goals < 3000), rows.where((goals >= 3000) & (goals < 6000)), rows.where(goals >= 6000)]
+
+
+@query(LOADS_SQL)
+def append_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "predictions")
+    for number, load in enumerate(_loads(spark, sf_dir)):
+        grown = append_predictions(load, path, number)
+    return grown.drop("prediction_timestamp")
+
+
+@query(LOADS_SQL)
+def repeated_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads that arrive out of order, one of them first with wrong rows, and two of them twice."""
+    path = scratch_path(spark, "predictions")
+    first, second, third = _loads(spark, sf_dir)
+    append_predictions(third, path, 2)
+    append_predictions(first.unionByName(third), path, 0)
+    append_predictions(second, path, 1)
+    for number, load in ((0, first), (1, second)):
+        grown = append_predictions(load, path, number)
+    return grown.drop("prediction_timestamp")
 
 
 @query("SELECT 'Customer ' || c_custkey AS full_name_full FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
@@ -311,6 +331,19 @@ def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+@query("SELECT s_nationkey AS nation, CAST(SUM(CAST(s_acctbal AS DECIMAL(18, 2))) AS DOUBLE) AS price FROM supplier GROUP BY 1")
+def self_replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced by rows computed from itself."""
+    name = f"touchline_{uuid.uuid4().hex}"
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_nationkey").alias("nation"), F.col("s_acctbal").cast("decimal(18,2)").alias("price")
+    )
+    replace_table(suppliers, name)
+    totals = spark.table(name).groupBy("nation").agg(F.sum("price").alias("price"))
+    replace_table(totals, name, T.StructType.fromDDL("nation long, price double"))
+    return spark.table(name)
+
+
 @query("SELECT n_nationkey, n_name FROM nation")
 def published_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.session import written
 from touchline.sources.schemas import RAW_FILES, schema_of
 
 
@@ -39,9 +40,17 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def replace_table(df: DataFrame, name: str, schema: T.StructType | None = None, partition_by: Sequence[str] = ()) -> None:
-    """Create or replace a table of fixed types."""
+    """Create or replace a table of fixed types; ``df`` may read the table itself.
+
+    The new rows are written beside the table first and only then put in its
+    place, so a step that fails on the way leaves the table as it was.
+    """
+    spark = df.sparkSession
     out = df if schema is None else typed(df, schema)
+    if spark.catalog.tableExists(name):
+        out = written(out, "replacement")
     out.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
+    spark.catalog.refreshTable(name)
 
 
 def publish(df: DataFrame, name: str, table: bool) -> DataFrame:
