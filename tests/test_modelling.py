@@ -5,15 +5,16 @@ import json
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from touchline.modelling import prepare as p
 from touchline.modelling.families import Facts, Family, base_families, ensemble_families, label_facts
 from touchline.modelling.lifecycle import cross_validated, drift_check, predict, retrain, score_to_table, select_features
-from touchline.modelling.outliers import drop_outliers, fit_isolation_forest
+from touchline.modelling.outliers import _grow, _path_correction, drop_outliers, fit_isolation_forest
 from touchline.modelling.search import Result, best_per_family, leaderboard, n_best, search
-from touchline.modelling.trees import TreesRegressor
+from touchline.modelling.trees import TreesRegressor, uniform
 from touchline.modelling.validation import expanding_folds, fold, holdout_last
 from touchline.session import scratch_path
 
@@ -113,6 +114,32 @@ def test_the_forest_does_not_depend_on_partitions(spark):
     assert fit_isolation_forest(few, trees=4).sample == 20
 
 
+def test_a_whole_score_table_agrees_with_plain_numpy(spark):
+    """Samples, trees and scores of all rows, computed anew from the draws alone."""
+    rng = np.random.default_rng(9)
+    rows = [(i, Vectors.dense(rng.normal(size=3).round(2))) for i in range(900)]
+    df = spark.createDataFrame(rows, ["id", "features"]).repartition(6)
+    forest = fit_isolation_forest(df, trees=7)
+    scored = df.select("id", "features", F.xxhash64("id", vector_to_array("features")).alias("key"), forest.score(F.col("features")).alias("s")).collect()
+    x = np.array([r.features.toArray() for r in scored])
+    keys = np.array([r.key for r in scored])
+    depth = np.zeros(len(x))
+    for t in range(7):
+        draw = uniform(keys, 42, t)
+        sample = x[np.lexsort((keys, draw))[:256]]
+        nodes = {n[0]: n[1:] for n in _grow(sample, np.random.default_rng([42, t]), 8)}
+        for i, row in enumerate(x):
+            node = 0
+            while nodes[node][0] >= 0:
+                feature, threshold, left, right, _ = nodes[node]
+                node = left if row[feature] <= threshold else right
+            depth[i] += nodes[node][4]
+    expected = 2.0 ** (-depth / 7 / _path_correction(256))
+    assert [r.s for r in scored] == pytest.approx(expected.tolist())
+    plan = df.where(forest.score(F.col("features")) <= 0.5)._jdf.queryExecution().toString()
+    assert "Generate" not in plan
+
+
 def test_bagging_boosting_and_forests_are_fitted(spark, matrix):
     prepared = p.preprocessor(matrix, labels=["label_goals", "label_assists"]).fit(matrix).transform(matrix)
     for family in ensemble_families(1):

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.modelling.trees import uniform
 from touchline.operators.ranking import first_rows
 
 # Trees, rows per tree, score above which a row is an outlier.
@@ -17,6 +20,7 @@ TREES = 100
 SAMPLE = 256
 OUTLIER_SCORE = 0.5
 
+SAMPLED = "tree int, _draw double, _key long, row array<double>"
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, length double"
 
 
@@ -87,22 +91,50 @@ class IsolationForest:
         return scores(vector_to_array(features))
 
 
+def _sampled(batches: Iterator[pa.RecordBatch], trees: int, seed: int, sample: int) -> Iterator[pa.RecordBatch]:
+    """The rows of this task with the smallest draws of every tree, at most ``sample`` a tree."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray] | None] = [None] * trees
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)
+        keys = batch.column(1).to_numpy()
+        for t in range(trees):
+            draw = uniform(keys, seed, t)
+            if held[t] is not None and len(held[t][0]) >= sample:
+                own = np.flatnonzero(draw <= held[t][0][-1])
+            else:
+                own = np.arange(len(draw))
+            if not len(own):
+                continue
+            parts = (draw[own], keys[own], rows[own])
+            if held[t] is not None:
+                parts = tuple(np.concatenate(p) for p in zip(held[t], parts))
+            order = np.lexsort((parts[1], parts[0]))[:sample]
+            held[t] = tuple(p[order] for p in parts)
+    for t, own in enumerate(held):
+        if own is not None:
+            columns = [
+                pa.array(np.full(len(own[0]), t, np.int32)), pa.array(own[0]), pa.array(own[1]),
+                pa.FixedSizeListArray.from_arrays(pa.array(own[2].ravel()), own[2].shape[1]).cast(pa.list_(pa.float64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["tree", "_draw", "_key", "row"])
+
+
 def fit_isolation_forest(df: DataFrame, features: str = "features", trees: int = TREES, seed: int = 42) -> IsolationForest:
     """Grow ``trees`` trees, each from its own sample of min(256, rows) rows.
 
     A hash of a whole row, the tree and the seed orders all rows, so the samples are the same on
-    any cluster; rows equal in all columns come together. Only draws below twice a tree's share are
-    shuffled: 512 rows of a tree on average, and with fewer than 256 once in e ** 78 trees. The nodes,
-    at most 511 per tree, come back.
+    any cluster; rows equal in all columns come together. In one pass every task keeps the rows with
+    the smallest draws of each tree, so no row is copied for a tree, and at most 256 of a task and
+    tree are shuffled. The nodes, at most 511 per tree, come back.
     """
     whole = F.xxhash64(*[vector_to_array(c) if c == features else F.col(c) for c in df.columns])
     rows = df.select(vector_to_array(features).alias("row"), whole.alias("_key"))
     n = rows.count()
     sample = min(SAMPLE, n)
-    tree = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
-    draw = F.shiftrightunsigned(F.xxhash64("_key", "tree", F.lit(seed)), 11) / F.lit(float(1 << 53))
-    draws = rows.withColumn("tree", tree).withColumn("_draw", draw).where(F.col("_draw") < 2.0 * SAMPLE / max(n, 1))
-    picked = first_rows(draws, ["tree"], [F.asc("_draw"), F.asc("_key")], sample).select("tree", "row", "_draw", "_key")
+    least = rows.mapInArrow(lambda b: _sampled(b, trees, seed, sample), SAMPLED)
+    picked = first_rows(least, ["tree"], [F.asc("_draw"), F.asc("_key")], sample).select("tree", "row", "_draw", "_key")
     depth_limit = int(np.ceil(np.log2(max(sample, 2))))
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
