@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SUMS = "block int, sums array<double>"
@@ -198,3 +198,34 @@ def fold_errors(
         squares, sizes = np.split(sums[1:] / sums[0], 2)
         found[block] = (np.sqrt(squares).reshape(-1, len(labels)), sizes.reshape(-1, len(labels)))
     return found
+
+
+def hash_fold(key: str, folds: int) -> Column:
+    """A fold from 0 for every key, by its hash, whatever rows there are."""
+    digits = F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8)
+    return (F.conv(digits, 16, 10).cast("long") % F.lit(folds)).cast("int")
+
+
+def fold_scores(
+    df: DataFrame, labels: Sequence[str], key: str, folds: int = 5, absolute: float = 0.0, quadratic: float = 0.0, features: str = "features"
+) -> DataFrame:
+    """(fold, label, rows, r2, rmse, mae) of linear models, each trained on all folds but the one it is tested on.
+
+    The sums of the training rows are those of all rows less the fold's own, so the
+    rows are read three times, however many folds there are.
+    """
+    dealt = df.withColumn("block", hash_fold(key, folds))
+    moments = block_moments(dealt, labels, features)
+    found = []
+    if len(moments) > 1:
+        models = {}
+        for block in moments:
+            others = [m for b, m in moments.items() if b != block]
+            models[block] = [solve(sum(others[1:], others[0]), absolute, quadratic)]
+        width = len(labels)
+        for block, (rmse, mae) in sorted(fold_errors(dealt, models, labels, features).items()):
+            spread = np.diag(moments[block].covariances)[-width:]
+            for i, label in enumerate(labels):
+                r2 = float(1 - rmse[0][i] ** 2 / spread[i]) if spread[i] > 0 else None
+                found.append((block, label, moments[block].rows, r2, float(rmse[0][i]), float(mae[0][i])))
+    return df.sparkSession.createDataFrame(found, "fold int, label string, rows long, r2 double, rmse double, mae double")

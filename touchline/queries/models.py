@@ -7,20 +7,12 @@ from functools import reduce
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.modelling.families import Facts, base_families, ensemble_families, label_facts
-from touchline.modelling.gram import block_moments, expanding
-from touchline.modelling.lifecycle import (
-    cross_validated,
-    drift_check,
-    random_split,
-    retrain,
-    score_to_table,
-    select_features,
-)
+from touchline.modelling.gram import block_moments, expanding, fold_scores
+from touchline.modelling.lifecycle import drift_check, retrain, score_to_table, select_features
 from touchline.modelling.outliers import drop_outliers
 from touchline.modelling.prepare import (
     MedianFill,
@@ -524,6 +516,26 @@ def normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(found, "fold long, i int, j int, n long, covariance double")
 
 
+@query(
+    """
+    WITH data AS (SELECT (l_quantity - 25) / 10 AS x, l_quantity * l_extendedprice / 1000000 AS y FROM lineitem),
+    sums AS (
+        SELECT COVAR_POP(x, x) AS a, COVAR_POP(x, x * x) AS b, COVAR_POP(x * x, x * x) AS d, COVAR_POP(x, y) AS u, COVAR_POP(x * x, y) AS v,
+               AVG(x) AS mx, AVG(x * x) AS mxx, AVG(y) AS my FROM data
+    ), w AS (SELECT *, (u * d - v * b) / (a * d - b * b) AS w1, (v * a - u * b) / (a * d - b * b) AS w2 FROM sums)
+    SELECT x, ROUND(my + w1 * (x - mx) + w2 * (x * x - mxx), 5) AS predicted FROM w, (SELECT DISTINCT x FROM data)
+    """
+)
+def squared_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A family of degree two, almost without a penalty: least squares on a feature and its square."""
+    x, y = ((F.col("l_quantity") - 25) / 10).alias("x"), (F.col("l_quantity") * F.col("l_extendedprice") / 1_000_000).alias("y")
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(table(spark, sf_dir, "lineitem").select(x, y))
+    ridge = next(f for f in base_families(0) if f.name == "Ridge")
+    outputs = {"y": "predicted"}
+    model = ridge.pipeline({"degree": 2, "alpha": 1e-9}, label_facts(rows, outputs), outputs).fit(rows)
+    return model.transform(rows.dropDuplicates(["x"])).select("x", F.round("predicted", 5).alias("predicted"))
+
+
 @query()
 def model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The linear families with the full budget: all their draws over five expanding folds."""
@@ -617,15 +629,39 @@ def saved_model_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*[F.round(c, 6).alias(c) if c not in ("threshold", "retrain") else c for c in found.columns])
 
 
-@query()
+VALIDATED = ("y0", "y1")
+
+
+@query(
+    """
+    WITH data AS (
+        SELECT CAST(('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) % 4 AS fold, l_quantity AS x,
+               l_extendedprice / 1000 AS y0, l_quantity * l_discount + l_tax AS y1 FROM lineitem
+    ), folds AS (SELECT UNNEST(RANGE(4)) AS f),
+    fits AS (
+        SELECT f, REGR_SLOPE(y0, x) AS w0, REGR_INTERCEPT(y0, x) AS b0, REGR_SLOPE(y1, x) AS w1, REGR_INTERCEPT(y1, x) AS b1
+        FROM folds JOIN data ON fold <> f GROUP BY f
+    )
+    """
+    + " UNION ALL ".join(
+        f"""
+        SELECT CAST(f AS INTEGER) AS fold, '{y}' AS label, COUNT(*) AS rows, ROUND(1 - AVG(POWER({y} - b{i} - w{i} * x, 2)) / VAR_POP({y}), 6) AS r2,
+               ROUND(SQRT(AVG(POWER({y} - b{i} - w{i} * x, 2))), 6) AS rmse, ROUND(AVG(ABS({y} - b{i} - w{i} * x)), 6) AS mae
+        FROM fits JOIN data ON fold = f GROUP BY f"""
+        for i, y in enumerate(VALIDATED)
+    )
+)
 def plain_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matrix = feature_matrix(spark, sf_dir)
-    prepared = preprocessor(matrix, labels=list(LABELS)).fit(matrix).transform(matrix)
-    train, test = random_split(prepared.select("features", "label_goals"))
-    tree = DecisionTreeRegressor(labelCol="label_goals", maxDepth=3, seed=1)
-    validated = cross_validated(tree, train, "label_goals", folds=3)
-    error = validated.bestModel.transform(test).agg(F.avg(F.abs(F.col("label_goals") - F.col("prediction"))).alias("mae"))
-    return error.withColumn("mean_r2", F.lit(float(validated.avgMetrics[0])))
+    """Scores of least squares over folds by a hash of the key."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_quantity",
+        (F.col("l_extendedprice") / 1000).alias("y0"),
+        (F.col("l_quantity") * F.col("l_discount") + F.col("l_tax")).alias("y1"),
+    )
+    rows = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(lines)
+    scores = fold_scores(rows, VALIDATED, "l_orderkey", 4)
+    return scores.select("fold", "label", "rows", *[F.round(c, 6).alias(c) for c in ("r2", "rmse", "mae")])
 
 
 @query(
