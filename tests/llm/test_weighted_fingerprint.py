@@ -6,9 +6,10 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 from edge_rows import docs, no_docs
 
-from touchline.llm.weighted_fingerprint import edited, fingerprint_pairs, likeness, signatures, written_out
+from touchline.llm.weighted_fingerprint import edited, fingerprint_pairs, likeness, neighbours, signatures, written_out
 
 
 def jaccard(a, b):
@@ -85,3 +86,18 @@ def test_a_single_row_is_its_own_neighbour(spark):
     row = fingerprint_pairs(spark.createDataFrame([(5, "abcdef gh")], "doc_id long, text string")).collect()
     assert len(row) == 1 and row[0].near_next == 1.0
     assert row[0].edited_sha256 == hashlib.sha256(b"abcdeabcd").hexdigest()
+
+
+def test_rows_of_one_id_are_dealt_by_their_texts(spark):
+    rng = random.Random(6)
+    word = lambda: rng.choice(["ab", "cd", "ef", "gh"]) * rng.randint(1, 3)
+    rows = [(i, f"{n} " + " ".join(word() for _ in range(6))) for n, i in enumerate([None] * 60 + [7] * 60 + list(range(-20, 40)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    ordered = frame.orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect()
+    following = [r.text for r in ordered[1:] + ordered[:1]]
+    wanted = sorted((r.doc_id is None, r.doc_id or 0, hashlib.sha256(edited(r.text, f).encode()).hexdigest()) for r, f in zip(ordered, following))
+    found = sorted((r.doc_id is None, r.doc_id or 0, r.edited_sha256) for r in fingerprint_pairs(frame).collect())
+    assert found == wanted
+    dealt = neighbours(frame, "doc_id", "text").where("not copied").groupBy("doc_id").agg(F.countDistinct("bucket").alias("n"))
+    buckets = {r.doc_id: r.n for r in dealt.collect()}
+    assert buckets[None] >= 3 and buckets[7] >= 3 and buckets[8] == 1

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from touchline.llm.arrow_text import text_bytes, word_bounds
 from touchline.llm.registry import query, table
 from touchline.llm.word_hash import BASE, mixed, word_hashes
+from touchline.session import written
 
 SAMPLES = 64
 CODE_BYTES = 2
@@ -150,19 +151,35 @@ def neighbours(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     inner = [float("-inf"), *(bounds or [0.0]), float("inf")]
     rows = rows.withColumn("_number", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))
     rows = Bucketizer(splits=inner, inputCol="_number", outputCol="bucket").transform(rows).drop("_number")
-    rows = rows.withColumn("bucket", F.col("bucket").cast("int"))
-    # One row per range.
-    number = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    heads = rows.groupBy("bucket").agg(F.min(number).alias("head"))
-    order = Window.orderBy("bucket")
-    heads = heads.select(
-        "bucket", "head", F.coalesce(F.lag("bucket").over(order), F.max("bucket").over(Window.partitionBy())).alias("before")
+    # Ids are ordered with NULL first, equal ids by their texts' hashes.
+    number = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("number")
+    rows = rows.withColumns({"bucket": F.col("bucket").cast("int"), "number": number, "hash": F.xxhash64("text")})
+    # One row per range. The first id of a range may be very frequent: its rows are dealt by their hashes.
+    lows = F.broadcast(written(rows.groupBy("bucket").agg(F.min("number").alias("low")), "lows"))
+    counted = rows.select("bucket", "number").join(lows, "bucket").groupBy("bucket").agg(
+        F.min("low").alias("low"), F.count_if(F.col("number") == F.col("low")).alias("repeats"), F.count(F.lit(1)).alias("n")
     )
-    joined = rows.join(F.broadcast(heads), "bucket")
-    own = F.struct(F.col("bucket"), F.lit(False).alias("copied"))
-    copy = F.struct(F.col("before").alias("bucket"), F.lit(True).alias("copied"))
-    places = F.when(number == F.col("head"), F.array(own, copy)).otherwise(F.array(own))
-    dealt = joined.withColumn("_at", F.explode(places)).select("doc_id", "text", "_at.bucket", "_at.copied")
+    counted = written(counted, "counted")
+    fair = (counted.agg(F.sum("n")).first()[0] or 0) // (tasks * RANGES) + 1
+    parts = F.ceil(F.col("repeats") / F.lit(fair)).cast("int").alias("parts")
+    rows = rows.join(F.broadcast(counted.select("bucket", "low", parts)), "bucket")
+    share = F.shiftrightunsigned("hash", 1) / F.lit(float(1 << 63))
+    # Signed hashes in ascending order: the negative half comes first.
+    ordered = F.when(share < 0.5, share + 0.5).otherwise(share - 0.5)
+    part = F.when(F.col("number") == F.col("low"), F.floor(ordered * F.col("parts")).cast("int")).otherwise(F.col("parts"))
+    rows = rows.withColumn("part", part).drop("low", "parts")
+    heads = rows.groupBy("bucket", "part").agg(F.min(F.struct("number", "hash")).alias("head"))
+    heads = written(heads, "heads")
+    # At most two rows per range and one more per fair share of all rows.
+    order = Window.orderBy("bucket", "part")
+    last = F.max(F.struct("bucket", "part")).over(Window.partitionBy())
+    before = F.coalesce(F.lag(F.struct("bucket", "part")).over(order), last)
+    joined = rows.join(F.broadcast(heads.select("bucket", "part", "head", before.alias("before"))), ["bucket", "part"])
+    own = F.struct(F.col("bucket"), F.col("part"), F.lit(False).alias("copied"))
+    copy = F.struct(F.col("before.bucket").alias("bucket"), F.col("before.part").alias("part"), F.lit(True).alias("copied"))
+    places = F.when(F.struct("number", "hash") == F.col("head"), F.array(own, copy)).otherwise(F.array(own))
+    dealt = joined.withColumn("_at", F.explode(places))
+    dealt = dealt.select("doc_id", "text", (F.col("_at.bucket") * F.lit(1 << 32) + F.col("_at.part")).alias("bucket"), "_at.copied")
     return dealt.repartition(tasks, "bucket").sortWithinPartitions(
         "bucket", "copied", F.col("doc_id").asc_nulls_first(), F.xxhash64("text")
     )
