@@ -22,8 +22,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.llm.hot_keys import join_counted
 from touchline.llm.registry import query, table
 from touchline.operators.skew import bounded_broadcast
+from touchline.session import written
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BITS_PER_KEY = 16
@@ -110,7 +112,7 @@ def filter_urls(
         F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
     )
     fitting = F.filter(F.array(*[F.lit(n) for n in lengths] or [F.lit(-1)]), lambda n: (n >= 0) & (n <= F.length("path")))
-    urls = pages.where("host <> ''").select("host", "path").distinct()
+    urls = written(pages.where("host <> ''").groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages")), "urls")
     keys = (
         urls.withColumn("suffix", F.explode(suffixes))
         .withColumn("length", F.explode(fitting))
@@ -123,9 +125,11 @@ def filter_urls(
         .agg(F.max(F.struct(F.length("rule").alias("length"), "rule", "verdict")).alias("best"))
         .select("host", "path", "best.rule", "best.verdict")
     )
-    return pages.join(decided, ["host", "path"], "left").select(
-        "page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")
-    )
+    # Every URL once, with its number of pages: very common ones are joined by broadcast, pages without a host by nothing.
+    verdicts = written(urls.join(decided, ["host", "path"], "left"), "verdicts")
+    found = join_counted(pages.where("host <> ''"), verdicts, ["host", "path"], "pages")
+    found = found.unionByName(pages.where("host = ''"), allowMissingColumns=True)
+    return found.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str]] = RULES) -> DataFrame:
