@@ -102,30 +102,40 @@ def _weight(count: Column) -> Column:
 def dense_stretch(run: Column, window: int, threshold: float) -> Column:
     """Struct (first, last): where windows of ``run`` at or above the threshold begin first and end last.
 
-    One pass; a step counts two characters in the window and changes S by four terms.
+    One pass: the counts of the run's different characters are kept in the state,
+    and a step changes two of them and, by four terms, the sum S of n * log2(n).
     """
     letters = F.slice(F.split(run, ""), 1, F.length(run))
+    # Characters by their places among the different ones of the run, from 0.
+    different = F.array_distinct(letters)
+    codes = F.transform(letters, lambda c: F.array_position(different, c).cast("int") - 1)
     size = F.lit(window)
 
     def step(state: Column, i: Column) -> Column:
         # i counts from 0; the window before the step ends at i.
-        held = F.slice(letters, F.greatest(i - size + 1, F.lit(1)), F.least(i, size))
-        enters = F.get(letters, i)
-        full = i >= size
-        leaves = F.get(held, F.lit(0))
-        leaving = F.size(F.filter(held, lambda c: c == leaves)).cast("double")
-        lost = F.when(full, _weight(leaving - 1) - _weight(leaving)).otherwise(0.0)
-        entering = F.size(F.filter(held, lambda c: c == enters)).cast("double")
-        entering = entering - F.when(full & (leaves == enters), 1.0).otherwise(0.0)
-        total = state["total"] + lost + _weight(entering + 1) - _weight(entering)
+        enters = F.get(codes, i)
+        leaves = F.when(i >= size, F.get(codes, i - size)).otherwise(-1)
+        same = leaves == enters
+        entering = F.get(state["counts"], enters).cast("double")
+        leaving = F.get(state["counts"], leaves).cast("double")
+        lost = F.when(leaves >= 0, _weight(leaving - 1) - _weight(leaving)).otherwise(0.0)
+        won = _weight(entering + 1) - _weight(entering)
+        total = state["total"] + F.when(same, 0.0).otherwise(lost + won)
+        counts = F.transform(state["counts"], lambda n, j: n + (j == enters).cast("int") - (j == leaves).cast("int"))
         dense = (i >= size - 1) & (F.lit(math.log2(window)) - total / size >= F.lit(threshold - 1e-9))
         return F.struct(
             total.alias("total"),
+            counts.alias("counts"),
             F.when(dense & (state["first"] < 0), i - size + 1).otherwise(state["first"]).alias("first"),
             F.when(dense, i + 1).otherwise(state["last"]).alias("last"),
         )
 
-    none = F.struct(F.lit(0.0).alias("total"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
+    none = F.struct(
+        F.lit(0.0).alias("total"),
+        F.transform(different, lambda c: F.lit(0)).alias("counts"),
+        F.lit(-1).alias("first"),
+        F.lit(-1).alias("last"),
+    )
     return F.aggregate(F.sequence(F.lit(0), F.length(run) - 1), none, step)
 
 
