@@ -308,6 +308,36 @@ def identity_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match_people(people, ids, previous, threshold=80).final
 
 
+@query(
+    f"""
+    {CASCADE_SQL},
+    open AS (SELECT DISTINCT first_name, second_name, lower(strip_accents(split_part(second_name, ' ', -1))) AS last, lower(strip_accents(first_name)) AS first
+             FROM merged LEFT JOIN best USING (abbr) WHERE id_fbref IS NULL AND best.name IS NULL),
+    taken AS (SELECT best.name FROM merged JOIN best USING (abbr) WHERE id_fbref IS NULL),
+    free AS (SELECT DISTINCT name AS candidate FROM ids WHERE name NOT IN (SELECT name FROM taken)),
+    scored AS (
+        SELECT first_name, second_name, candidate, {SCORE_SQL.format("lk", "rk")} AS score
+        FROM (SELECT *, {KEY_SQL.format("second_name")} AS lk, {KEY_SQL.format("candidate")} AS rk
+              FROM open JOIN free ON contains(lower(candidate), last) AND last <> ''))
+    SELECT 'last' AS queue, first_name || '|' || second_name AS person, candidate, score,
+           CAST(ROW_NUMBER() OVER (PARTITION BY first_name, second_name ORDER BY score DESC, candidate) AS INTEGER) AS choice
+    FROM scored QUALIFY choice <= 5
+    UNION ALL
+    SELECT 'first', first, candidate, NULL, NULL
+    FROM (SELECT DISTINCT first FROM open WHERE first <> '') JOIN free ON contains(lower(candidate), first)
+    """
+)
+def cascade_queues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both review queues of the cascade: ranked by last name, and plain by first name."""
+    people, ids, previous = _cascade_inputs(spark, sf_dir)
+    found = match_people(people, ids, previous, threshold=80)
+    last = found.by_last_name.select(
+        F.lit("last").alias("queue"), F.concat_ws("|", "first_name", "second_name").alias("person"), "candidate", "score", "choice"
+    )
+    first = found.by_first_name.select(F.lit("first").alias("queue"), F.col("token").alias("person"), "candidate")
+    return last.unionByName(first, allowMissingColumns=True)
+
+
 @query(
     f"""
     {CASCADE_SQL},

@@ -27,7 +27,7 @@ from touchline.sources.files import (
 )
 from touchline.sources.schemas import CLEAN_PLAYER_COLUMNS
 from touchline.sources.pages import competition_rows, page_links, page_tables
-from touchline.sources.payload import current_period, flatten, json_field
+from touchline.sources.payload import current_period, flatten, json_field, read_payload
 from touchline.sources.predictions import append_predictions
 
 
@@ -147,6 +147,26 @@ PAYLOAD_SCHEMA = (
 )
 
 
+@query(
+    """
+    SELECT c_custkey // 500 AS source, CAST(c_custkey // 500 % 3 AS INTEGER) AS current, c_custkey AS id, c_acctbal AS price,
+           CAST(c_custkey % 7 AS INTEGER) AS place
+    FROM customer
+    """
+)
+def payload_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A payload file per 500 customers, all of them in one nested array, read back from the files."""
+    folder = scratch_path(spark, "payloads")
+    element = F.struct(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("price"), (F.col("c_custkey") % 7).cast("int").alias("place"))
+    events = F.array(*[F.struct(F.lit(i).alias("id"), (F.col("source") % 3 == i).alias("is_current")) for i in (1, 2)])
+    number = F.floor(F.col("c_custkey") / 500).alias("source")
+    lists = table(spark, sf_dir, "customer").groupBy(number).agg(F.collect_list(element).alias("elements"))
+    text = F.to_json(F.struct("source", "elements", events.alias("events")), {"pretty": "true"})
+    lists.select("source", text.alias("value")).write.partitionBy("source").text(folder)
+    payload = read_payload(spark, f"{folder}/*/*", PAYLOAD_SCHEMA)
+    return flatten(payload.withColumn("current", current_period(F.col("events"))), "elements", ("source", "current"))
+
+
 @query(
     """
     SELECT source, current, id, price, place FROM (
