@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from touchline.functions.columns import columns_of
 from touchline.operators.aggregates import most_frequent, quantiles
-from touchline.session import written
 
 # Skewness beyond which a column is transformed; columns that are never features.
 SKEW_THRESHOLD = 1.0
