@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 import pytest
-from edge_rows import LONG, docs, no_docs, texts
+from edge_rows import LONG, docs, no_docs
 
 from touchline.llm import lexical_search as module
 from touchline.llm.lexical_search import EXACT, IMPACT_BOUND, search, slices
