@@ -49,7 +49,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     groups = near_duplicates(keyed, id_col=key).select(F.col("doc_id").alias(key), "component_id")
     placed = keyed.select(key, order.alias("_order")).join(groups, key)
     first = placed.groupBy("component_id").agg(F.min("_order").alias("_order")).select(F.col("_order.row").alias(key))
-    return keyed.join(written(first, "first"), key, "left_semi").select(docs.columns)
+    # Texts are dealt by key whatever the number of groups, so that the plan, and its disk, grow with the input alone.
+    return keyed.join(written(first, "first").hint("merge"), key, "left_semi").select(docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
