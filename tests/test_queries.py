@@ -7,7 +7,7 @@ from touchline.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 # Fits of whole models are covered in test_modelling.
-SLOW = {"outlier_filter", "model_search", "batch_score", "drift_check", "plain_validation"}
+SLOW = {"outlier_filter", "model_search", "batch_score", "drift_check"}
 # No row of the smallest tables reaches the next fixtures or keys.
 EMPTY = {"player_next_form", "player_next_form_literal", "next_matrix"}
 
@@ -21,7 +21,7 @@ def test_query_agrees_with_its_sql(spark, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert {n for n in QUERIES if n not in ORACLES} == SLOW | {"yeo_johnson_powers"}
+    assert {n for n in QUERIES if n not in ORACLES} == SLOW
 
 
 def plan_of(spark, name):
