@@ -6,12 +6,17 @@ also begins in a document with a smaller id.
 Reference blocks are cut by content: the anchor of a window is the smallest hash
 of its word 8-grams, so equal windows have equal anchors wherever they stand,
 and consecutive windows with one anchor form a block. All blocks are indexed by
-a hash of their words. A document is parsed from left to right: as long as its
-next block is indexed with a smaller id, the factor goes on. Where a factor
-ends, and wherever an anchor but not its whole block recurs, the windows
-themselves are compared. Long copies thus cost a row per block, and only first
-occurrences and the borders of factors cost a row per window; a passage in very
-many documents is settled by its blocks.
+a hash of their words, with the place where each stands first: the smallest id,
+then the first place in that document. Where an anchor but not its whole block
+recurs, the windows of the block, which lie at the borders of factors, are
+looked up one by one in the same way. A document is then parsed from left to
+right: a factor begins at a block or window known from a smaller id and goes on
+as long as the next one follows it both here and in the source, across the
+borders of blocks. A factor is thus one row however long the copy, with its
+source and the place there; it ends where the first place of what follows lies
+elsewhere, so a text first seen in several documents is parsed into as many
+factors. Windows are looked up by hash only at first occurrences and borders; a
+passage in very many documents is settled by its blocks.
 
 Hashes have 96 bits. Counting by hash adds up before the shuffle, and no list
 grows beyond what one document holds.
@@ -33,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm.arrow_text import pieces, text_bytes, word_bounds
+from touchline.llm.hot_keys import join_counted
 from touchline.llm.registry import query, table
 from touchline.llm.word_hash import between, running, word_hashes
 from touchline.session import written
@@ -42,6 +48,7 @@ GRAM = 8
 
 BLOCKS = "doc_id long, variant int, anchor long, block long, check int, `from` int, `to` int"
 WINDOWS = "doc_id long, variant int, seq long, check int, place int"
+FACTOR = "`from`: int, `to`: int, source_id: long, source_variant: int, source_from: int"
 
 
 def _slide(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -126,41 +133,87 @@ def _open_windows(batches: Iterator[pa.RecordBatch], window: int, gram: int) ->
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "variant", "seq", "check", "place"])
 
 
-def duplicate_starts(
-    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"
-) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, variant, text), and the factors (doc_id, variant, from, to) of their duplicate windows.
+def _first_places(rows: DataFrame, keys: list[str], place: str, name: str) -> DataFrame:
+    """Where every hash found in several documents stands first, and how many rows have it."""
+    first = F.min(F.struct("doc_id", "variant", place)).alias("first")
+    counted = rows.groupBy(*keys).agg(first, F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n"))
+    places = counted.where("first.doc_id < hi").select(
+        *keys,
+        F.col("first.doc_id").alias("source_id"),
+        F.col("first.variant").alias("source_variant"),
+        F.col(f"first.{place}").alias("source_from"),
+        "n",
+    )
+    return written(places, name)
 
-    From ``from`` to ``to`` every word begins a window that also begins in a
-    smaller document. ``variant`` hashes the text, for ids with several.
-    """
-    rows = docs.select(
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Factors of every document from its known blocks and windows, in one pass from left to right."""
+    for batch in batches:
+        known = batch.column(2)
+        row = np.repeat(np.arange(batch.num_rows), np.diff(known.offsets.to_numpy()))
+        unit = {f.name: v.to_numpy(zero_copy_only=False) for f, v in zip(known.type.value_type, known.flatten().flatten())}
+        order = np.lexsort((unit["from"], row))
+        row, unit = row[order], {name: v[order] for name, v in unit.items()}
+        goes_on = np.zeros(len(row), bool)
+        goes_on[1:] = (row[1:] == row[:-1]) & (unit["from"][1:] == unit["to"][:-1] + 1)
+        shift = unit["from"] - unit["source_from"]
+        for same in (unit["source_id"], unit["source_variant"], shift):
+            goes_on[1:] &= same[1:] == same[:-1]
+        begins = np.flatnonzero(~goes_on)
+        ends = np.r_[begins[1:], len(row)] - 1 if len(begins) else begins
+        unit = {name: v[begins] if name != "to" else v[ends] for name, v in unit.items()}
+        at = np.searchsorted(row[begins], np.arange(batch.num_rows + 1)).astype(np.int32)
+        fields = [pa.field("from", pa.int32()), pa.field("to", pa.int32()), pa.field("source_id", pa.int64())]
+        fields += [pa.field("source_variant", pa.int32()), pa.field("source_from", pa.int32())]
+        factors = pa.StructArray.from_arrays([pa.array(unit[f.name], f.type) for f in fields], fields=fields)
+        lists = pa.ListArray.from_arrays(pa.array(at), factors)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["doc_id", "variant", "factors"])
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.hash(text_col).alias("variant"),
         F.col(text_col).alias("text"),
     )
+
+
+def _parsed(rows: DataFrame, window: int, gram: int) -> DataFrame:
+    """(doc_id, variant, factors) of every text with a factor."""
     named = rows.where("doc_id is not null")
     blocks = written(named.mapInArrow(lambda b: _blocks(b, window, gram), BLOCKS), "blocks")
     recurring = (
         blocks.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
     )
     shared = written(blocks.join(recurring, "anchor", "left_semi").drop("anchor"), "shared-blocks")
-    index = shared.groupBy("block", "check").agg(F.min("doc_id").alias("earliest"), F.max("doc_id").alias("hi"))
-    index = index.where("earliest < hi").drop("hi")
-    settled = F.coalesce(F.col("earliest") < F.col("doc_id"), F.lit(False)).alias("settled")
-    parsed = shared.join(index, ["block", "check"], "left").select("doc_id", "variant", "from", "to", settled)
-    parsed = written(parsed, "parsed")
-    borders = parsed.where("not settled").groupBy("doc_id", "variant").agg(F.collect_set("from").alias("open"))
+    index = _first_places(shared, ["block", "check"], "from", "index")
+    found = [F.col(name) for name in ("doc_id", "variant", "from", "to", "source_id", "source_variant", "source_from")]
+    known = written(join_counted(shared, index, ["block", "check"], "n").where("source_id < doc_id").select(*found), "known")
+    spans = ["doc_id", "variant", "from"]
+    unknown = shared.select(*spans).join(known.select(*spans), spans, "left_anti")
+    borders = unknown.groupBy("doc_id", "variant").agg(F.collect_set("from").alias("open"))
     open_ = rows.join(borders, ["doc_id", "variant"]).mapInArrow(lambda b: _open_windows(b, window, gram), WINDOWS)
     open_ = written(open_, "windows")
-    earliest = open_.groupBy("seq", "check").agg(F.min("doc_id").alias("earliest"), F.max("doc_id").alias("hi"))
-    found = open_.join(earliest.where("earliest < hi"), ["seq", "check"]).where("earliest < doc_id")
-    factors = (
-        parsed.where("settled")
-        .select("doc_id", "variant", "from", "to")
-        .unionByName(found.select("doc_id", "variant", F.col("place").alias("from"), F.col("place").alias("to")))
-    )
-    return rows, factors
+    places = _first_places(open_, ["seq", "check"], "place", "places")
+    single = open_.withColumns({"from": F.col("place"), "to": F.col("place")})
+    single = join_counted(single, places, ["seq", "check"], "n").where("source_id < doc_id").select(*found)
+    units = known.unionByName(single).groupBy("doc_id", "variant").agg(F.collect_set(F.struct(*found[2:])).alias("units"))
+    return units.mapInArrow(_parse, f"doc_id long, variant int, factors array<struct<{FACTOR}>>")
+
+
+def factor_table(
+    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(doc_id, variant, from, n_words, source_id, source_variant, source_from): the parse, a row per factor.
+
+    The ``n_words`` words from ``from`` on are those of the source from
+    ``source_from`` on; places count words from 0. ``variant`` hashes the text, for
+    ids with several.
+    """
+    parsed = _parsed(_keyed(docs, id_col, text_col), window, gram).select("doc_id", "variant", F.inline("factors"))
+    n_words = (F.col("to") - F.col("from") + window).alias("n_words")
+    return parsed.select("doc_id", "variant", "from", n_words, "source_id", "source_variant", "source_from")
 
 
 KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
@@ -175,11 +228,13 @@ def remove_duplicates(
     with_text: bool = True,
 ) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and, ``with_text``, the kept words of every row."""
-    rows, factors = duplicate_starts(docs, window, gram, id_col, text_col)
-    spans = factors.groupBy("doc_id", "variant").agg(
-        F.collect_set(F.struct(F.col("from").cast("long").alias("a"), F.col("to").cast("long").alias("b"))).alias("spans")
+    rows = _keyed(docs, id_col, text_col)
+    spans = _parsed(rows, window, gram).select(
+        "doc_id",
+        "variant",
+        F.col("factors.from").cast("array<long>").alias("starts"),
+        F.col("factors.to").cast("array<long>").alias("ends"),
     )
-    spans = spans.select("doc_id", "variant", F.col("spans.a").alias("starts"), F.col("spans.b").alias("ends"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
