@@ -71,6 +71,23 @@ def test_edge_rows(spark):
     assert predict_language(no_docs(spark), trees).collect() == []
 
 
+def test_many_languages_are_sampled_in_one_plan(spark):
+    rows = [(i, f"text {i}", f"l{i % 60}") for i in range(3000)]
+    frame = spark.createDataFrame(rows + rows[:500], "doc_id long, text string, lang string")
+    trees = train_language_id(frame, order=1, sample=5)
+    assert trees.langs == sorted({r[2] for r in rows})
+    # The sample is counted through the word all texts begin with; repeated rows of a chosen id count again.
+    chosen = {i: r[2] for i, r in enumerate(rows) if __import__("zlib").crc32(str(i).encode()) % 3 != 1}
+    hashed = {r.id: r.h for r in spark.range(3000).selectExpr("id", "xxhash64(id) AS h").collect()}
+    for lang in trees.langs[:3]:
+        ids = sorted((i for i in chosen if chosen[i] == lang), key=lambda i: (hashed[i], i))[:5]
+        plain = plain_trees([(lang, rows[i][1]) for i in ids for _ in range(1 + (i < 500))])
+        data, offsets = text_bytes(pa.array(["text 7"]))
+        found = Scorer(trees).lengths(data, offsets)[0][trees.langs.index(lang)]
+        after = {k: v for k, v in plain[lang].items() if len(k) <= 1}
+        assert found == pytest.approx(bits(after, "text 7"), abs=1e-3)
+
+
 def test_nothing_learned(spark):
     trees = train_language_id(no_docs(spark))
     assert trees.langs == [] and isinstance(trees, ContextTrees)

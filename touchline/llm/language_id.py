@@ -30,12 +30,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.arrow_text import pieces, text_bytes
 from touchline.llm.registry import query, table
 from touchline.llm.word_hash import BASE
+from touchline.session import written
 
 ORDER = 4
 # Bound of the training sample: documents per language.
@@ -204,17 +205,14 @@ def train_language_id(docs: DataFrame, order: int = ORDER, sample: int = SAMPLE)
     the id are counted; the driver reads their summed counts.
     """
     rows = docs.where("lang is not null and text is not null and doc_id is not null").where(learned())
-    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
-    chosen = None
-    for lang in langs:
-        ids = rows.where(F.col("lang") == lang).select("doc_id", "lang").distinct()
-        part = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    if chosen is None:
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ids = rows.select("doc_id", "lang").distinct().withColumn("_rank", F.row_number().over(by_hash))
+    chosen = written(ids.where(F.col("_rank") <= sample).drop("_rank"), "language-sample")
+    langs = sorted(r["lang"] for r in chosen.select("lang").distinct().collect())
+    if not langs:
         none = np.zeros(0, np.uint64)
         return ContextTrees.build([], none, none, none, none)
-    # Bounded by the sample of each language.
-    texts = rows.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text")
+    texts = rows.join(chosen, ["doc_id", "lang"]).select("lang", "text")
     read = count_grams(texts, order).orderBy("lang", "size", "gram").toArrow()
     place = {lang: i for i, lang in enumerate(langs)}
     codes = read["lang"].combine_chunks().dictionary_encode()
