@@ -40,3 +40,12 @@ def test_plans(spark):
     rates = plan_of(spark, "rolling_rates")
     assert rates.count("Exchange hashpartitioning") == 2, "one exchange for the sums and one for all windows"
     assert "ReadSchema: struct<l_suppkey:bigint,l_linenumber:" in rates
+
+
+def test_wide_rows_are_dealt_once(spark):
+    """Lines by supplier, then rows by player: names, tenures, labels and team form join them where they are."""
+    plan = plan_of(spark, "training_matrix").split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange hashpartitioning(player_id") == 1
+    assert "SortMergeJoin" not in plan
+    for name in ("player_form", "player_next_form", "staged_event_side"):
+        assert plan_of(spark, name).count("Exchange hashpartitioning(player_id") == 1, name

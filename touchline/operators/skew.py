@@ -18,6 +18,8 @@ from touchline.session import written
 
 # Rows of a few numbers each that may be broadcast once they are counted.
 BROADCAST_ROWS = 100_000
+# The same for one row per person or tenure, with a name or two dates.
+BROADCAST_PEOPLE = 1_000_000
 
 # monotonically_increasing_id() keeps the partition in the upper bits and the
 # row number inside the partition in the lower 33 bits.

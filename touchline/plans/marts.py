@@ -10,6 +10,7 @@ from touchline.functions.names import full_name
 from touchline.operators.aggregates import max_where
 from touchline.operators.joins import role_playing, unpivot_sides, valid_at
 from touchline.operators.ranking import keep_first
+from touchline.operators.skew import BROADCAST_PEOPLE, bounded_broadcast
 from touchline.operators.windows import carry_to_next_period
 from touchline.plans.features import (
     add_formulas,
@@ -125,6 +126,8 @@ def _with_strengths(df: DataFrame, team_season_info: DataFrame, compat: bool) ->
     )
 
 
+# Labels of the matrix and the statistics they are.
+LABELS = {"label_goals": "goals", "label_assists": "assists"}
 ID_COLUMNS = [
     "player_name", "player_id", "fix_id", "game_week", "season", "team_id", "home_or_away",
     "opponent_team_id", "team_strength", "opponent_strength",
@@ -132,11 +135,16 @@ ID_COLUMNS = [
 
 
 def _outfield(real_performance: DataFrame, players: DataFrame, fixtures: DataFrame, plays: DataFrame) -> DataFrame:
-    """Outfield rows with fixture, name and the team at the time of the fixture."""
+    """Outfield rows with fixture, name and the team at the time of the fixture.
+
+    Names and tenures are broadcast while they are few, so rows dealt by player stay so.
+    """
     names = players.select("player_id", full_name(F.col("player_f_name"), F.col("player_l_name")).alias("player_name"))
     when = fixtures.select("fix_id", "game_week", "season", "game_date", "home_id", "away_id")
-    rows = real_performance.where(F.col("position") != "GK").join(when, "fix_id").join(names, "player_id")
-    return valid_at(rows, plays.select("player_id", "team_id", "start_date", "end_date"), "player_id", "game_date")
+    rows = real_performance.where(F.col("position") != "GK").join(when, "fix_id")
+    rows = rows.join(bounded_broadcast(names, BROADCAST_PEOPLE), "player_id")
+    tenure = bounded_broadcast(plays.select("player_id", "team_id", "start_date", "end_date"), BROADCAST_PEOPLE)
+    return valid_at(rows, tenure, "player_id", "game_date")
 
 
 def player_pre_match(
@@ -147,12 +155,14 @@ def player_pre_match(
     team_season_info: DataFrame,
     min_minutes: int = MIN_MINUTES,
     compat: bool = False,
+    labels: bool = False,
 ) -> DataFrame:
-    """Each outfield player's form before each fixture played, 125 columns."""
+    """Each outfield player's form before each fixture played, 125 columns, with ``labels`` the two of the row itself."""
     rows = _with_strengths(_outfield(real_performance, players, fixtures, plays), team_season_info, compat)
     rolled = roll_stats(rows, ["player_id", "season"], ["game_week", "fix_id", "team_id"])
     used = rolled.where(F.col("rolling_ub_minutes") >= min_minutes)
-    return add_formulas(used).select(*ID_COLUMNS, *rolled_names(), *formula_names())
+    own = [F.col(source).alias(label) for label, source in LABELS.items()] if labels else []
+    return add_formulas(used).select(*ID_COLUMNS, *rolled_names(), *formula_names(), *own)
 
 
 def player_next_match(
@@ -199,18 +209,23 @@ MATRIX_IDS = ["player_id", "fix_id", "game_week", "season", "team_strength", "op
 
 
 def modeling_matrix(
-    pre_match: DataFrame, real_performance: DataFrame, team_pre: DataFrame, min_minutes: int = MIN_MATRIX_MINUTES
+    pre_match: DataFrame,
+    real_performance: DataFrame | None,
+    team_pre: DataFrame,
+    min_minutes: int = MIN_MATRIX_MINUTES,
 ) -> DataFrame:
-    """Labels and features of played fixtures, 129 columns."""
-    labels = real_performance.select(
-        "player_id", "fix_id", F.col("goals").alias("label_goals"), F.col("assists").alias("label_assists")
-    )
-    team = team_pre.select("team_id", "fix_id", *team_names())
+    """Labels and features of played fixtures, 129 columns.
+
+    Without ``real_performance`` the labels are columns of ``pre_match``, which spares
+    a join of all its columns.
+    """
     rows = pre_match.where(F.col("rolling_ub_minutes") >= min_minutes)
-    joined = rows.join(labels, ["player_id", "fix_id"]).join(team, ["team_id", "fix_id"])
-    return joined.select(
-        "label_goals", "label_assists", *MATRIX_IDS, *rolled_names(), *formula_names(), *team_names()
-    )
+    if real_performance is not None:
+        own = [F.col(source).alias(label) for label, source in LABELS.items()]
+        rows = rows.join(real_performance.select("player_id", "fix_id", *own), ["player_id", "fix_id"])
+    team = bounded_broadcast(team_pre.select("team_id", "fix_id", *team_names()))
+    joined = rows.join(team, ["team_id", "fix_id"])
+    return joined.select(*LABELS, *MATRIX_IDS, *rolled_names(), *formula_names(), *team_names())
 
 
 def scoring_matrix(
@@ -227,5 +242,6 @@ def scoring_matrix(
     rows = next_match.where(F.col("rolling_ub_minutes") >= min_minutes)
     if real_performance is not None:
         rows = rows.join(real_performance.select("player_id", "fix_id"), ["player_id", "fix_id"], "left_semi")
-    joined = rows.join(team_next.select("team_id", "fix_id", *team_names()), ["team_id", "fix_id"])
+    team = bounded_broadcast(team_next.select("team_id", "fix_id", *team_names()))
+    joined = rows.join(team, ["team_id", "fix_id"])
     return joined.select(*MATRIX_IDS, *rolled_names(), *formula_names(), *team_names()).distinct()

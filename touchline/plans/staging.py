@@ -10,6 +10,7 @@ from touchline.functions.names import round_number, token
 from touchline.operators.aggregates import tenures
 from touchline.operators.joins import either_side, valid_at
 from touchline.operators.ranking import dense_id
+from touchline.operators.skew import BROADCAST_PEOPLE, bounded_broadcast
 
 # Source column to entity column.
 TEAM_COLUMNS = {"name": "team_name", "short_name": "team_short_name", "fbref_id": "team_fbref_id"}
@@ -192,7 +193,11 @@ def real_performance(
     team_season_info: DataFrame,
     fixtures: DataFrame,
 ) -> DataFrame:
-    """Event-side statistics per player and fixture, by name, tenure at the date, and round."""
+    """Event-side statistics per player and fixture, by name, tenure at the date, and round.
+
+    People and tenures are broadcast while they are few, and rows are dealt by player
+    once, for the distinct rows and for any window over a player that follows.
+    """
     rows = raw_real_perf.select(
         F.col("Name").alias("fbref_name"),
         F.col("Date").alias("date"),
@@ -204,14 +209,15 @@ def real_performance(
     people = raw_compiled_ids.select(
         "fbref_name", F.col("fpl_f_name").alias("player_f_name"), F.col("fpl_l_name").alias("player_l_name")
     ).join(players.select("player_id", "player_f_name", "player_l_name"), ["player_f_name", "player_l_name"])
-    people = people.select("fbref_name", "player_id")
+    people = bounded_broadcast(people.select("fbref_name", "player_id"), BROADCAST_PEOPLE)
     tenure = plays.select("player_id", "team_id", "start_date", "end_date")
     own = team_season_info.select("team_id", "season", "fpl_season_id")
     played = team_fixtures(fixtures).select("fix_id", "season", "game_week", "fpl_season_id")
     return (
-        valid_at(rows.join(people, "fbref_name"), tenure, "player_id", "date")
+        valid_at(rows.join(people, "fbref_name"), bounded_broadcast(tenure, BROADCAST_PEOPLE), "player_id", "date")
         .join(own, ["team_id", "season"])
         .join(played, ["season", "game_week", "fpl_season_id"])
         .select("player_id", "fix_id", *EVENT_SIDE_COLUMNS.values(), "clean_sheets")
+        .repartition("player_id")
         .distinct()
     )

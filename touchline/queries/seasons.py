@@ -110,6 +110,8 @@ class Season:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sources = {name: table(spark, sf_dir, name) for name in BASE_TABLES}
+        # Lines meet their suppliers by a shuffle, so that weekly totals are summed, and written, supplier by supplier.
+        self.sources["supplier"] = self.sources["supplier"].hint("shuffle_hash")
 
     def raw(self, name: str) -> DataFrame:
         if name not in self.sources:
@@ -150,24 +152,26 @@ class Season:
         )
 
     @cached_property
-    def real_performance(self) -> DataFrame:
-        return written(
-            staging.real_performance(
-                self.raw("raw_real_perf"), self.raw("raw_compiled_ids"), self.players, self.plays, self.team_season_info, self.fixtures
-            )
+    def event_side(self) -> DataFrame:
+        """Rows dealt by player, for plans that read them once."""
+        return staging.real_performance(
+            self.raw("raw_real_perf"), self.raw("raw_compiled_ids"), self.players, self.plays, self.team_season_info, self.fixtures
         )
 
+    @cached_property
+    def real_performance(self) -> DataFrame:
+        return written(self.event_side)
+
     @cached_property
     def team_pre(self) -> DataFrame:
         return marts.team_pre_match(self.fixtures, self.team_season_info)
 
-    @cached_property
-    def player_pre(self) -> DataFrame:
-        return marts.player_pre_match(self.real_performance, self.players, self.fixtures, self.plays, self.team_season_info)
+    def player_pre(self, **options) -> DataFrame:
+        return marts.player_pre_match(self.event_side, self.players, self.fixtures, self.plays, self.team_season_info, **options)
 
     def player_next(self, **options) -> DataFrame:
         return marts.player_next_match(
-            self.real_performance, self.players, self.fixtures, self.plays, self.team_season_info, SEASON, **options
+            self.event_side, self.players, self.fixtures, self.plays, self.team_season_info, SEASON, **options
         )
 
     @cached_property
@@ -375,7 +379,7 @@ def staged_game_side(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_entities("SELECT * FROM real_performance"))
 def staged_event_side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Season(spark, sf_dir).real_performance
+    return Season(spark, sf_dir).event_side
 
 
 @query(
@@ -416,7 +420,7 @@ def team_next_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def player_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(Season(spark, sf_dir).player_pre, FEATURE_NAMES)
+    return rounded(Season(spark, sf_dir).player_pre(), FEATURE_NAMES)
 
 
 @query(
@@ -433,10 +437,7 @@ def player_next_form(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def player_next_form_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames one row longer than named; the opponent by season id as everywhere else."""
-    season = Season(spark, sf_dir)
-    rows = marts.player_next_match(
-        season.real_performance, season.players, season.fixtures, season.plays, season.team_season_info, SEASON, literal_frames=True
-    )
+    rows = Season(spark, sf_dir).player_next(literal_frames=True)
     return rounded(rows.select("player_id", "fix_id", *ROLLED), ROLLED)
 
 
@@ -445,10 +446,7 @@ def player_next_form_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def player_next_form_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Players absent from the last finished week come with their latest row before it."""
-    season = Season(spark, sf_dir)
-    rows = marts.player_next_match(
-        season.real_performance, season.players, season.fixtures, season.plays, season.team_season_info, SEASON, latest_row=True
-    )
+    rows = Season(spark, sf_dir).player_next(latest_row=True)
     return rounded(rows.select("player_id", "fix_id", "game_week", "team_id", *ROLLED), ROLLED)
 
 
@@ -460,10 +458,7 @@ SURROGATE_SQL = PLAYER_FORM_SQL.replace("other.fpl_season_id", "other.team_id")
 )
 def player_form_surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The opponent's strength found by comparing its season id with the surrogate key."""
-    season = Season(spark, sf_dir)
-    rows = marts.player_pre_match(
-        season.real_performance, season.players, season.fixtures, season.plays, season.team_season_info, compat=True
-    )
+    rows = Season(spark, sf_dir).player_pre(compat=True)
     return rows.select("player_id", "fix_id", "team_id", "home_or_away", "opponent_team_id", "team_strength", "opponent_strength")
 
 
@@ -497,7 +492,7 @@ MATRIX_NAMES = [*FEATURE_NAMES, *TEAM_ROLLED]
 )
 def training_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     season = Season(spark, sf_dir)
-    return rounded(marts.modeling_matrix(season.player_pre, season.real_performance, season.team_pre), MATRIX_NAMES)
+    return rounded(marts.modeling_matrix(season.player_pre(labels=True), None, season.team_pre), MATRIX_NAMES)
 
 
 @query(
