@@ -97,6 +97,29 @@ def test_cells_that_span_rows():
     assert pages.read_table(html, "m") == [dict(zip(names, cells)) for cells in rows]
 
 
+ODD_PAGES = [
+    "<table id=m><tr><th>A</th></tr><tr><td>1<br/>2 &amp; 3 &lt; 4</td></tr></table>",
+    "<table id='m'><tr><th>A</th><th>B</th></tr><tr><td title='a > b'>1</td><td>2 < 3</td></tr></table>",
+    "<table><tr><td><table id=\"m\"><tr><th>A</th></tr><tr><td>in</td></tr></table></td></tr></table>",
+    "<TABLE ID=m CLASS=x><TR><TH>A<TR><TD COLSPAN=2>1<TD>2<!-- <td>no</td> --></TABLE><p <b>",
+    "<table id=m><tr><th>A</th></tr><tr><td>1<script>if (a<b) '</td>'</script></td></tr></table>",
+    "<table id=m><tr><th>A</th><th>B</th></tr><tr><td/><td rowspan=2/>x</td></tr><tr><td>y</td></tr></table> &am",
+    "<table id='m' id='n'><tr><th>A</th></tr><tr><td colspan='&#50;'>1</td></tr></table>",
+    "<table id=m><tr><th>A</th></tr><tr><td>1</td></tr><tr><td>unclosed &am",
+]
+
+
+def test_plain_markup_reads_like_any_other(monkeypatch):
+    """Plain pages never reach the slow parser, and all pages give the rows it gives."""
+    plain = "<p>x</p><table id='m'><tr><th>A</th></tr><tr><td rowspan='1' class=c>1 &amp; <b>2</b></td></tr></table><p <"
+    with monkeypatch.context() as m:
+        m.setattr(pages._Table, "feed", None)
+        assert pages.read_table(plain, "m") == [{"A": "1 & 2"}]
+    read = [pages.read_table(html, "m") for html in [plain, *ODD_PAGES]]
+    monkeypatch.setattr(pages._Table, "feed_plain", lambda self, html: False, raising=False)
+    assert read == [pages.read_table(html, "m") for html in [plain, *ODD_PAGES]]
+
+
 def test_page_tables_job(spark):
     html = "<table id='m'><tr><th>Comp</th><th>Min</th></tr><tr><td>League</td><td>90</td></tr><tr><td>Cup</td><td></td></tr></table>"
     df = spark.createDataFrame([(1, "Ann", html), (2, "Ben", "<p>none</p>"), (3, "Cid", None)], "page_id long, who string, html string")
