@@ -161,3 +161,13 @@ def test_families_use_these_trees():
         if family.penalty is None:
             growths = [json.loads(family.build(p, label_facts).getOrDefault("growth")) for p in family.draw(5)]
             assert len({json.dumps(g) for g in growths}) > 1
+
+
+def test_bins_are_packed_and_read_without_an_object_per_row():
+    from touchline.modelling.trees import _binary, _matrix
+
+    bins = np.arange(60, dtype=np.uint8).reshape(20, 3)
+    packed = _binary(bins)
+    assert packed.to_pylist() == [b.tobytes() for b in bins]
+    assert (_matrix(packed, 20, np.uint8) == bins).all()
+    assert (_matrix(packed.slice(5, 7), 7, np.uint8) == bins[5:12]).all()

@@ -153,10 +153,17 @@ def binned(values: np.ndarray, edges: list[list[float]]) -> np.ndarray:
 
 def _matrix(column: pa.Array, rows: int, kind: type) -> np.ndarray:
     if kind is np.uint8:
-        return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(rows, -1)
+        offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + rows + 1]
+        return np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]].reshape(rows, -1)
     return column.flatten().to_numpy().reshape(rows, -1)
 
 
+def _binary(bins: np.ndarray) -> pa.Array:
+    """Rows of bins as a binary column, without an object per row."""
+    offsets = (np.arange(len(bins) + 1) * bins.shape[1]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bins), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(bins))])
+
+
 def bin_edges(df: DataFrame, array: str, bins: int = BINS) -> list[list[float]]:
     """Upper edges of all bins but the last: every value of a feature with few, else quantiles."""
 
@@ -194,7 +201,7 @@ def _bin_rows(batches: Iterator[pa.RecordBatch], edges: list[list[float]], base:
     for batch in batches:
         if batch.num_rows:
             bins = binned(_matrix(batch.column(1), batch.num_rows, float), edges)
-            columns = [batch.column(0), pa.array([b.tobytes() for b in bins], pa.binary()), batch.column(2), pa.array(np.full(len(bins), base))]
+            columns = [batch.column(0), _binary(bins), batch.column(2), pa.array(np.full(len(bins), base))]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "bins", "y", "margin"])
 
 

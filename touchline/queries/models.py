@@ -314,7 +314,8 @@ def tree_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
     rows = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(lines).persist()
     facts = label_facts(rows, PRICE)
-    values = rows.select("l_quantity", "features").dropDuplicates(["l_quantity"])
+    # Every family predicts for these few rows; found once, not once a family.
+    values = written(rows.select("l_quantity", "features").dropDuplicates(["l_quantity"]), "values")
     parts = []
     for family in [*base_families(1), *ensemble_families(1)]:
         if family.name in UNSAMPLED:
