@@ -80,6 +80,14 @@ def test_keep_first_and_sets(spark):
     assert rows_of(sets.common_rows(df.select("k"), other.select("k"))) == [("a",)]
 
 
+def test_columns_of_distinct_rows(spark):
+    rows = [(1, 1, 5, "x"), (1, 2, 5, "x"), (1, 2, 5, "x"), (1, 2, 5, "y"), (None, 3, 6, None), (None, 3, 6, None), (2, None, 7, "z")]
+    df = spark.createDataFrame(rows, "a int, b int, c int, d string")
+    for part in (df, df.where("a = 1"), df.where("b = 1"), df.where("a = 9")):
+        expected = rows_of(part.distinct().select("a", "b", "c"))
+        assert rows_of(sets.columns_of_distinct(part, ["a", "b"], ["a", "b", "c"])) == expected
+
+
 def test_tenures_stay_open_at_the_last_date(spark):
     df = spark.createDataFrame([("p", "x", 1), ("p", "x", 3), ("p", "y", 4), ("q", "x", 9)], "p string, t string, d int")
     got = rows_of(a.tenures(df, ["p", "t"], "d", df.agg(F.max("d")).scalar()))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from touchline.functions.names import round_number, token
 from touchline.operators.aggregates import tenures
 from touchline.operators.joins import either_side, valid_at
 from touchline.operators.ranking import dense_id
+from touchline.operators.sets import columns_of_distinct
 from touchline.operators.skew import BROADCAST_PEOPLE, bounded_broadcast
 
 # Source column to entity column.
@@ -192,11 +195,14 @@ def real_performance(
     plays: DataFrame,
     team_season_info: DataFrame,
     fixtures: DataFrame,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Event-side statistics per player and fixture, by name, tenure at the date, and round.
 
     People and tenures are broadcast while they are few, and rows are dealt by player
-    once, for the distinct rows and for any window over a player that follows.
+    once, for the distinct rows and for any window over a player that follows. With
+    ``columns``, player and fixture among them, the distinct rows give those alone: whole
+    rows are then shuffled only where a player has several in a fixture.
     """
     rows = raw_real_perf.select(
         F.col("Name").alias("fbref_name"),
@@ -213,11 +219,12 @@ def real_performance(
     tenure = plays.select("player_id", "team_id", "start_date", "end_date")
     own = team_season_info.select("team_id", "season", "fpl_season_id")
     played = team_fixtures(fixtures).select("fix_id", "season", "game_week", "fpl_season_id")
-    return (
+    found = (
         valid_at(rows.join(people, "fbref_name"), bounded_broadcast(tenure, BROADCAST_PEOPLE), "player_id", "date")
         .join(own, ["team_id", "season"])
         .join(played, ["season", "game_week", "fpl_season_id"])
         .select("player_id", "fix_id", *EVENT_SIDE_COLUMNS.values(), "clean_sheets")
-        .repartition("player_id")
-        .distinct()
     )
+    if columns is not None:
+        return columns_of_distinct(found, ["player_id", "fix_id"], columns)
+    return found.repartition("player_id").distinct()

@@ -117,8 +117,8 @@ class Season:
         if name not in self.sources:
             used = {part: self.raw(part) for part in [*BASE_TABLES, *RAW_SQL] if f"{{{part}}}" in RAW_SQL[name]}
             df = self.spark.sql(RAW_SQL[name], **used)
-            # The weekly totals feed several raw tables.
-            self.sources[name] = written(df, name) if name.startswith("week_") else df
+            # The weekly totals feed several raw tables, the squads two entities.
+            self.sources[name] = written(df, name) if name in ("week_goals", "week_lines", "raw_players_clean") else df
         return self.sources[name]
 
     @cached_property
@@ -159,8 +159,12 @@ class Season:
         )
 
     @cached_property
-    def real_performance(self) -> DataFrame:
-        return written(self.event_side)
+    def results(self) -> DataFrame:
+        """The columns of the event side that reports use."""
+        return staging.real_performance(
+            self.raw("raw_real_perf"), self.raw("raw_compiled_ids"), self.players, self.plays, self.team_season_info, self.fixtures,
+            columns=["player_id", "fix_id", "goals", "assists"],
+        )
 
     @cached_property
     def team_pre(self) -> DataFrame:
@@ -177,7 +181,7 @@ class Season:
     @cached_property
     def predictions(self) -> DataFrame:
         """Predictions beside every performance, some below zero."""
-        return self.real_performance.select(
+        return self.results.select(
             "player_id",
             F.col("fix_id").alias("fixture_id"),
             (F.col("goals") * 0.5 + F.col("player_id") % 5 * 0.25 - 0.5).alias("predicted_goals"),
@@ -521,7 +525,7 @@ PAIRS_SQL = """
 @query(with_entities(f"SELECT * EXCLUDE (player_id, fix_id) REPLACE (ROUND(CAST(predicted_goals AS DOUBLE), 4) AS predicted_goals, ROUND(CAST(predicted_assists AS DOUBLE), 4) AS predicted_assists) FROM ({PAIRS_SQL})"))
 def prediction_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     season = Season(spark, sf_dir)
-    pairs = reports.prediction_analysis(season.predictions, season.players, season.fixtures, season.real_performance)
+    pairs = reports.prediction_analysis(season.predictions, season.players, season.fixtures, season.results)
     return pairs.withColumns({c: F.round(F.col(c).cast("double"), 4) for c in ("predicted_goals", "predicted_assists")})
 
 
@@ -543,6 +547,6 @@ def prediction_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prediction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     season = Season(spark, sf_dir)
     report = reports.prediction_accuracy(
-        season.predictions, season.players, season.fixtures, season.real_performance, season.fpl_player
+        season.predictions, season.players, season.fixtures, season.results, season.fpl_player
     )
     return report.withColumn("predicted_points", F.round(F.col("predicted_points").cast("double"), 4))
