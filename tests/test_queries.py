@@ -4,6 +4,7 @@ import pytest
 from oracle import check
 
 from touchline.queries import ORACLES, QUERIES
+from touchline.queries.seasons import Season
 
 SF = "/root/testdata/sf0.001"
 # Fits of whole models are covered in test_modelling.
@@ -49,3 +50,17 @@ def test_wide_rows_are_dealt_once(spark):
     assert "SortMergeJoin" not in plan
     for name in ("player_form", "player_next_form", "staged_event_side"):
         assert plan_of(spark, name).count("Exchange hashpartitioning(player_id") == 1, name
+
+
+def test_report_is_ranked_in_report_order(spark):
+    """Ranks and the report's order share one range exchange, which alone carries names."""
+    plan = plan_of(spark, "prediction_report").split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange rangepartitioning") == 1
+    assert "Exchange hashpartitioning(position" not in plan and "Exchange hashpartitioning(season" not in plan
+
+
+def test_reports_shuffle_the_columns_they_use(spark):
+    season = Season(spark, SF)
+    assert "yellow_card" not in str(season.results._jdf.queryExecution().executedPlan().toString())
+    expected = season.event_side.select("player_id", "fix_id", "goals", "assists")
+    assert sorted(map(tuple, season.results.collect())) == sorted(map(tuple, expected.collect()))
