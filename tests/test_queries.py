@@ -1,5 +1,7 @@
 """Every query against its SQL on the smallest tables, and plans of the headline ones."""
 
+import re
+
 import pytest
 from oracle import check
 
@@ -64,3 +66,12 @@ def test_reports_shuffle_the_columns_they_use(spark):
     assert "yellow_card" not in str(season.results._jdf.queryExecution().executedPlan().toString())
     expected = season.event_side.select("player_id", "fix_id", "goals", "assists")
     assert sorted(map(tuple, season.results.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_next_matches_deal_one_season(spark):
+    """Rows of other seasons are left out where they are read, not after they are dealt by player."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    for name in ("player_next_form", "player_next_form_latest", "next_matrix"):
+        dealt = plan_of(spark, name).split("== Initial Plan ==")[-1].split("Exchange hashpartitioning(player_id")[1]
+        assert re.search(r"Filter .*lpad\(.* = 2000-01\)", dealt), name
+    spark.conf.unset("spark.sql.maxMetadataStringLength")

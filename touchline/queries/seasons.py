@@ -151,20 +151,20 @@ class Season:
             self.raw("raw_fpl_performance"), self.teams, self.team_season_info, self.fixtures, self.players, self.fpl_player
         )
 
+    def _event_side(self, fixtures: DataFrame, **options) -> DataFrame:
+        return staging.real_performance(
+            self.raw("raw_real_perf"), self.raw("raw_compiled_ids"), self.players, self.plays, self.team_season_info, fixtures, **options
+        )
+
     @cached_property
     def event_side(self) -> DataFrame:
         """Rows dealt by player, for plans that read them once."""
-        return staging.real_performance(
-            self.raw("raw_real_perf"), self.raw("raw_compiled_ids"), self.players, self.plays, self.team_season_info, self.fixtures
-        )
+        return self._event_side(self.fixtures)
 
     @cached_property
     def results(self) -> DataFrame:
         """The columns of the event side that reports use."""
-        return staging.real_performance(
-            self.raw("raw_real_perf"), self.raw("raw_compiled_ids"), self.players, self.plays, self.team_season_info, self.fixtures,
-            columns=["player_id", "fix_id", "goals", "assists"],
-        )
+        return self._event_side(self.fixtures, columns=["player_id", "fix_id", "goals", "assists"])
 
     @cached_property
     def team_pre(self) -> DataFrame:
@@ -174,8 +174,10 @@ class Season:
         return marts.player_pre_match(self.event_side, self.players, self.fixtures, self.plays, self.team_season_info, **options)
 
     def player_next(self, **options) -> DataFrame:
+        # The season's fixtures alone, as the plan takes: other seasons' rows are left out before they are dealt.
+        side = self._event_side(self.fixtures.where(F.col("season") == SEASON))
         return marts.player_next_match(
-            self.event_side, self.players, self.fixtures, self.plays, self.team_season_info, SEASON, **options
+            side, self.players, self.fixtures, self.plays, self.team_season_info, SEASON, **options
         )
 
     @cached_property
