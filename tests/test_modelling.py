@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from touchline.modelling import prepare as p
 from touchline.modelling.families import Facts, Family, base_families, ensemble_families, label_facts
 from touchline.modelling.lifecycle import cross_validated, drift_check, predict, retrain, score_to_table, select_features
-from touchline.modelling.outliers import _grow, _path_correction, drop_outliers, fit_isolation_forest
+from touchline.modelling.outliers import IsolationForest, _grow, _path_correction, drop_outliers, fit_isolation_forest
 from touchline.modelling.search import Result, best_per_family, leaderboard, n_best, search
 from touchline.modelling.trees import TreesRegressor, uniform
 from touchline.modelling.validation import expanding_folds, fold, holdout_last
-from touchline.session import scratch_path
+from touchline.queries import models
+from touchline.session import scratch_path, written
 
 
 @pytest.fixture(scope="module")
@@ -114,6 +115,38 @@ def test_the_forest_does_not_depend_on_partitions(spark):
     assert fit_isolation_forest(few, trees=4).sample == 20
 
 
+def test_scores_follow_every_row_to_its_leaf():
+    """Rows with NaN and infinities too, in trees of unequal depth; scores of a matrix need no session."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 3))
+    x[0], x[1, 1], x[2, 0], x[3, 2] = np.nan, np.nan, np.inf, -np.inf
+    grown = [_grow(rng.normal(size=(n, 3)), np.random.default_rng([1, n]), 5) for n in (1, 3, 32)]
+    padded = np.zeros((6, 3, max(len(nodes) for nodes in grown)))
+    padded[1], padded[3:5] = -1, -1
+    depth = np.zeros(len(x))
+    for t, nodes in enumerate(grown):
+        for node in nodes:
+            padded[:, t, node[0]] = node
+        by_number = {n[0]: n[1:] for n in nodes}
+        for i, row in enumerate(x):
+            node = 0
+            while by_number[node][0] >= 0:
+                feature, threshold, left, right, _ = by_number[node]
+                node = left if row[feature] <= threshold else right
+            depth[i] += by_number[node][4]
+    _, feature, threshold, left, right, length = padded
+    forest = IsolationForest(feature.astype(int), threshold, left.astype(int), right.astype(int), length, 32)
+    assert np.allclose(forest.scores(x), 2.0 ** (-depth / 3 / _path_correction(32)), rtol=1e-12)
+    assert forest.scores(np.zeros((0, 3))).shape == (0,)
+
+
+def test_monthly_totals_meet_their_windows_unwritten(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(models, "written", lambda df, name="table": tables.append(name) or written(df, name))
+    models.feature_matrix(spark, "/root/testdata/sf0.001")
+    assert tables == ["matrix"]
+
+
 def test_a_whole_score_table_agrees_with_plain_numpy(spark):
     """Samples, trees and scores of all rows, computed anew from the draws alone."""
     rng = np.random.default_rng(9)

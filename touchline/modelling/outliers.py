@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -71,25 +72,47 @@ class IsolationForest:
 
         @F.pandas_udf("double")
         def scores(batch: pd.Series) -> pd.Series:
-            rows = np.stack(batch.to_numpy()) if len(batch) else np.zeros((0, 1))
-            total = np.zeros(len(rows))
-            at = np.arange(len(rows))
-            for t in range(len(forest.feature)):
-                node = np.zeros(len(rows), dtype=np.int64)
-                while True:
-                    feature = forest.feature[t][node]
-                    inner = feature >= 0
-                    if not inner.any():
-                        break
-                    goes_left = rows[at, np.maximum(feature, 0)] <= forest.threshold[t][node]
-                    onward = np.where(goes_left, forest.left[t][node], forest.right[t][node])
-                    node = np.where(inner, onward, node)
-                total += forest.length[t][node]
-            mean = total / max(len(forest.feature), 1)
-            return pd.Series(2.0 ** (-mean / max(_path_correction(forest.sample), 1e-12)))
+            return pd.Series(forest.scores(np.stack(batch.to_numpy()) if len(batch) else np.zeros((0, 1))))
 
         return scores(vector_to_array(features))
 
+    def scores(self, rows: np.ndarray) -> np.ndarray:
+        """Scores of the rows of a matrix.
+
+        A leaf is its own left child below an infinite threshold, so every row takes as many steps as the
+        forest is deep and none is asked whether it has arrived. NaN goes right, as infinity does.
+        """
+        leaf = self.feature < 0
+        feature = np.where(leaf, 0, self.feature)
+        threshold = np.where(leaf, np.inf, self.threshold)
+        left = np.where(leaf, np.arange(self.feature.shape[1]), self.left)
+        values = np.where(np.isnan(rows), np.inf, rows).ravel()
+        starts = np.arange(len(rows)) * rows.shape[1]
+        total = np.zeros(len(rows))
+        for t in range(len(feature)):
+            node = np.zeros(len(rows), dtype=np.int64)
+            for _ in range(self.depths[t]):
+                # The right child follows the left one.
+                goes_right = values.take(feature[t].take(node) + starts) > threshold[t].take(node)
+                node = left[t].take(node) + goes_right
+            total += self.length[t].take(node)
+        mean = total / max(len(feature), 1)
+        return 2.0 ** (-mean / max(_path_correction(self.sample), 1e-12))
+
+    @cached_property
+    def depths(self) -> list[int]:
+        """Steps from the root to the deepest leaf of every tree."""
+        found = []
+        for feature, left, right in zip(self.feature, self.left, self.right):
+            level, depth = np.array([0]), 0
+            while True:
+                inner = level[feature[level] >= 0]
+                if not len(inner):
+                    break
+                level, depth = np.concatenate([left[inner], right[inner]]), depth + 1
+            found.append(depth)
+        return found
+
 
 def _sampled(batches: Iterator[pa.RecordBatch], trees: int, seed: int, sample: int) -> Iterator[pa.RecordBatch]:
     """The rows of this task with the smallest draws of every tree, at most ``sample`` a tree."""
@@ -103,6 +126,9 @@ def _sampled(batches: Iterator[pa.RecordBatch], trees: int, seed: int, sample: i
             draw = uniform(keys, seed, t)
             if held[t] is not None and len(held[t][0]) >= sample:
                 own = np.flatnonzero(draw <= held[t][0][-1])
+            elif len(draw) > sample:
+                # No row beyond the batch's own least draws can be among the least of all.
+                own = np.flatnonzero(draw <= np.partition(draw, sample - 1)[sample - 1])
             else:
                 own = np.arange(len(draw))
             if not len(own):

@@ -220,7 +220,6 @@ def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(exact("l_extendedprice")).alias("price"),
         F.count(F.lit(1)).alias("lines"),
     )
-    months = written(months, "months")
     specs = [Trailing(c, f"rolling_{f}_{c}", n) for f, n in (("ub", None), ("bound_last3", 3)) for c in FEATURES]
     form = trailing(months, specs, ["player_id", "year"], ["game_week"]).where("rolling_ub_minutes >= 90")
     matrix = form.select(
